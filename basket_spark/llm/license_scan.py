@@ -7,6 +7,8 @@ it is one expression over a row: no join, no shuffle.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,8 @@ from .license_rules import RULES
 
 #: What the base labels come from.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: ASCII but digits and letters, each by itself: Java looks such a class up in a bitmap.
+_SEPARATORS = "[" + "".join(rf"\x{i:02X}" for i in range(128) if not chr(i).isalnum()) + "]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PHRASE = f" ({'|'.join(PHRASES)})(?= )"
 #: Starts of words one of which stands wherever a rule or phrase does; few texts without a notice hold any.
@@ -28,7 +31,9 @@ def blanks(text: Column) -> Column:
 
 def _detections(words: Column, rules: list[tuple[int, str, str, str, float]]) -> Column:
     """Array of (start, end, priority, label, confidence) in characters of ``words``."""
-    table = F.array([F.struct(F.lit(p).alias("priority"), F.lit(label).alias("label"), F.lit(k).alias("keyword"), F.lit(f" (?:{x})(?= )").alias("pattern"), F.lit(c).alias("confidence")) for p, label, k, x, c in rules])
+    fields = ("priority", "label", "keyword", "pattern", "confidence")
+    text = json.dumps([dict(zip(fields, (p, label, k, f" (?:{x})(?= )", c), strict=True)) for p, label, k, x, c in rules])
+    table = F.from_json(F.lit(text), "array<struct<priority:int,label:string,keyword:string,pattern:string,confidence:double>>")  # one literal
 
     def places(rule: Column) -> Column:
         found = F.struct(F.transform(F.regexp_extract_all(words, rule["pattern"], F.lit(0)), F.length).alias("hit"), F.transform(F.split(words, rule["pattern"]), F.length).alias("gap"))
@@ -61,11 +66,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     rows = narrow(docs, doc_id=id_col, text=text_col)
     spaced = rows.select("doc_id", F.concat(F.lit(" "), F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), _SEPARATORS, " ")), F.lit(" ")).alias("words"))
     empty = F.col("words") == "  "
-    low = F.lower("words")
-    gate = F.lit(False)
-    for g in GATES:
-        gate = gate | F.contains(F.col("low"), F.lit(f" {g}"))
-    gated = spaced.select("doc_id", F.when(empty, 0).otherwise(blanks(F.col("words")) - 1).cast("long").alias("n_words"), "words", low.alias("low")).select("doc_id", "n_words", F.when(gate, F.translate("words", _UPPER, _LOWER)).alias("words"))
+    gate = F.lower("words").rlike(f" (?:{'|'.join(GATES)})")
+    gated = spaced.select("doc_id", F.when(empty, 0).otherwise(blanks(F.col("words")) - 1).cast("long").alias("n_words"), F.when(gate, F.translate("words", _UPPER, _LOWER)).alias("words"))
     words = F.col("words")
     base = gated.select("doc_id", "n_words", "words", F.regexp_extract_all("words", F.lit(_PHRASE), F.lit(1)).alias("base"), F.when(words.isNotNull(), _detections(words, rules)).alias("found"))
     kept = base.select("doc_id", "n_words", "words", F.coalesce("base", F.array().cast("array<string>")).alias("base"), _surviving(F.col("found")).alias("found"))
