@@ -23,7 +23,7 @@ HEAD = 1 << 18
 OVER = 4096
 _MARK = "▁"
 _BREAK = "\x1f"
-_SLOW = f"  |{_MARK}|{_BREAK}"
+_SLOW = f"^ |  |{_MARK}|{_BREAK}"
 _PRETOKEN = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 
 
