@@ -25,6 +25,7 @@ OVERLAP = 0.8
 SHINGLE = 5
 #: The index goes to the executors in parts of at most so many characters of item text.
 INDEX_CHARS = 16_000_000
+FINE_CELLS = 20_000_000
 #: ASCII other than digits and letters splits words; A-Z is lower-cased first.
 _SPLIT = bytes(i if chr(i).isalnum() and i < 128 or i > 127 else 32 for i in range(256))
 _END = re.compile(rb"(?<=[.!?])\s+")
@@ -64,7 +65,7 @@ class Index:
         self.longest = int(lengths.max()) if len(lengths) else 0
         df = Counter(w for c in counts for w in c)
         self.vocabulary = {w: i for i, w in enumerate(sorted(df))}
-        self.block = block or max(16, -(-len(texts) // 64))
+        self.block = block or max(4, -(-len(texts) // 64))
         rare = {w: np.log(1 + (len(texts) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
         self.postings: list[tuple[list[int], list[float]]] = [([], []) for _ in df]
         for i, c in enumerate(counts):
@@ -77,6 +78,11 @@ class Index:
         self.maxima = np.zeros((len(df) + 1, max(1, -(-len(texts) // self.block))), np.float32)
         for t, (items_, values) in enumerate(self.postings):
             np.maximum.at(self.maxima[t], np.array(items_) // self.block, np.array(values, np.float32))
+        # Maxima of smaller blocks, as far as a fixed size allows: they rule out most of what the larger ones let pass.
+        self.small = max(1, self.block // 4, -(-len(texts) * (len(df) + 1) // FINE_CELLS))
+        self.fine = np.zeros((len(df) + 1, max(1, -(-len(texts) // self.small))), np.float32)
+        for t, (items_, values) in enumerate(self.postings):
+            np.maximum.at(self.fine[t], np.array(items_) // self.small, np.array(values, np.float32))
         self.question, self.answer = zip(*[tuple(runs(p) for p in parts(t)) for t in texts], strict=True) if texts else ((), ())
 
     def wand(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
@@ -141,7 +147,7 @@ class Index:
             a, b = int(starts[p]), int(ends[p])
             distinct = np.unique(terms[a:b])
             distinct = distinct[distinct < unknown]
-            if self.maxima[distinct].sum(0).max() < threshold - 1e-4:
+            if self.maxima[distinct].sum(0).max() < threshold - 1e-4 or self.fine[distinct].sum(0).max() < threshold - 1e-4:
                 continue
             own = None
             for item, score in self.wand(distinct.tolist(), threshold):
