@@ -25,7 +25,7 @@ def normalize_text(text: Column, lower: bool = True, strip_accents: bool = True,
 
 def split_tokens(text: Column) -> Column:
     """Runs of a-z, of digits and of symbols, with one blank between them; other characters are dropped."""
-    return F.array_join(F.regexp_extract_all(F.lower(text), F.lit(r"([a-z]+|\d+|[^\w\s]+)"), F.lit(1)), " ")
+    return F.array_join(F.regexp_extract_all(F.lower(text), F.lit(r"([a-z]+|\d+|[^\p{L}\p{M}\p{N}_\s]+)"), F.lit(1)), " ")
 
 
 def distinct_tokens(text: Column, stop: tuple[str, ...] = ()) -> Column:

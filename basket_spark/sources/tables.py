@@ -115,7 +115,7 @@ def overwrite_slice(new: DataFrame, spec: TableSpec, where: str, work_dir: str)
 
 def overwrite_partitions(new: DataFrame, spec: TableSpec) -> None:
     """Replace the partitions that ``new`` has rows of."""
-    spec.shaped(new).select(spec.schema.names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(spec.name)
+    spec.shaped(new).select(new.sparkSession.table(spec.name).columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(spec.name)
 
 
 def insert_only_merge(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
