@@ -92,11 +92,10 @@ class Codec:
     def encode(self, text: str) -> bytes:
         """The ids of the text as little-endian unsigned 32-bit integers."""
         tokens = self.split(text)
-        if new := set(tokens) - self.known.keys():
-            if len(self.known) > _KEPT:
-                self.known.clear()
-                new = set(tokens)
-            self._encode(list(new))
+        if len(self.known) > _KEPT:
+            self.known.clear()
+        if new := [t for t in set(tokens) if t not in self.known]:
+            self._encode(new)
         return b"".join(map(self.known.__getitem__, tokens))
 
     def decode(self, ids: bytes) -> bytes:
