@@ -115,7 +115,13 @@ def overwrite_slice(new: DataFrame, spec: TableSpec, where: str, work_dir: str)
 
 def overwrite_partitions(new: DataFrame, spec: TableSpec) -> None:
     """Replace the partitions that ``new`` has rows of."""
-    spec.shaped(new).select(new.sparkSession.table(spec.name).columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(spec.name)
+    spark, mode = new.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        spec.shaped(new).select(spark.table(spec.name).columns).write.mode("overwrite").insertInto(spec.name)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def insert_only_merge(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
