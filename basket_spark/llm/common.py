@@ -1,41 +1,21 @@
-"""Helpers shared by the operators: reading tables and cutting lineage in the shared folder."""
+"""Helpers shared by the operators."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored, work_dir
+
+__all__ = ["narrow", "stored", "table", "utf8", "work_dir"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of the folder ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` or the context's checkpoint folder.
-
-    Only where neither is set (a local test) a temporary folder is made and set.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="basket-spark-")
-        spark.sparkContext.setCheckpointDir(path)
-        path = spark.sparkContext.getCheckpointDir()
-    return path.rstrip("/")
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: later steps start from the files,
-    also after executors are lost."""
-    path = f"{work_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def narrow(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under internal names, so that extra columns of the input cannot clash.
 
