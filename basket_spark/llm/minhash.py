@@ -5,8 +5,15 @@ circularly by k, gives coordinate k. Shifts of a shingle are neighbours in the s
 values for all coordinates are one slice of it.
 
 Work on equal sets is done once: documents of one shingle set are a class, and its least id stands for it. In each
-bucket every class is compared with the bucket's least id (a star, not all pairs); what is then still apart from the
-bucket's largest component is compared with all its other members. Links hold on full shingle sets only.
+bucket every class is compared with the bucket's centre, the member that shares most buckets (a star, not all pairs).
+What a star leaves apart is compared further only where sizes or shared shingles outside the centre allow a link:
+
+* Two members that share no shingle outside the centre have at most min(x, y) / (max(x, y) + what either has outside) in
+  common, x and y being their shares of the centre.
+* Otherwise a link needs 0.8 |X| - x shared shingles outside at least, so the two share one among the rarest of them
+  (a prefix filter).
+
+Links hold on full shingle sets only.
 """
 
 from __future__ import annotations
@@ -109,24 +116,85 @@ def _similar(x: str, y: str) -> F.Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * SIMILARITY
 
 
-def _links(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough. ``texts``: (id, text)."""
+def _compared(pairs: DataFrame, texts: DataFrame, words: int, outside: bool = False) -> DataFrame:
+    """(a, b, both, link) of pairs (a, b): size of the intersection of their full shingle sets, and whether they are similar
+    enough; with ``outside`` also the shingles of b that a hasn't. ``texts``: (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, np.zeros(0, np.uint64)
         for batch in batches:
-            good = []
+            both, link, more = [], [], []
             for one, two in zip(utf8(batch["one"]), utf8(batch["two"]), strict=True):
                 if one != last:
                     last, own = one, shingles(one, words)
                 other = shingles(two, words)
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                good.append(both > 0 and 100 * both >= SIMILARITY * (len(own) + len(other) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+                n = len(np.intersect1d(own, other, assume_unique=True))
+                both.append(n)
+                link.append(n > 0 and 100 * n >= SIMILARITY * (len(own) + len(other) - n))
+                if outside:
+                    more.append(np.setdiff1d(other, own, assume_unique=True).view(np.int64))
+            out = [batch["a"], batch["b"], pa.array(both, pa.int64()), pa.array(link, pa.bool_())]
+            names = ["a", "b", "both", "link"]
+            yield pa.RecordBatch.from_arrays([*out, pa.array(more, pa.list_(pa.int64()))], [*names, "outside"]) if outside else pa.RecordBatch.from_arrays(out, names)
 
     kind = pairs.schema["a"].dataType.simpleString()
     joined = pairs.join(texts.toDF("b", "two"), "b").join(texts.toDF("a", "one"), "a")
-    return joined.select("a", "b", "one", "two").mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return joined.select("a", "b", "one", "two").mapInArrow(run, f"a {kind}, b {kind}, both long, link boolean" + ", outside array<long>" * outside)
+
+
+def _members(classes: DataFrame) -> DataFrame:
+    """(bucket, id, n, centre) of the classes that share a bucket with others."""
+    spread = classes.select("id", "n", F.explode("bands").alias("bucket"))
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    found = stored(spread.join(shared, "bucket"), "members")
+    degree = found.groupBy("id").agg(F.sum("size").alias("degree"))
+    centres = found.join(degree, "id").groupBy("bucket").agg(F.min(F.struct((-F.col("degree")).alias("d"), "id")).alias("c"))
+    return stored(found.join(centres, "bucket").select("bucket", "id", "n", F.col("c.id").alias("centre")), "centred")
+
+
+def _links(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Edges (a, b) that give the components of the links between the members of all buckets."""
+    stars = stored(_compared(members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), texts, words, outside=True), "stars")
+    joined = connected_components(stars.where("link").select("a", "b"))
+    placed = members.join(joined.toDF("id", "component"), "id", "left").select("bucket", "id", "n", "centre", F.coalesce("component", "id").alias("component"))
+    placed = stored(placed, "placed")
+    largest = placed.groupBy("bucket", "component").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    sizes = stars.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.col("both").alias("inside"), F.size("outside").cast("long").alias("extra"))
+    open_ = placed.join(largest.select("bucket", F.col("top.component").alias("largest")), "bucket").join(sizes, ["centre", "id"], "left")
+    open_ = stored(open_.select("bucket", "centre", "id", "n", "component", (F.col("component") != F.col("largest")).alias("apart"), F.coalesce("inside", "n").alias("inside"), F.coalesce("extra", F.lit(0)).alias("extra")), "open")
+    rest = _sharing_the_centre(open_).union(_sharing_more(open_, stars)).distinct()
+    known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = _compared(rest.join(known, ["a", "b"], "left_anti"), texts, words).where("link").select("a", "b")
+    return joined.toDF("a", "b").union(found)
+
+
+def _pairs(left: DataFrame, right: DataFrame, on: list[str], condition: F.Column) -> DataFrame:
+    """Distinct (a < b) of rows in different components, one of them apart from its bucket's largest, of like sizes."""
+    other = left.where("apart").select(*on, *[F.col(c).alias(f"{c}_1") for c in left.columns if c not in on])
+    joined = other.join(right, on).where((F.col("component") != F.col("component_1")) & _similar("n", "n_1") & condition)
+    return joined.select(F.least("id", "id_1").alias("a"), F.greatest("id", "id_1").alias("b")).distinct()
+
+
+def _sharing_the_centre(open_: DataFrame) -> DataFrame:
+    """Pairs of a bucket that could be linked by shingles of the centre alone."""
+    bound = F.least("inside", "inside_1") * 100 >= (F.greatest("inside", "inside_1") + F.col("extra") + F.col("extra_1")) * SIMILARITY
+    return _pairs(open_, open_, ["bucket"], bound)
+
+
+def _sharing_more(open_: DataFrame, stars: DataFrame) -> DataFrame:
+    """Pairs of a centre that share one of the rarest shingles outside it, as many as a link leaves room for."""
+    rows = open_.groupBy("centre", "id", "n", "component", "inside").agg(F.max("apart").alias("apart"))
+    spread = rows.join(stars.select(F.col("a").alias("centre"), F.col("b").alias("id"), "outside"), ["centre", "id"])
+    spread = spread.select("centre", "id", "n", "component", "apart", "inside", F.explode("outside").alias("shingle"))
+    often = spread.groupBy("centre", "shingle").agg(F.count("*").alias("often"), F.max("apart").alias("any")).where("often > 1 AND any")
+    # Shingles that no other has come first in the order and pair with nothing: it is enough to count them.
+    common = spread.join(often, ["centre", "shingle"])
+    each = common.groupBy("centre", "id", "n", "component", "apart", "inside").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("common"))
+    needed = F.greatest(F.lit(1), F.ceil((F.col("n") * SIMILARITY - F.col("inside") * 100) / 100)).cast("int")
+    # Of the m = n - inside shingles outside the first m - needed + 1 are the prefix; m - size(common) of them are alone.
+    room = F.size("common") - needed + 1
+    prefix = each.where(room > 0).select("centre", "id", "n", "component", "apart", F.explode(F.slice("common", F.lit(1), room)).alias("s")).select("centre", "id", "n", "component", "apart", F.col("s.shingle").alias("shingle"))
+    return _pairs(prefix, prefix, ["centre", "shingle"], F.lit(True))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
@@ -140,15 +208,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = stored(_sketches(rows, words), "sketches")
     known = sketches.where("n > 0 AND id IS NOT NULL")
     classes = known.groupBy("hi", "lo").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    spread = classes.select("id", "n", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("id", "n")).alias("centre")).where("size > 1")
-    members = stored(spread.join(shared, "bucket").select("bucket", "id", "n", F.col("centre.id").alias("centre"), F.col("centre.n").alias("centre_n")), "members")
+    members = _members(classes)
     texts = stored(rows.join(members.select("id").distinct(), "id", "left_semi"), "texts")
-
-    first = stored(members.where((F.col("id") != F.col("centre")) & _similar("n", "centre_n")).select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    links = stored(_links(first, texts, words), "links")
-    rest = stored(_apart(members, connected_components(links)).join(first, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_links(rest, texts, words))
+    links = _links(members, texts, words)
 
     owner = classes.select("hi", "lo", F.col("id").alias("owner"))
     classed = sketches.join(owner, ["hi", "lo"], "left")
@@ -163,20 +225,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs (a < b) of a bucket in different components, of sizes that can be similar.
-
-    Each has an end outside the bucket's largest component, so only those meet the bucket's members.
-    """
-    placed = members.join(found.toDF("id", "component"), "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("component"))
-    placed = stored(placed, "placed")
-    largest = placed.groupBy("bucket", "component").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    open_ = placed.join(largest.select("bucket", F.col("top.component").alias("largest")), "bucket")
-    outside = open_.where("component != largest").toDF("bucket", "id1", "n1", "component1", "largest")
-    pairs = outside.join(open_.drop("largest"), "bucket").where((F.col("component") != F.col("component1")) & _similar("n", "n1"))
-    return pairs.select(F.least("id", "id1").alias("a"), F.greatest("id", "id1").alias("b")).distinct()
-
-
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
     """The rows of ``docs``, all columns, without the near-duplicates of a lesser id; of rows that share an id one stays,
     the least by its columns' order."""
