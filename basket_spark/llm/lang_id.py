@@ -24,6 +24,8 @@ BUCKET_BITS = 16
 SAMPLE_PER_LANGUAGE = 3000
 #: A prediction is ambiguous when its score leads the next by less.
 AMBIGUITY_GAP = 0.2
+#: A filter rejects a text when the lead is less than this: the two best come out alike.
+REJECT_GAP = 0.05
 UNDETERMINED = "und"
 _BUCKETS = 1 << BUCKET_BITS
 _CHUNK = 1 << 18
@@ -112,8 +114,8 @@ def margins(model: Model, text: str) -> np.ndarray | None:
     return total / n if n else None
 
 
-def predict(model: Model, text: str | None) -> tuple[str, float, bool]:
-    """(language, score 0 to 1, ambiguous). `und`, 0, True for a null text, one without letters or no languages."""
+def predict(model: Model, text: str | None, gap: float = AMBIGUITY_GAP) -> tuple[str, float, bool]:
+    """(language, score 0 to 1, ambiguous: whether the lead is below ``gap``). `und`, 0, True for a null text, one without letters or no languages."""
     if not text or not model.languages or (margin := margins(model, text)) is None:
         return UNDETERMINED, 0.0, True
     if len(model.languages) == 1:
@@ -123,7 +125,7 @@ def predict(model: Model, text: str | None) -> tuple[str, float, bool]:
     share = np.exp(loss.min() - loss)
     share /= share.sum()
     first, second = np.argsort(-share, kind="stable")[:2]
-    return model.languages[first], float(share[first]), bool(share[first] - share[second] < AMBIGUITY_GAP)
+    return model.languages[first], float(share[first]), bool(share[first] - share[second] < gap)
 
 
 def held_out(doc_id: str) -> F.Column:
@@ -217,13 +219,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose language can be told: text with letters, and not so mixed that the two
-    best languages come out alike (equal to within ``AMBIGUITY_GAP`` of their shares)."""
+    best languages come out alike (equal to within ``REJECT_GAP`` of their shares)."""
     shared, schema = docs.sparkSession.sparkContext.broadcast(model), docs.schema
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [predict(shared.value, x) for x in batch.column(at).to_pylist()]
+            out = [predict(shared.value, x, REJECT_GAP) for x in batch.column(at).to_pylist()]
             yield batch.filter(pa.array([lang != UNDETERMINED and not unsure for lang, _, unsure in out], pa.bool_()))
 
     return docs.mapInArrow(run, schema)

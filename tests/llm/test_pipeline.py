@@ -14,7 +14,7 @@ def test_against_brute_force(spark, real):
     """The stages by plain loops: language, groups of all pairs, all passages against all items, surrogates, ids."""
     model = lang_id.fit(real)
     rows = [(r.doc_id, r.text) for r in real.collect()]
-    rows = [(k, t) for k, t in rows if (p := lang_id.predict(model, t))[0] != "und" and not p[2]]
+    rows = [(k, t) for k, t in rows if (p := lang_id.predict(model, t, lang_id.REJECT_GAP))[0] != "und" and not p[2]]
     groups = brute_groups(rows, 5)
     rows = [(k, t) for k, t in rows if groups[k][1] == k]
     items = [(r.item_id, r.text.encode()) for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
