@@ -34,7 +34,7 @@ UNIVERSE = 1 << 20
 BANDS, ROWS = 48, 6
 SIMILARITY = 80  # in hundredths
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-_KEPT_WORDS = 1 << 20
+_KEPT_WORDS = 1 << 18
 
 
 class _WordHashes(dict):
