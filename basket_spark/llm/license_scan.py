@@ -79,7 +79,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
         "n_words",
         F.size("base").cast("long").alias("n_base"),
         F.when(any_base, blanks(F.get(F.split("words", _PHRASE, 2), F.lit(0)))).cast("long").alias("first_word"),
-        F.when(any_base, blanks(F.regexp_extract("words", f"^(.*){_PHRASE}", 1))).cast("long").alias("last_word"),
+        F.when(any_base, blanks(F.regexp_extract("words", f"(?s)^(.*){_PHRASE}", 1))).cast("long").alias("last_word"),
         F.array_join("base_labels", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base_labels", "more")), ",").alias("labels"),
         F.greatest(F.col("best"), F.when(any_base, 0.8).otherwise(0.0)).cast("double").alias("score"),

@@ -86,20 +86,26 @@ class Surrogates:
         """Another number below n (the same only for n = 1); different numbers stay different."""
         return x if n < 2 else self._permute(tweak, n, (self._permute(tweak, n, x, back=True) + 1) % n)
 
-    def text(self, kind: str, value: str, alphabets: list[str]) -> str:
-        """``value`` with each character that its alphabet has replaced; "" leaves a character."""
+    def text(self, kind: str, value: str, alphabets: list[str], stays: Callable[[str], bool] = lambda _: True) -> str:
+        """``value`` with each character that its alphabet has replaced; "" leaves a character.
+
+        Values for which ``stays`` holds, ``value`` among them, only become each other: the cycle is walked on to the next
+        of them, so what has surrogates of another kind never meets these.
+        """
         n, x = 1, 0
         for c, a in zip(value, alphabets, strict=True):
             if a:
                 n, x = n * len(a), x * len(a) + a.index(c)
         shape = "".join(c if not a else f"<{a[0]}{len(a)}>" for c, a in zip(value, alphabets, strict=True))
-        x, out = self.number(f"{kind}|{shape}".encode(), n, x), []
-        for c, a in zip(reversed(value), reversed(alphabets), strict=True):
-            if a:
-                x, i = divmod(x, len(a))
-                c = a[i]
-            out.append(c)
-        return "".join(reversed(out))
+        while True:
+            x, rest, out = (y := self.number(f"{kind}|{shape}".encode(), n, x)), y, []
+            for c, a in zip(reversed(value), reversed(alphabets), strict=True):
+                if a:
+                    rest, i = divmod(rest, len(a))
+                    c = a[i]
+                out.append(c)
+            if stays(new := "".join(reversed(out))):
+                return new
 
     def _of(self, kind: str, value: str) -> str:
         plain = [_ALPHABETS.get(c, "") for c in value]
@@ -120,9 +126,10 @@ class Surrogates:
             return self._iban(value, plain)
         if kind == "secret":
             start = 4 if re.match("AKIA|gh._", value) else 0
-            if re.fullmatch("[0-9a-f]+", value):
-                plain = [_HEX] * len(value)
-            return value[:start] + self.text(kind, value[start:], plain[start:])
+            is_hex = re.compile("[0-9a-f]+").fullmatch
+            if not start and is_hex(value):
+                return self.text(kind, value, [_HEX] * len(value))
+            return value[:start] + self.text(kind, value[start:], plain[start:], lambda new: bool(start) or not is_hex(new))
         if kind == "name":
             return re.sub(r"\S+", lambda m: self._name(m[0]), value)
         return self.text(kind, value, plain)
@@ -139,7 +146,7 @@ class Surrogates:
                 same = [x for x in a if (x.lower() in vowels) == (c.lower() in vowels)]
                 a = "".join(same)
             swap.append(a)
-        return self.text("surname", word, swap)
+        return self.text("surname", word, swap, lambda new: new not in _PLACE)
 
     @staticmethod
     def _luhn(digits: list[int]) -> int:
@@ -149,7 +156,7 @@ class Surrogates:
         """The issuer's digit stays, and so does whether the check digit is right."""
         digits = [int(c) for c in value if c.isdigit()]
         if self._luhn(digits):
-            return value[0] + self.text("card", value[1:], plain[1:])
+            return value[0] + self.text("card", value[1:], plain[1:], lambda new: self._luhn([int(c) for c in value[0] + new if c.isdigit()]) != 0)
         last = max(i for i, c in enumerate(value) if c.isdigit())
         out = value[0] + self.text("luhn", value[1:last], plain[1:last])
         body = [int(c) for c in out if c.isdigit()]
@@ -162,7 +169,7 @@ class Surrogates:
             return int("".join(str(int(c, 36)) for c in moved[4:] + moved[:4])) % 97
 
         if rest(value) != 1:
-            return value[:2] + self.text("iban", value[2:], plain[2:])
+            return value[:2] + self.text("iban", value[2:], plain[2:], lambda new: rest(value[:2] + new) != 1)
         body = self.text("iban97", value[4:], plain[4:])
         return f"{value[:2]}{98 - rest(value[:2] + '00' + body):02d}{body}"
 

@@ -19,7 +19,7 @@ def brute(text):
 NOTICES = [
     "Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "CC BY-NC 4.0 and cc-by 3.0", "This work is licensed under the GNU General Public License, version 3.",
     "GNU  general\npublic LICENSE v2 or any later version; Apache License mit license MIT license cc by cc by", "All rights reserved. Copyright (c) 2020", "SPDX-License-Identifier: GPL-3.0-only", "Creative Commons Attribution-ShareAlike 4.0 International License",
-    "under the BSD 3-clause license", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "the MİT lıcense, the Known apache licenſe", "mit einer Lizenz", "MIT", "accc bying", "cc by", "mit license", "xmit license", "mit licensed",
+    "under the BSD 3-clause license", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "the MİT lıcense, the Known apache licenſe", "mit einer Lizenz", "MIT", "accc bying", "cc by", "mit license", "xmit license", "mit licensed", "apache license a\u2028b \u0085 mit license \u2029 end",
 ]
 
 

@@ -42,6 +42,26 @@ def test_surrogates_are_distinct_and_keyed():
         assert all(x != y for x, y in enumerate(image))
 
 
+def test_kinds_of_one_type_never_meet():
+    """Values whose surrogates come from different permutations: with and without right check digits, hexadecimal or not,
+    known first names or not."""
+    def image(kind, values):
+        return {v: S.of(kind, v) for v in values}
+
+    cards = image("card", [f"400000000000{i:04d}" for i in range(10000)])
+    assert len(set(cards.values())) == len(cards)
+    right = lambda c: pii.Surrogates._luhn([int(x) for x in c]) == 0
+    assert all(right(a) == right(b) for a, b in cards.items())
+    secrets = image("secret", [f"{i:04d}{c}" for i in range(2000) for c in "aflz"])
+    assert len(set(secrets.values())) == len(secrets)
+    assert all(bool(re.fullmatch("[0-9a-f]+", a)) == bool(re.fullmatch("[0-9a-f]+", b)) for a, b in secrets.items())
+    words = image("name", [a + b + c for a in "JLAEPH" for b in "aeu" for c in ("an", "uc", "mma", "ns", "bb")] + list(pii._PLACE))
+    assert len(set(words.values())) == len(words)
+    assert all((a in pii._PLACE) == (b in pii._PLACE) and a != b for a, b in words.items())
+    ibans = image("iban", [f"DE{i:02d}370400440532013000" for i in range(100)])
+    assert len(set(ibans.values())) == len(ibans)
+
+
 def test_clean_texts_stay(real):
     clean = [r.text for r in real.collect() if r.text and not re.search(r"[0-9@]", r.text)]
     assert clean
