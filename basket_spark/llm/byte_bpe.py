@@ -16,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import narrow
+from .common import few, narrow
 
-_KEPT = 1 << 18
+_KEPT = 1 << 16
 
 
 def byte_characters() -> list[str]:
@@ -118,7 +118,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
+        for batch in few(batches):
             n, ids, decoded = [], [], []
             for text in batch["text"].to_pylist():
                 found = own.encode(text or "")
@@ -136,7 +136,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
+        for batch in few(batches):
             ids = [own.encode(text or "") for text in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
 
@@ -149,7 +149,7 @@ def decoded(rows: DataFrame, path: str, pattern: str, id_col: str = "doc_id", id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
+        for batch in few(batches):
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([None if x is None else own.decode(x).decode("utf-8", "replace") for x in batch["ids"].to_pylist()], pa.string())], ["doc_id", "text"])
 
     return got.mapInArrow(run, f"doc_id {got.schema['doc_id'].dataType.simpleString()}, text string")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, utf8
+from .common import few, narrow, utf8
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -187,7 +187,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             found: list[tuple] = []
             for doc, text in zip(batch["doc_id"].to_pylist(), utf8(batch["text"]), strict=True):
                 found += [(doc, *h) for x in shared for h in x.value.hits(text, threshold, overlap)]
@@ -203,7 +203,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text") -> Dat
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             yield batch.filter(pa.array([not any(x.value.hits(t) for x in shared) for t in utf8(batch.column(at))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow
+from .common import few, narrow
 
 #: Buckets of the n-gram hash: 2 to this power.
 BUCKET_BITS = 16
@@ -150,7 +150,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in few(batches):
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 if (own := histogram(text)) is not None:
                     sums[lang] = sums.get(lang, 0) + own / own.sum()  # each text counts alike
@@ -180,7 +180,7 @@ def _calibrated(model: Model, rows: DataFrame) -> Model:
     shared, place = rows.sparkSession.sparkContext.broadcast(model), {k: i for i, k in enumerate(model.languages)}
 
     def margin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             found = [(k, m.tolist()) for k, x in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True) if (m := margins(shared.value, x)) is not None]
             yield pa.RecordBatch.from_pydict({"lang": [k for k, _ in found], "m": [m for _, m in found]}, pa.schema([("lang", pa.string()), ("m", pa.list_(pa.float64()))]))
 
@@ -208,7 +208,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             out = [predict(shared.value, x) for x in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.bool_())], ["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
 
@@ -224,7 +224,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> Da
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             out = [predict(shared.value, x, REJECT_GAP) for x in batch.column(at).to_pylist()]
             yield batch.filter(pa.array([lang != UNDETERMINED and not unsure for lang, _, unsure in out], pa.bool_()))
 

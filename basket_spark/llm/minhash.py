@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, stored, utf8
+from .common import few, narrow, stored, utf8
 from .components import connected_components
 
 UNIVERSE = 1 << 20
@@ -34,7 +34,7 @@ UNIVERSE = 1 << 20
 BANDS, ROWS = 48, 6
 SIMILARITY = 80  # in hundredths
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-_KEPT_WORDS = 1 << 18
+_KEPT_WORDS = 1 << 16
 
 
 class _WordHashes(dict):
@@ -97,7 +97,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
     """(id, n, hi, lo, bands) of each row: size of its set, 128 bits that stand for the set, its buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             n, hi, lo, bands = [], [], [], []
             for text in utf8(batch["text"]):
                 found = shingles(text, words)
@@ -122,7 +122,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int, outside: bool = Fa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, np.zeros(0, np.uint64)
-        for batch in batches:
+        for batch in few(batches):
             both, link, more = [], [], []
             for one, two in zip(utf8(batch["one"]), utf8(batch["two"]), strict=True):
                 if one != last:

@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import narrow
+from .common import few, narrow
 
 KEY = b"basket-spark surrogate key"  # give your own
 
@@ -212,7 +212,7 @@ def with_surrogates(docs: DataFrame, text_col: str = "text", key: bytes = KEY) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         surrogates = Surrogates(key)
-        for batch in batches:
+        for batch in few(batches):
             text = pa.array(_replaced(batch.column(at), surrogates)[0], batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays([text if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
 
@@ -226,7 +226,7 @@ def surrogate_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         surrogates = Surrogates(key)
-        for batch in batches:
+        for batch in few(batches):
             text, kinds = _replaced(batch["text"], surrogates)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(text, pa.string()), pa.array([k.total() for k in kinds], pa.int64()), pa.array([",".join(sorted(k)) for k in kinds], pa.string())], ["doc_id", "text", "n_entities", "kinds"])
 
