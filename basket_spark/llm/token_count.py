@@ -79,10 +79,11 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = _model(model_path)
         for batch in batches:
-            # The model puts a blank in front of whatever it gets; a line feed's own costs a piece more.
+            # The model puts a blank in front of whatever it gets. What has no blank of its own goes behind a line feed,
+            # as in the texts: no piece reaches across it, while one may join another letter with what follows.
             texts = batch["token"].to_pylist()
-            counts = [len(x) for x in sp.encode([t[1:] if t[0] == " " and t[1:] else "x" + t for t in texts], num_threads=1)]
-            alone = len(sp.encode("x"))
+            counts = [len(x) for x in sp.encode([t[1:] if t[0] == " " and t[1:] else "x\n" + t for t in texts], num_threads=1)]
+            alone = len(sp.encode("x\n"))
             counts = [n if t[0] == " " and t[1:] else n - alone for n, t in zip(counts, texts, strict=True)]
             yield pa.RecordBatch.from_arrays([batch["token"], batch["n"], pa.array(counts, pa.int64())], ["token", "n", "pieces"])
 

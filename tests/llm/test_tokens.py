@@ -30,6 +30,17 @@ def test_odd_spaces_and_symbols(spark):
     assert got == {i: len(sp.encode(t)) for i, t in enumerate(texts)}
 
 
+def test_all_that_follows_a_line_feed(spark):
+    """No letter put in front may join what stands at the start of a line: 'xml' is a piece, 'ml' after a line feed another."""
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").selectExpr("explode(regexp_extract_all(text, '\\\\n([^ \\\\n]+)', 1)) AS t").distinct().collect()
+    starts = sorted({"ml", "the.65@mail7.example.com"} | {r.t for r in texts})
+    assert len(starts) > 20000
+    docs = spark.createDataFrame([(i, f"foo\n{t}") for i, t in enumerate(starts)], "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in token_count.count_tokens(docs, PIECES).collect()}
+    assert got == {i: len(sp.encode(f"foo\n{t}")) for i, t in enumerate(starts)}
+
+
 def test_empty(none):
     assert token_count.count_tokens(none, PIECES).count() == 0
     assert byte_bpe.digests(none, RANKS, public_tokenizers.PATTERN).count() == 0
