@@ -14,6 +14,7 @@ from .functions import vectors as vx
 from .operators import aggregates, joins, kmeans, metrics, ranking, regression, similarity
 from .plans import allocation, cards, customers, embeddings, ingests, pricing, sophistication, substitutes, usuals
 from .sources import incremental, readers, sheets, tables
+from .sources.shared import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,8 +47,8 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY customer_key ORDER BY
 usual AS (SELECT customer_key, ean, score, relevance FROM ranked LEFT JOIN caps USING (customer_key) WHERE relevance <= coalesce(cap, 30))"""
 
 
-def _usuals(spark: SparkSession, d: str) -> DataFrame:
-    return usuals.usuals(b.sales(spark, d), b.baskets(spark, d), b.delivery(spark, d), ON_DATE, months=24, filter_months=24)
+def _usuals(spark: SparkSession, d: str, on_date: str = ON_DATE) -> DataFrame:
+    return usuals.usuals(b.sales(spark, d), b.baskets(spark, d), b.delivery(spark, d), on_date, months=24, filter_months=24)
 
 
 @query(f"{_USUALS} SELECT * FROM usual")
@@ -569,8 +570,20 @@ def coupon_allocation(spark, d):
     return allocation.coupon_allocation(loyal, allocation.acquisition_offers(by_offer, bought, loyal), priority)
 
 
+def _sku_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """(sku, embedding) of all products that stand in five baskets of a usual size."""
+    return embeddings.train_sku_embeddings(embeddings.w2v_baskets(b.sales(spark, d), b.baskets(spark, d), quantity=(2, 500)), min_count=5)
+
+
+def _near(spark: SparkSession, d: str) -> DataFrame:
+    """(customer_key, ean, sub_category, category, brand, distance) of all customers and products that have vectors."""
+    v = stored(_sku_vectors(spark, d).select(F.col("sku").cast("long").alias("sku"), "embedding"), "sku_vectors")
+    who = stored(embeddings.customer_embeddings(b.sales(spark, d), v, ON_DATE), "customer_vectors")
+    return similarity.cosine_pairs(who, v, "customer_key", "sku", below=1).withColumnRenamed("sku", "ean").join(b.products(spark, d).select("ean", "sub_category", "category", "brand"), "ean")
+
+
 def _candidates(spark: SparkSession, d: str) -> DataFrame:
-    near, bought = _distances(spark, d)
+    near, bought = _near(spark, d), b.sales(spark, d).join(b.products(spark, d), "ean")
     by_ean = bought.groupBy("customer_key", "ean").agg(F.count_distinct("transaction_date").alias("n_purchases"))
     by_group = bought.groupBy("customer_key", "sub_category").agg(F.count_distinct("transaction_date").alias("n"))
     by_ean = ranking.with_rank(by_ean, ["customer_key"], [F.desc("n_purchases"), F.asc("ean")], "relevance_ean")
@@ -588,13 +601,17 @@ def personalized_products_without_usuals(spark, d):
     return allocation.personalized_products(_candidates(spark, d), per_sub_category=2, per_category=None, top_n=20, usual=_usuals(spark, d))
 
 
+def _own_brand(spark: SparkSession, d: str, on_date: str) -> DataFrame:
+    """Own-brand candidates for the usual products at a date."""
+    p = b.products(spark, d)
+    subs = p.select("ean", "sub_category").join(p.where("brand = 'Brand#7'").select("sub_category", F.col("ean").alias("substitute"), F.col("ean").alias("substitution_rank")), "sub_category").drop("sub_category")
+    return usuals.own_brand_candidates(_usuals(spark, d, on_date), p, subs, F.col("brand") == "Brand#7")
+
+
 @query()
 def own_brand_injection(spark, d):
-    usual, p = _usuals(spark, d), b.products(spark, d)
-    subs = b.products(spark, d).select("ean", "sub_category").join(p.where("brand = 'Brand#7'").select("sub_category", F.col("ean").alias("substitute"), F.col("ean").alias("substitution_rank")), "sub_category").drop("sub_category")
-    found = usuals.own_brand_candidates(usual, p, subs, F.col("brand") == "Brand#7")
     bought = b.sales(spark, d).where("transaction_date >= DATE '2001-06-01'").select("customer_key", "ean")
-    return usuals.inject_own_brand(usual, found, bought, bought.limit(0))
+    return usuals.inject_own_brand(_usuals(spark, d), _own_brand(spark, d, ON_DATE), bought, _own_brand(spark, d, "2001-06-01"))
 
 
 @query(f"{_USUALS} SELECT DATE '2001-07-01' AS date, customer_key, md5(CAST(customer_key AS VARCHAR)) AS hash_string, sku AS sku_product, ean, relevance, CAST(3 AS INTEGER) AS store_banner, lpad(CAST(sku AS VARCHAR), 18, '0') || '-UN' AS vtexrefid FROM usual JOIN products USING (ean)")

@@ -62,3 +62,30 @@ def test_own_brand_injection(spark):
 @pytest.mark.parametrize("name", ["customer_segments", "brand_segments", "sensitivity_class", "elasticity_wls", "w2v_neighbours", "personalized_products_without_usuals"])
 def test_others_give_rows(spark, name):
     assert queries.queries()[name](spark, DIR).limit(1).count() == 1
+
+
+def test_distances_are_cosines_of_all_customers_and_products(spark):
+    import numpy as np
+    from basket_spark import binding
+    from basket_spark.plans import embeddings
+
+    rows = queries._near(spark, DIR).collect()
+    v = queries._sku_vectors(spark, DIR).selectExpr("CAST(sku AS BIGINT) AS sku", "embedding")
+    of_product = {r.sku: np.array(r.embedding, float) for r in v.collect()}
+    of_customer = {r.customer_key: np.array(r.embedding, float) for r in embeddings.customer_embeddings(binding.sales(spark, DIR), v, binding.ON_DATE).collect()}
+    cosine = lambda a, b: 1 - a @ b / np.sqrt(a @ a * (b @ b))
+    want = {(c, e): x for c, a in of_customer.items() for e, b in of_product.items() if (x := cosine(a, b)) < 1}
+    assert {(r.customer_key, r.ean) for r in rows} == set(want)
+    assert all(abs(r.distance - want[r.customer_key, r.ean]) < 1e-4 for r in rows)
+    assert len({c % 10 for c, _ in want}) > 1
+    assert {e % 5 for _, e in want} == {0, 1, 2, 3, 4}
+
+
+def test_own_brand_recommended_and_not_bought_goes(spark):
+    from basket_spark import binding
+
+    pairs = lambda df: {(r.customer_key, r.ean) for r in df.select("customer_key", "ean").collect()}
+    bought = pairs(binding.sales(spark, DIR).where("transaction_date >= DATE '2001-06-01'"))
+    stale = pairs(queries._own_brand(spark, DIR, "2001-06-01")) - bought
+    assert stale & pairs(queries._own_brand(spark, DIR, binding.ON_DATE))
+    assert not stale & pairs(queries.own_brand_injection(spark, DIR).where("injected"))
