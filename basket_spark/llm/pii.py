@@ -23,28 +23,34 @@ from .common import few, narrow
 KEY = b"basket-spark surrogate key"  # give your own
 
 _FIRST = {
-    ("f", "latin"): "Anna Maria Laura Sophie Emma Julia Clara Marta Elena Alice Claire Camille Lucia Carmen Isabel Hannah Greta Helga Ingrid Petra Susan Karen Linda Emily Sarah".split(),
-    ("m", "latin"): "John Peter Thomas Michael David James Robert William Paul Hans Karl Klaus Jürgen Stefan Pierre Jean Luc Michel Antoine Carlos Miguel Javier Diego Pablo Andrés".split(),
-    ("f", "cyrillic"): "Анна Мария Елена Ольга Наталья Ирина Татьяна Светлана".split(),
-    ("m", "cyrillic"): "Иван Пётр Сергей Алексей Дмитрий Андрей Николай Владимир".split(),
-    ("f", "greek"): "Μαρία Ελένη Αικατερίνη Σοφία".split(),
-    ("m", "greek"): "Γεώργιος Ιωάννης Νικόλαος Δημήτριος".split(),
+    ("f", "latin"): "Anna Maria Laura Sophie Emma Julia Clara Marta Elena Alice Claire Camille Lucia Carmen Isabel Hannah Greta Helga Ingrid Petra Susan Karen Linda Emily Sarah Mary Patricia Jennifer Elizabeth Barbara Jessica Nancy Margaret Sandra Ashley Kimberly Donna Michelle Carol Amanda Melissa Deborah Stephanie Rebecca Sharon Cynthia Kathleen Amy Angela Olivia Charlotte Amelia Sophia Isabella Gudrun Ursula Sabine Monika Renate Brigitte Heike Andrea Katharina Johanna Franziska Lena Lea Marie Catherine Nathalie Isabelle Sylvie Martine Françoise Chloé Giulia Francesca Chiara Paola Ana Sofía Lucía Valentina Gabriela Fernanda Agnieszka Katarzyna Małgorzata Ingeborg Astrid Freya Aisha Fatima Priya Mei Yuki".split(),
+    ("m", "latin"): "John Peter Thomas Michael David James Robert William Paul Hans Karl Klaus Jürgen Stefan Pierre Jean Luc Michel Antoine Carlos Miguel Javier Diego Pablo Andrés Richard Joseph Charles Christopher Daniel Matthew Anthony Steven Andrew Kenneth Joshua Kevin Brian George Timothy Ronald Edward Jason Jeffrey Ryan Jacob Nicholas Jonathan Benjamin Samuel Gregory Alexander Patrick Oliver Henry Noah Liam Wolfgang Jürg Günter Dieter Uwe Andreas Matthias Markus Sebastian Florian Lukas Felix Jonas Philippe Nicolas Laurent Olivier François Jacques Henri Louis Giovanni Marco Luca Francesco Alessandro José Juan Luis Antonio Manuel Fernando Rafael Piotr Paweł Krzysztof Lars Sven Erik Mohammed Ahmed Omar Rajesh Hiroshi Wei".split(),
+    ("f", "cyrillic"): "Анна Мария Елена Ольга Наталья Ирина Татьяна Светлана Екатерина Юлия Анастасия Людмила Галина Дарья Ксения Валентина".split(),
+    ("m", "cyrillic"): "Иван Пётр Сергей Алексей Дмитрий Андрей Николай Владимир Михаил Александр Евгений Юрий Виктор Игорь Олег Максим".split(),
+    ("f", "greek"): "Μαρία Ελένη Αικατερίνη Σοφία Άννα Δήμητρα Βασιλική Ιωάννα".split(),
+    ("m", "greek"): "Γεώργιος Ιωάννης Νικόλαος Δημήτριος Κωνσταντίνος Παναγιώτης Αθανάσιος Βασίλειος".split(),
 }
 _PLACE = {name: (group, i) for group, names in _FIRST.items() for i, name in enumerate(names)}
 _TITLE = r"(?:Mrs?|Ms|Miss|Dr|Prof|Herrn?|Frau|Mme|Mlle|Monsieur|Madame|Señora?|Sra|Sr)\b\.?"
 _NAME = r"[A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω][a-zß-öø-ÿа-яёά-ώ]{1,30}"
 _KNOWN = "|".join(sorted(_PLACE))
+#: Phone numbers without a country code: 555-123-4567 and 1-555-123-4567, 01 23 45 67 89, 030 1234567, 020 7946 0958.
+_NATIONAL = r"(?:1[ .-])?[2-9][0-9]{2}(?:-[0-9]{3}-|\.[0-9]{3}\.| [0-9]{3}[ -])[0-9]{4}|0[1-9](?:[ .-][0-9]{2}){4}|0[1-9][0-9]{1,4}[ /-][0-9]{5,8}|0[1-9][0-9]{1,3}[ -][0-9]{3,4}[ -][0-9]{3,4}"
+_is_national = re.compile(_NATIONAL).fullmatch
+_is_hex = re.compile("[0-9a-f]+").fullmatch
+#: A long secret is replaced in blocks of so many characters.
+_BLOCK = 512
 
 #: Type, pattern, in order of precedence. A group named v, if any, is what gets replaced.
 KINDS: list[tuple[str, str]] = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
-    ("secret", r"\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|(?i:\b(?:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"'](?P<v1>[^\"'\s]{8,200})[\"'])"),
+    ("secret", r"\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|(?i:(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}(?:[\"'](?P<v1>[^\"'\s]{8,})[\"']|(?=[^\s\"'<>(){}\[\],;]*[0-9])(?P<v3>[^\s\"'<>(){}\[\],;]{7,}[^\s\"'<>(){}\[\],;.:!?])))"),
     ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
     ("ip", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"),
-    ("card", r"(?<![0-9A-Za-z])[3-6](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"),
+    ("card", r"(?<![0-9A-Za-z])(?:[3-6](?:[ -]?[0-9]){12,18}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)(?:[ -]?[0-9]){12})(?![0-9A-Za-z])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("phone", r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"),
-    ("name", rf"(?:{_TITLE}\s(?P<v2>{_NAME}(?:\s{_NAME})?))|\b(?:{_KNOWN})\s{_NAME}"),
+    ("phone", rf"(?<![0-9A-Za-z.,/+-])(?<![0-9] )(?:{_NATIONAL})(?![0-9A-Za-z]|[.,/-][0-9])|" r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"),
+    ("name", rf"(?:{_TITLE}\s(?P<v2>{_NAME}(?:\s{_NAME})?))|\b(?=[A-ZΑ-ΩΆА-Я])(?:{_KNOWN})\s{_NAME}"),
 ]
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS))
 #: What texts must hold for the patterns to find anything; run by Arrow over a whole batch.
@@ -121,19 +127,24 @@ class Surrogates:
         if kind == "phone":
             start = re.match(r"\+[0-9]{1,3}(?=[^0-9])", value)  # the country code stays
             start = start.end() if start else 0
+            if _is_national(value):
+                return self.text(kind, value, plain, lambda new: bool(_is_national(new)))
             return value[:start] + self.text(kind, value[start:], plain[start:])
         if kind == "iban":
             return self._iban(value, plain)
         if kind == "secret":
             start = 4 if re.match("AKIA|gh._", value) else 0
-            is_hex = re.compile("[0-9a-f]+").fullmatch
-            if not start and is_hex(value):
-                return self.text(kind, value, [_HEX] * len(value))
-            return value[:start] + self.text(kind, value[start:], plain[start:], lambda new: bool(start) or not is_hex(new))
+            return value[:start] + "".join(self._secret(value[i : i + _BLOCK], plain[i : i + _BLOCK], bool(start)) for i in range(start, len(value), _BLOCK))
         if kind == "name":
             return re.sub(r"\S+", lambda m: self._name(m[0]), value)
         return self.text(kind, value, plain)
 
+    def _secret(self, block: str, plain: list[str], any_form: bool) -> str:
+        """Hexadecimal blocks become hexadecimal ones and others don't, so a whole value stays what it is."""
+        if not any_form and _is_hex(block):
+            return self.text("secret", block, [_HEX] * len(block))
+        return self.text("secret", block, plain, lambda new: any_form or not _is_hex(new))
+
     def _name(self, word: str) -> str:
         if word in _PLACE:
             group, i = _PLACE[word]
@@ -153,12 +164,13 @@ class Surrogates:
         return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(reversed(digits))) % 10
 
     def _card(self, value: str, plain: list[str]) -> str:
-        """The issuer's digit stays, and so does whether the check digit is right."""
+        """The issuer's digit stays (all four of the series 2221 to 2720), and so does whether the check digit is right."""
+        head = 4 if value[0] == "2" else 1
         digits = [int(c) for c in value if c.isdigit()]
         if self._luhn(digits):
-            return value[0] + self.text("card", value[1:], plain[1:], lambda new: self._luhn([int(c) for c in value[0] + new if c.isdigit()]) != 0)
+            return value[:head] + self.text("card", value[head:], plain[head:], lambda new: self._luhn([int(c) for c in value[:head] + new if c.isdigit()]) != 0)
         last = max(i for i, c in enumerate(value) if c.isdigit())
-        out = value[0] + self.text("luhn", value[1:last], plain[1:last])
+        out = value[:head] + self.text("luhn", value[head:last], plain[head:last])
         body = [int(c) for c in out if c.isdigit()]
         return out + str(-self._luhn([*body, 0]) % 10) + value[last + 1 :]
 
@@ -184,11 +196,13 @@ class Surrogates:
         def swap(m: re.Match) -> str:
             kind, whole = m.lastgroup, m[0]
             kind = next(k for k, _ in KINDS if m[k] is not None)
-            value = m["v1"] or m["v2"] or whole
+            part = next((g for g in ("v1", "v2", "v3") if m[g]), 0)
+            value = m[part]
+            if kind == "card" and value[0] == "2" and self._luhn([int(c) for c in value if c.isdigit()]):
+                return whole  # a number like any other
             kinds[kind] += 1
             new = given[kind, value] = self.of(kind, value)
-            at = m.start("v1") if m["v1"] else m.start("v2") if m["v2"] else m.start()
-            at -= m.start()
+            at = m.start(part) - m.start()
             return whole[:at] + new + whole[at + len(value) :]
 
         out = _ANY.sub(swap, text)

@@ -62,6 +62,38 @@ def test_kinds_of_one_type_never_meet():
     assert len(set(ibans.values())) == len(ibans)
 
 
+def test_forms_beside_the_usual_ones():
+    web = "eyJhbGciOiJIUzI1NiJ9." + "eyJzdWIiOiIxMjM0NTY3ODkwIn0" * 40 + ".dozjgNryP4J3jVmNHl0w5N"
+    for value, text in [
+        (web, f"token = \"{web}\""), (web, f"token: {web} end"), ("hunter2hunter2", "DB_PASSWORD=hunter2hunter2."), ("sk-12ab34cd56", "api_key: sk-12ab34cd56, more"), ("abcdefgh1", "{'password': 'abcdefgh1'}"),
+        ("2223003122003222", "pay 2223003122003222 now"), ("2223 0031 2200 3222", "pay 2223 0031 2200 3222 now"),
+        ("555-123-4567", "call 555-123-4567."), ("1-800-555-1234", "call 1-800-555-1234"), ("555.123.4567", "call 555.123.4567 now"), ("01 23 45 67 89", "tél. 01 23 45 67 89"), ("030 1234567", "Tel. 030 1234567"), ("020 7946 0958", "020 7946 0958"),
+    ]:
+        out, kinds = S.apply(text)
+        assert value not in out, text
+        assert kinds.total() == 1, text
+        assert len(out) == len(text), text
+        assert S.apply(out)[1] == kinds, text
+        assert out[: text.index(value)] == text[: text.index(value)]
+        assert out[text.index(value) + len(value) :] == text[text.index(value) + len(value) :]
+    assert S._luhn([int(c) for c in S.of("card", "2223003122003222")]) == 0
+    assert S.of("card", "2223003122003222").startswith("2223")
+    names = [S.of("name", n) for n in ("Gudrun", "Wolfgang", "Екатерина")]
+    assert [pii._PLACE[n][0] for n in names] == [("f", "latin"), ("m", "latin"), ("f", "cyrillic")]
+
+
+def test_like_but_not_personal():
+    for text in ["2223003122003223", "on 01-02-2003 and 2003-01-02", "1234567890", "token: required", "password: none", "3.1415 926 5358", "pages 100-200-300"]:
+        assert S.apply(text) == (text, {})
+
+
+def test_long_secrets_of_both_forms_never_meet():
+    values = [c * 600 + f"{i:03d}" + d for i in range(40) for c in "0a" for d in "az"]
+    new = [S.of("secret", v) for v in values]
+    assert len(set(new)) == len(values)
+    assert all(a != b and bool(re.fullmatch("[0-9a-f]+", a)) == bool(re.fullmatch("[0-9a-f]+", b)) for a, b in zip(values, new, strict=True))
+
+
 def test_clean_texts_stay(real):
     clean = [r.text for r in real.collect() if r.text and not re.search(r"[0-9@]", r.text)]
     assert clean
