@@ -704,8 +704,7 @@ def flattened_events(spark, d):
 
 @query()
 def w2v_neighbours(spark, d):
-    lists = embeddings.w2v_baskets(b.sales(spark, d).withColumn("ean", F.col("ean") % 200), b.baskets(spark, d), quantity=(2, 500))
-    v = embeddings.train_sku_embeddings(lists, dimensions=16, epochs=1, window=10, min_count=5)
+    v = stored(_sku_vectors(spark, d), "sku_vectors")
     return similarity.cosine_pairs(v, v.withColumnRenamed("sku", "other"), "sku", "other", below=0.5).where("sku <> other")
 
 

@@ -89,3 +89,17 @@ def test_own_brand_recommended_and_not_bought_goes(spark):
     stale = pairs(queries._own_brand(spark, DIR, "2001-06-01")) - bought
     assert stale & pairs(queries._own_brand(spark, DIR, binding.ON_DATE))
     assert not stale & pairs(queries.own_brand_injection(spark, DIR).where("injected"))
+
+
+def test_neighbours_have_the_products_own_ids(spark, monkeypatch):
+    """On the next size, which has more products than 200."""
+    from basket_spark.plans import embeddings
+
+    seen = []
+    train = embeddings.Word2Vec
+    monkeypatch.setattr(embeddings, "Word2Vec", lambda **k: seen.append(k) or train(**k))
+    monkeypatch.setattr(embeddings, "BASKETS_PER_TASK", 4000)
+    rows = queries.w2v_neighbours(spark, "/root/testdata/sf0.01").select("sku").distinct().collect()
+    assert max(int(r.sku) for r in rows) >= 200
+    assert (seen[0]["vectorSize"], seen[0]["maxIter"]) == (100, 10)
+    assert seen[0]["numPartitions"] > 1
