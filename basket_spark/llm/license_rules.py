@@ -29,7 +29,7 @@ def _family(label: str, keyword: str, names: str, versions: str = "", later: boo
 def _rules() -> list[tuple[int, str, str, str, float]]:
     rules = []
     gnu, licence = r"(?:the )?(?:gnu )?", r"(?: public)? licen[cs]e"
-    rules += _family("gpl", "general public", rf"{gnu}general{licence}", "1.0 2.0 3.0", later=True)
+    rules += _family("gpl", "general", rf"(?:the )?gnu general{licence}|(?:the )?general public licen[cs]e", "1.0 2.0 3.0", later=True)
     rules += _family("gpl", "gpl", r"(?:gnu )?gpl", "1.0 2.0 3.0", later=True)
     rules += _family("lgpl", "lesser general", rf"{gnu}lesser general{licence}", "2.1 3.0", later=True)
     rules += _family("lgpl", "library general", rf"{gnu}library general{licence}", "2.0", later=True)
@@ -113,7 +113,7 @@ def _rules() -> list[tuple[int, str, str, str, float]]:
         (50, "proprietary", "all rights reserved", r"all rights reserved", 0.4),
         (50, "proprietary", "proprietary", r"proprietary and confidential|confidential and proprietary", 0.7),
         (60, "copyright", "copyright", r"copyright(?: c)? (?:19|20)[0-9]{2}", 0.4),
-        (70, "license-reference", "licen", r"(?:licensed|licenced|released|distributed) under(?: the)?(?: terms of)?(?: the)?", 0.3),
+        (70, "license-reference", " under", r"(?:licensed|licenced|released|distributed) under(?: the)?(?: terms of)?(?: the)?", 0.3),
         (70, "license-reference", "licen", r"see (?:the )?licen[cs]e(?: file)?(?: for)?", 0.3),
     ]
     for spdx in "mit apache-2.0 gpl-2.0-only gpl-2.0-or-later gpl-3.0-only gpl-3.0-or-later lgpl-2.1-only lgpl-3.0-only agpl-3.0-only mpl-2.0 bsd-2-clause bsd-3-clause isc epl-2.0 unlicense cc0-1.0 cc-by-4.0 cc-by-sa-4.0 zlib bsl-1.0 artistic-2.0 eupl-1.2 ofl-1.1".split():

@@ -22,7 +22,7 @@ _SEPARATORS = "[" + "".join(rf"\x{i:02X}" for i in range(128) if not chr(i).isal
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PHRASE = f" ({'|'.join(PHRASES)})(?= )"
 #: Starts of words one of which stands wherever a rule or phrase does; few texts without a notice hold any.
-GATES = ("licen", "unlicense", "gpl", "lgpl", "agpl", "cc by", "cc0", "creative commons", "public domain", "bsd", "wtfpl", "under apache", "under mit", "under the mit", "under x11", "under expat", "permission", "redistribution and", "all rights reserved", "proprietary and", "confidential and", "copyright", "spdx", "cecill", "openrail", "bigscience", "creativeml", "mulan", "commons clause", "this software is provided as is", "www apache org", "www gnu org")
+GATES = ("licen", "unlicense", "gpl", "lgpl", "agpl", "cc by", "cc0", "creative commons", "public domain", "bsd", "wtfpl", "under apache", "under mit", "under the mit", "under x11", "under the x11", "under expat", "under the expat", "released under", "distributed under", "permission", "redistribution and", "all rights reserved", "proprietary and", "confidential and", "copyright", "spdx", "cecill", "openrail", "bigscience", "creativeml", "mulan", "commons clause", "this software is provided as is", "www apache org", "www gnu org")
 
 
 def blanks(text: Column) -> Column:

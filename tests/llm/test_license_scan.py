@@ -41,6 +41,51 @@ def test_rules():
         assert 0 < confidence <= 1
 
 
+def minimal(pattern):
+    """A shortest text of each way through a rule's pattern: optional parts left out, then put in one alternative each."""
+    import itertools
+    from re import _parser
+
+    def texts(parsed):
+        out = [""]
+        for op, arg in parsed:
+            name = str(op)
+            if name == "LITERAL":
+                some = [chr(arg)]
+            elif name == "IN":
+                kind, first = arg[0]
+                some = [chr(first[0] if str(kind) == "RANGE" else first)]
+            elif name == "MAX_REPEAT":
+                low, _, inner = arg
+                some = ["".join(x) for x in itertools.product(texts(inner), repeat=low)] if low else ["", *texts(inner)[:1]]
+            elif name == "BRANCH":
+                some = [t for branch in arg[1] for t in texts(branch)]
+            elif name == "SUBPATTERN":
+                some = texts(arg[3])
+            else:
+                raise ValueError(name)
+            out = [a + b for a in out for b in some]
+        return list(dict.fromkeys(out))
+
+    return texts(_parser.parse(pattern))
+
+
+def test_every_rule_passes_its_gate_and_keyword():
+    gate = re.compile(f" (?:{'|'.join(s.GATES)})")
+    for _, label, keyword, pattern, _ in RULES:
+        for text in minimal(pattern):
+            line = f" {text} "
+            assert re.search(f" (?:{pattern})(?= )", line), (label, text)
+            assert gate.search(line), (label, text)
+            assert keyword in line, (label, text)
+
+
+def test_labels_without_the_word_licence(spark):
+    rows = [(1, "released under the X11 terms"), (2, "distributed under the Expat"), (3, "Distributed under the terms of the above."), (4, "released under it")]
+    got = {r.doc_id: (r.labels, r.score) for r in s.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got == {1: ("x11", 0.95), 2: ("expat", 0.95), 3: ("license-reference", 0.3), 4: ("license-reference", 0.3)}
+
+
 def test_longer_and_prior_detections_win(spark):
     got = {r.doc_id: r.labels for r in s.scan(spark.createDataFrame([(1, "GNU Lesser General Public License v2.1 or later"), (2, "licensed under CC-BY-SA-4.0"), (3, "Apache Software License 2.0")], "doc_id int, text string")).collect()}
     assert got == {1: "lgpl-2.1-or-later", 2: "cc-by,cc-by-sa-4.0,license-reference", 3: "apache-2.0"}
