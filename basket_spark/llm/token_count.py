@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from .common import narrow, stored
 
-#: So many of the most frequent pre-tokens are broadcast (a few MB).
+#: So many of the most frequent pre-tokens are broadcast, none of them longer than so many bytes (so 17 MB of text at most).
 HEAD = 1 << 18
+HEAD_BYTES = 64
 OVER = 4096
 _MARK = "▁"
 _BREAK = "\x1f"
@@ -89,7 +90,7 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     distinct = rows.select("text").mapInArrow(_distinct, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
     known = stored(distinct.mapInArrow(pieces, "token string, n long, pieces long"), "pieces")
-    top = known.orderBy(F.desc("n"), "token").limit(head).select("token", "pieces").toArrow()
+    top = known.where(F.octet_length("token") <= HEAD_BYTES).orderBy(F.desc("n"), "token").limit(head).select("token", "pieces").toArrow()
     shared = spark.sparkContext.broadcast((top["token"].combine_chunks(), top["pieces"].to_numpy()))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,6 +41,18 @@ def test_all_that_follows_a_line_feed(spark):
     assert got == {i: len(sp.encode(f"foo\n{t}")) for i, t in enumerate(starts)}
 
 
+def test_long_pretokens_are_not_broadcast(spark, monkeypatch):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = ["日本語" * 200, "QUJD" * 500 + " a", "a" * 63 + " " + "b" * 64, "short text"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or send(self, value))
+    got = {r.doc_id: r.n_tokens for r in token_count.count_tokens(docs, PIECES).collect()}
+    assert got == {i: len(sp.encode(t)) for i, t in enumerate(texts)}
+    tokens = [t for value in sent if isinstance(value, tuple) for t in value[0].to_pylist()]
+    assert {" short", " text", " a", " " + "a" * 63} == set(tokens)
+
+
 def test_empty(none):
     assert token_count.count_tokens(none, PIECES).count() == 0
     assert byte_bpe.digests(none, RANKS, public_tokenizers.PATTERN).count() == 0
