@@ -8,6 +8,7 @@ it is one expression over a row: no join, no shuffle.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,32 +30,44 @@ def blanks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def _running(values: Column, combine: Callable[[Column, Column], Column], nothing: Column) -> Column:
+    """The running results of an associative ``combine`` along an array, in log2(size) passes over it.
+
+    ``nothing`` combines with any value to that value. Each pass combines every place with the one 1, 2, 4, ... before it.
+    """
+
+    def add(a: Column, k: Column) -> Column:
+        return F.zip_with(a, F.slice(F.concat(F.array_repeat(nothing, F.pow(F.lit(2), k).cast("int")), a), F.lit(1), F.size(a)), combine)
+
+    passes = F.filter(F.sequence(F.lit(0), F.lit(30)), lambda k: F.pow(F.lit(2), k) < F.size(values))
+    return F.aggregate(passes, values, add)
+
+
 def _detections(words: Column, rules: list[tuple[int, str, str, str, float]]) -> Column:
-    """Array of (start, end, priority, label, confidence) in characters of ``words``."""
+    """Array of (start, last, priority, label, confidence), in characters of ``words``; ``last`` is the end, negative."""
     fields = ("priority", "label", "keyword", "pattern", "confidence")
     text = json.dumps([dict(zip(fields, (p, label, k, f" (?:{x})(?= )", c), strict=True)) for p, label, k, x, c in rules])
     table = F.from_json(F.lit(text), "array<struct<priority:int,label:string,keyword:string,pattern:string,confidence:double>>")  # one literal
 
     def places(rule: Column) -> Column:
-        found = F.struct(F.transform(F.regexp_extract_all(words, rule["pattern"], F.lit(0)), F.length).alias("hit"), F.transform(F.split(words, rule["pattern"]), F.length).alias("gap"))
-
-        def one(f: Column) -> Column:
-            total = lambda x, n: F.aggregate(F.slice(x, 1, n), F.lit(0), lambda a, b: a + b)
-            return F.transform(f["hit"], lambda n, i: F.struct((total(f["hit"], i) + total(f["gap"], i + 1)).alias("start"), (total(f["hit"], i + 1) + total(f["gap"], i + 1)).alias("end"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["confidence"].alias("confidence")))
-
-        return F.flatten(F.transform(F.array(found), one))
+        hits = F.transform(F.regexp_extract_all(words, rule["pattern"], F.lit(0)), F.length)
+        gaps = F.transform(F.split(words, rule["pattern"]), F.length)
+        steps = F.filter(F.zip_with(gaps, hits, lambda gap, hit: F.struct((gap + hit).alias("both"), hit.alias("hit"))), lambda s: s["hit"].isNotNull())
+        ends = F.transform(F.array(steps), lambda s: F.arrays_zip(s.alias("s"), _running(F.transform(s, lambda x: x["both"]), lambda a, b: a + b, F.lit(0)).alias("end")))
+        return F.transform(F.flatten(ends), lambda x: F.struct((x["end"] - x["s"]["hit"]).alias("start"), (-x["end"]).alias("last"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["confidence"].alias("confidence")))
 
     return F.flatten(F.transform(F.filter(table, lambda r: F.contains(words, r["keyword"])), places))
 
 
 def _surviving(found: Column) -> Column:
-    """Without the detections inside a longer one, and without those that another of better priority covers exactly."""
+    """Without the detections inside a longer one, and without those that another of better priority covers exactly.
 
-    def beaten(d: Column) -> Column:
-        around = lambda e: (e["start"] <= d["start"]) & (e["end"] >= d["end"]) & ((e["end"] - e["start"] > d["end"] - d["start"]) | (e["priority"] < d["priority"]))
-        return F.exists(found, around)
-
-    return F.filter(found, lambda d: ~beaten(d))
+    ``found`` is sorted: by start, the longer first, then by priority. Of all up to a detection the one of the furthest
+    end, the first such one, is compared with it: it beats the detection if it isn't of the same place and priority.
+    """
+    reach = _running(F.transform(found, lambda d: F.struct((-d["last"]).alias("end"), (-d["start"]).alias("start"), (-d["priority"]).alias("priority"))), lambda a, b: F.greatest(a, b), F.lit(None))
+    same = lambda x: (x["reach"]["end"] == -x["d"]["last"]) & (x["reach"]["start"] == -x["d"]["start"]) & (x["reach"]["priority"] == -x["d"]["priority"])
+    return F.transform(F.filter(F.zip_with(found, reach, lambda d, r: F.struct(d.alias("d"), r.alias("reach"))), same), lambda x: x["d"])
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[tuple[int, str, str, str, float]] = RULES) -> DataFrame:
@@ -69,7 +82,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     gate = F.lower("words").rlike(f" (?:{'|'.join(GATES)})")
     gated = spaced.select("doc_id", F.when(empty, 0).otherwise(blanks(F.col("words")) - 1).cast("long").alias("n_words"), F.when(gate, F.translate("words", _UPPER, _LOWER)).alias("words"))
     words = F.col("words")
-    base = gated.select("doc_id", "n_words", "words", F.regexp_extract_all("words", F.lit(_PHRASE), F.lit(1)).alias("base"), F.when(words.isNotNull(), _detections(words, rules)).alias("found"))
+    base = gated.select("doc_id", "n_words", "words", F.regexp_extract_all("words", F.lit(_PHRASE), F.lit(1)).alias("base"), F.when(words.isNotNull(), F.array_sort(_detections(words, rules))).alias("found"))
     kept = base.select("doc_id", "n_words", "words", F.coalesce("base", F.array().cast("array<string>")).alias("base"), _surviving(F.col("found")).alias("found"))
     label_of = F.create_map([F.lit(x) for pair in PHRASES.items() for x in pair])
     any_base = F.size("base") > 0

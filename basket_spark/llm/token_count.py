@@ -2,7 +2,7 @@
 
 A pre-token is what no piece reaches across: a run of blanks with the word after it, or a line feed. Each distinct
 pre-token of the table is encoded once; the counts are joined to the documents' pre-token frequencies and summed. The
-most frequent pre-tokens, a fixed number, are looked up where the documents are read; the others go through a join.
+most frequent pre-tokens, a bounded number, are looked up where the documents are read; the others go through a join.
 """
 
 from __future__ import annotations
@@ -16,12 +16,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, stored
+from .common import few, narrow, stored
 
-#: So many of the most frequent pre-tokens are broadcast, none of them longer than so many bytes (so 17 MB of text at most).
+#: At most so many of the most frequent pre-tokens are broadcast, none of them longer than so many bytes (so 17 MB of text at most).
 HEAD = 1 << 18
 HEAD_BYTES = 64
 OVER = 4096
+#: Rows that are taken apart at a time.
+ROWS = 2048
 _MARK = "▁"
 _BREAK = "\x1f"
 _SLOW = f"^ |  |{_MARK}|{_BREAK}"
@@ -64,11 +66,27 @@ def _tokens(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few(batches, ROWS):
         found = pc.value_counts(_tokens(batch["text"])[0])
         yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts").cast(pa.int64())], ["token", "n"])
 
 
+def _cut(counts: DataFrame, most: int) -> int:
+    """A frequency that at most ``most`` rows of ``counts`` reach, the least such one to eight binary digits.
+
+    Only a histogram comes to the driver: a row for each frequency below 256, and 128 for each power of two above.
+    """
+    step = F.pow(F.lit(2), F.greatest(F.length(F.bin("n")) - 8, F.lit(0))).cast("long")
+    bins = counts.select((F.col("n") - F.col("n") % step).alias("low")).groupBy("low").count().orderBy(F.desc("low")).collect()
+    cut, so_far = 1 << 62, 0
+    for low, n in bins:
+        so_far += n
+        if so_far > most:
+            break
+        cut = low
+    return cut
+
+
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every row: what the library gives for the whole text, without begin
     and end. Null texts are empty and have none. Repeated rows and null ids each give a row."""
@@ -90,12 +108,13 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     distinct = rows.select("text").mapInArrow(_distinct, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
     known = stored(distinct.mapInArrow(pieces, "token string, n long, pieces long"), "pieces")
-    top = known.where(F.octet_length("token") <= HEAD_BYTES).orderBy(F.desc("n"), "token").limit(head).select("token", "pieces").toArrow()
+    short = known.where(F.octet_length("token") <= HEAD_BYTES)
+    top = short.where(F.col("n") >= _cut(short, head)).select("token", "pieces").toArrow()
     shared = spark.sparkContext.broadcast((top["token"].combine_chunks(), top["pieces"].to_numpy()))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, pieces_of = shared.value
-        for batch in batches:
+        for batch in few(batches, ROWS):
             n_rows = batch.num_rows
             tokens, row = _tokens(batch["text"])
             coded = tokens.dictionary_encode()

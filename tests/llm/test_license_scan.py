@@ -86,6 +86,24 @@ def test_labels_without_the_word_licence(spark):
     assert got == {1: ("x11", 0.95), 2: ("expat", 0.95), 3: ("license-reference", 0.3), 4: ("license-reference", 0.3)}
 
 
+def test_notices_by_the_thousand(spark):
+    """Offsets and suppression over many detections in one text: each notice counts by itself, and the time doesn't explode."""
+    texts = [" ".join(NOTICES) * 40, "Licensed under the Apache License, Version 2.0; mit license. " * 20_000]
+    rows = {r.doc_id: r for r in s.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    assert tuple(rows[0])[1:] == brute(texts[0])
+    assert (rows[1].n_base, rows[1].first_word, rows[1].last_word, rows[1].labels, rows[1].score) == (40_000, 3, 199_998, "apache,apache-2.0,license-reference,mit", 0.95)
+
+
+def test_running_results(spark):
+    from pyspark.sql import functions as F
+
+    lists = [[], [4], [3, 1, 2], list(range(1000)), [5] * 17]
+    got = spark.createDataFrame([(x,) for x in lists], "x array<int>").select("x", s._running(F.col("x"), lambda a, b: a + b, F.lit(0)).alias("sums"), s._running(F.col("x"), lambda a, b: F.greatest(a, b), F.lit(None)).alias("tops")).collect()
+    for r in got:
+        assert r.sums == [sum(r.x[: i + 1]) for i in range(len(r.x))]
+        assert r.tops == [max(r.x[: i + 1]) for i in range(len(r.x))]
+
+
 def test_longer_and_prior_detections_win(spark):
     got = {r.doc_id: r.labels for r in s.scan(spark.createDataFrame([(1, "GNU Lesser General Public License v2.1 or later"), (2, "licensed under CC-BY-SA-4.0"), (3, "Apache Software License 2.0")], "doc_id int, text string")).collect()}
     assert got == {1: "lgpl-2.1-or-later", 2: "cc-by,cc-by-sa-4.0,license-reference", 3: "apache-2.0"}
