@@ -50,6 +50,7 @@ def check_model(path: str) -> None:
 
 def _tokens(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All pre-tokens of the column's texts in order, and the row of each. A blank goes in front of each text."""
+    column = column.take(pa.array(np.arange(len(column))))  # some of Arrow's string functions misread slices
     slow = pc.fill_null(pc.match_substring_regex(column, _SLOW), False)
     plain = pc.if_else(slow, pa.scalar(None, column.type), pc.if_else(pc.equal(column, ""), pa.scalar(None, column.type), column))
     broken = pc.replace_substring(pc.replace_substring(plain, " ", f"{_BREAK} "), "\n", f"{_BREAK}\n{_BREAK}")

@@ -53,6 +53,15 @@ def test_long_pretokens_are_not_broadcast(spark, monkeypatch):
     assert {" short", " text", " a", " " + "a" * 63} == set(tokens)
 
 
+def test_cut(spark):
+    counts = [n for n in range(1, 300) for _ in range(400 // n + 1)] + [1000, 1003, 5000, 123456789]
+    frame = spark.createDataFrame([(n,) for n in counts], "n long")
+    for most in (0, 1, 2, 3, 10, 200, 1000, len(counts), len(counts) + 1):
+        cut = token_count._cut(frame, most)
+        assert sum(n >= cut for n in counts) <= most
+        assert cut == 1 or cut > 256 or sum(n >= cut - 1 for n in counts) > most
+
+
 def test_empty(none):
     assert token_count.count_tokens(none, PIECES).count() == 0
     assert byte_bpe.digests(none, RANKS, public_tokenizers.PATTERN).count() == 0
