@@ -2,25 +2,31 @@
 
 A surrogate comes from a keyed permutation of all values of the entity's format (so many digits here, letters there),
 conjugated with a step of one: it has a single cycle, so no value keeps itself, equal entities get equal surrogates in
-every document, and different ones different surrogates, without any table of entities. Names with a known first name
-move along the list of that gender and script.
+every document, and different ones different surrogates, without any table of entities. Known first names move along
+the list of their gender and script; other names keep their last letter, as endings carry gender (-a, -ova, -ska). Words
+of a name that was found get their surrogates wherever else in the document they stand as capitalised words.
+
+There is no default key: whoever has it can undo the permutations. ``session_key`` gives the session's.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import secrets
+import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .common import few, narrow
 
-KEY = b"basket-spark surrogate key"  # give your own
+#: The session's key; Spark hides settings of such a name in its logs.
+KEY_SETTING = "spark.basket.surrogate.secret"
 
 _FIRST = {
     ("f", "latin"): "Anna Maria Laura Sophie Emma Julia Clara Marta Elena Alice Claire Camille Lucia Carmen Isabel Hannah Greta Helga Ingrid Petra Susan Karen Linda Emily Sarah Mary Patricia Jennifer Elizabeth Barbara Jessica Nancy Margaret Sandra Ashley Kimberly Donna Michelle Carol Amanda Melissa Deborah Stephanie Rebecca Sharon Cynthia Kathleen Amy Angela Olivia Charlotte Amelia Sophia Isabella Gudrun Ursula Sabine Monika Renate Brigitte Heike Andrea Katharina Johanna Franziska Lena Lea Marie Catherine Nathalie Isabelle Sylvie Martine Françoise Chloé Giulia Francesca Chiara Paola Ana Sofía Lucía Valentina Gabriela Fernanda Agnieszka Katarzyna Małgorzata Ingeborg Astrid Freya Aisha Fatima Priya Mei Yuki".split(),
@@ -31,8 +37,11 @@ _FIRST = {
     ("m", "greek"): "Γεώργιος Ιωάννης Νικόλαος Δημήτριος Κωνσταντίνος Παναγιώτης Αθανάσιος Βασίλειος".split(),
 }
 _PLACE = {name: (group, i) for group, names in _FIRST.items() for i, name in enumerate(names)}
-_TITLE = r"(?:Mrs?|Ms|Miss|Dr|Prof|Herrn?|Frau|Mme|Mlle|Monsieur|Madame|Señora?|Sra|Sr)\b\.?"
-_NAME = r"[A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω][a-zß-öø-ÿа-яёά-ώ]{1,30}"
+_TITLE = r"\b(?:Mrs?|Ms|Miss|Dr|Prof|Herrn?|Frau|Mme|Mlle|Monsieur|Madame|Señora?|Sra|Sr)\b\.?"
+_CAPITAL, _SMALL = "[A-ZÀ-ÖØ-ÞА-ЯЁΑ-ΩΆ-Ώ]", "[a-zß-öø-ÿа-яёά-ώ]"
+#: A word of a name: Keller, O'Neil, McDonald.
+_WORD = rf"(?:[A-ZÀ-ÖØ-Þ]['’])?{_CAPITAL}{_SMALL}{{1,30}}(?:{_CAPITAL}{_SMALL}{{1,30}})?"
+_NAME = rf"{_WORD}(?:-{_WORD})?"
 _KNOWN = "|".join(sorted(_PLACE))
 #: Phone numbers without a country code: 555-123-4567 and 1-555-123-4567, 01 23 45 67 89, 030 1234567, 020 7946 0958.
 _NATIONAL = r"(?:1[ .-])?[2-9][0-9]{2}(?:-[0-9]{3}-|\.[0-9]{3}\.| [0-9]{3}[ -])[0-9]{4}|0[1-9](?:[ .-][0-9]{2}){4}|0[1-9][0-9]{1,4}[ /-][0-9]{5,8}|0[1-9][0-9]{1,3}[ -][0-9]{3,4}[ -][0-9]{3,4}"
@@ -46,18 +55,31 @@ KINDS: list[tuple[str, str]] = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     ("secret", r"\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|(?i:(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}(?:[\"'](?P<v1>[^\"'\s]{8,})[\"']|(?=[^\s\"'<>(){}\[\],;]*[0-9])(?P<v3>[^\s\"'<>(){}\[\],;]{7,}[^\s\"'<>(){}\[\],;.:!?])))"),
     ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
-    ("ip", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"),
+    ("ip", r"(?<![0-9.])(?<![Vv]ersion )(?<![Rr]elease )(?<![A-Za-z])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"),
     ("card", r"(?<![0-9A-Za-z])(?:[3-6](?:[ -]?[0-9]){12,18}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)(?:[ -]?[0-9]){12})(?![0-9A-Za-z])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     ("phone", rf"(?<![0-9A-Za-z.,/+-])(?<![0-9] )(?:{_NATIONAL})(?![0-9A-Za-z]|[.,/-][0-9])|" r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"),
-    ("name", rf"(?:{_TITLE}\s(?P<v2>{_NAME}(?:\s{_NAME})?))|\b(?=[A-ZΑ-ΩΆА-Я])(?:{_KNOWN})\s{_NAME}"),
+    ("name", rf"(?:{_TITLE}\s(?P<v2>(?:(?:{_KNOWN}|[A-Z]\.)\s)*{_NAME}(?:\s{_NAME})?))|\b(?=[A-ZΑ-ΩΆА-Я])(?:{_KNOWN})(?:-{_WORD})?(?:\s(?:{_KNOWN}|[A-Z]\.))*\s{_NAME}"),
 ]
+_MENTION = re.compile(rf"(?<![\w@'’-]){_NAME}(?![\w@])")
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS))
 #: What texts must hold for the patterns to find anything; run by Arrow over a whole batch.
-_GATE = rf"[0-9]|@|\b(?:Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Herrn|Frau|Mme|Mlle|Monsieur|Madame|Señora?|Sra?)\b|(?i:token|secret|passw|key)|(?:{_KNOWN})\s"
+_GATE = rf"[0-9]|@|\b(?:Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Herrn|Frau|Mme|Mlle|Monsieur|Madame|Señora?|Sra?)\b|(?i:token|secret|passw|key)|(?:{_KNOWN})[\s-]"
 
 _DIGIT, _LOWER, _UPPER, _HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
-_ALPHABETS = {c: a for a in (_DIGIT, _LOWER, _UPPER, "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ") for c in a}
+_ALPHABETS = {c: a for a in (_DIGIT, _LOWER, _UPPER, "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", "άέήίόύώ", "àáâãäåæèéêëìíîïòóôõöøùúûüý", "çðñþ", "ÀÁÂÃÄÅÆÈÉÊËÌÍÎÏÒÓÔÕÖØÙÚÛÜÝ", "ÇÐÑÞ") for c in a}
+#: Signs of secrets; those of a group become each other, "." and "=" stay.
+_SIGNS = {c: a for a in ("!?:", "+/", "-_", "#$%&*@^`|~\\", "()[]{}<>,;") for c in a}
+
+
+@lru_cache(1 << 14)
+def _alphabet(c: str) -> str:
+    """What may stand for a character of a secret: its letters, signs, or its kind among the 128 code points around it."""
+    if (known := _ALPHABETS.get(c) or _SIGNS.get(c)) or c.isascii():
+        return known or ""
+    start, kind = ord(c) & ~127, unicodedata.category(c)
+    return "".join(x for x in map(chr, range(start, start + 128)) if unicodedata.category(x) == kind and x not in _ALPHABETS)
+
 
 
 class Surrogates:
@@ -133,7 +155,7 @@ class Surrogates:
         if kind == "iban":
             return self._iban(value, plain)
         if kind == "secret":
-            start = 4 if re.match("AKIA|gh._", value) else 0
+            start, plain = 4 if re.match("AKIA|gh._", value) else 0, [_alphabet(c) for c in value]
             return value[:start] + "".join(self._secret(value[i : i + _BLOCK], plain[i : i + _BLOCK], bool(start)) for i in range(start, len(value), _BLOCK))
         if kind == "name":
             return re.sub(r"\S+", lambda m: self._name(m[0]), value)
@@ -157,6 +179,8 @@ class Surrogates:
                 same = [x for x in a if (x.lower() in vowels) == (c.lower() in vowels)]
                 a = "".join(same)
             swap.append(a)
+        if len(word) > 3:
+            swap[-1] = ""
         return self.text("surname", word, swap, lambda new: new not in _PLACE)
 
     @staticmethod
@@ -185,6 +209,19 @@ class Surrogates:
         body = self.text("iban97", value[4:], plain[4:])
         return f"{value[:2]}{98 - rest(value[:2] + '00' + body):02d}{body}"
 
+    @staticmethod
+    def _with_mentions(text: str, places: list[tuple[int, int, str]], again: dict[str, str], kinds: Counter) -> list[tuple[int, int, str]]:
+        """The places and, between them, the words that stand in ``again``."""
+        out, at = [], 0
+        for place in [*places, (len(text), len(text), "")]:
+            for m in _MENTION.finditer(text, at, place[0]):
+                if m[0] in again:
+                    out.append((m.start(), m.end(), again[m[0]]))
+                    kinds["name"] += 1
+            out.append(place)
+            at = place[1]
+        return out
+
     def apply(self, text: str) -> tuple[str, Counter]:
         """The text with surrogates, and how many entities of each type it had.
 
@@ -192,20 +229,27 @@ class Surrogates:
         """
         kinds: Counter = Counter()
         given: dict[tuple[str, str], str] = {}
-
-        def swap(m: re.Match) -> str:
-            kind, whole = m.lastgroup, m[0]
+        places: list[tuple[int, int, str]] = []
+        for m in _ANY.finditer(text):
             kind = next(k for k, _ in KINDS if m[k] is not None)
             part = next((g for g in ("v1", "v2", "v3") if m[g]), 0)
-            value = m[part]
-            if kind == "card" and value[0] == "2" and self._luhn([int(c) for c in value if c.isdigit()]):
-                return whole  # a number like any other
+            value, new = m[part], None
+            if kind != "card" or value[0] != "2" or not self._luhn([int(c) for c in value if c.isdigit()]):
+                new = self.of(kind, value)
+            if new is None or new == value:  # a number like any other; a secret of dots
+                places.append((m.start(), m.end(), m[0]))
+                continue
             kinds[kind] += 1
-            new = given[kind, value] = self.of(kind, value)
-            at = m.start(part) - m.start()
-            return whole[:at] + new + whole[at + len(value) :]
-
-        out = _ANY.sub(swap, text)
+            given[kind, value] = new
+            places.append((m.start(), m.end(), text[m.start() : m.start(part)] + new + text[m.end(part) : m.end()]))
+        again = {w: self.of("name", w) for kind, value in given if kind == "name" for w in value.split() if len(w) > 2}
+        if again:
+            places = self._with_mentions(text, places, again, kinds)
+        out, at = [], 0
+        for start, end, new in places:
+            out += [text[at:start], new]
+            at = end
+        out = "".join([*out, text[at:]])
         if len({(k, v) for (k, _), v in given.items()}) < len(given):
             raise RuntimeError("two entities of a text have one surrogate")
         return out, kinds
@@ -220,7 +264,17 @@ def _replaced(column: pa.Array, surrogates: Surrogates) -> tuple[list[str | None
     return out, kinds
 
 
-def with_surrogates(docs: DataFrame, text_col: str = "text", key: bytes = KEY) -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key in the setting ``KEY_SETTING``. Where it isn't set it is drawn, and kept for the session: surrogates are then
+    alike in all of its queries and differ from other sessions'."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key.encode()
+
+
+def with_surrogates(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """``docs``, all columns, with surrogates in ``text_col``. Null and empty texts stay."""
     at, schema = docs.columns.index(text_col), docs.schema
 
@@ -233,7 +287,7 @@ def with_surrogates(docs: DataFrame, text_col: str = "text", key: bytes = KEY) -
     return docs.mapInArrow(run, schema)
 
 
-def surrogate_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY) -> DataFrame:
+def surrogate_texts(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, n_entities, kinds) of every row: the text with surrogates, how many entities it had, and their
     types, sorted and comma-joined. A null text stays null with no entities; repeated rows each give a row."""
     rows = narrow(docs, doc_id=id_col, text=text_col)

@@ -33,7 +33,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.surrogate_texts(table(spark, sf_dir, "documents"))
+    return pii.surrogate_texts(table(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
+import random
 import re
 
+import pytest
 from basket_spark.llm import pii
 
 S = pii.Surrogates(b"k")
@@ -87,6 +89,92 @@ def test_like_but_not_personal():
         assert S.apply(text) == (text, {})
 
 
+def test_secrets_of_any_signs_and_scripts():
+    for value in ("!!!!????!!!!", "пароль密码日本語日本", "ключ-к-двери", "p$$w%rd!!", "************", "한국어비밀번호입니다"):
+        out, kinds = S.apply(f'password="{value}"')
+        new = out[len('password="') : -1]
+        assert kinds == {"secret": 1}
+        assert len(new) == len(value)
+        assert new != value
+        assert not any(a == b for a, b in zip(value, new, strict=True) if ord(a) > 0x3000) or len({*value}) < 3
+    assert S.apply('password="........"') == ('password="........"', {})
+
+
+def test_mentions_of_a_name_go_with_it():
+    for text, names in [
+        ("Frau Anna Keller met us. Later Keller said Anna left; Keller's dog and Kellerei stay.", ["Keller", "Anna"]), ("Ask Mr O'Neil or Mrs McDonald-Smith. O'Neil knows.", ["O'Neil", "McDonald-Smith"]),
+        ("Ana Smith wrote. Smith is away.", ["Ana", "Smith"]), ("John F. Kennedy, then Anna Maria Keller and Anna-Lena Vogel", ["John", "Kennedy", "Keller", "Vogel"]), ("Mme Hélène Évrard; Évrard", ["Hélène", "Évrard"]),
+    ]:
+        out, kinds = S.apply(text)
+        assert not any(re.search(rf"(?<!\w){n}(?!\w)", out) for n in names), out
+        for n in names:
+            new = [o for w, o in zip(re.findall(r"[\w'’.-]+", text), re.findall(r"[\w'’.-]+", out), strict=True) if re.fullmatch(rf"{n}(?:'s|[.;,])?", w)]
+            assert len({x.removesuffix("'s").rstrip(".;,") for x in new}) == 1
+        assert kinds["name"] >= 1
+    out, kinds = S.apply("Frau Anna Keller met us. Later Keller said Anna left; Keller's dog and Kellerei stay.")
+    assert kinds == {"name": 4}
+    assert "Kellerei" in out
+    for name in ("Zelda", "Kowalska", "Ivanova"):
+        assert S.of("name", name)[-1] == name[-1]
+
+
+def test_no_default_key(spark, odd):
+    with pytest.raises(TypeError):
+        pii.with_surrogates(odd)
+    assert pii.session_key(spark) == pii.session_key(spark)
+    assert len(pii.session_key(spark)) == 64
+
+
+def test_versions_are_no_addresses():
+    for text in ("version 1.2.3.4", "Release 10.0.0.1", "v1.2.3.4", "1.2.3.4.5"):
+        assert S.apply(text) == (text, {})
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+#: Kind, values that differ, and what a value of the kind looks like, told apart from the operator's own patterns.
+PLANTED = [
+    ("email", [f"{a}.{i}@{b}.example.org" for i in range(8) for a in ("kim", "lee") for b in ("mail", "post")], lambda v: re.fullmatch(r"[a-z]{3}\.\d@[a-z]{4}\.[a-z]{7}\.org", v)),
+    ("ip", [f"10.{i}.{j}.7" for i in range(6) for j in range(6)], lambda v: all(0 <= int(x) <= 255 for x in v.split(".")) and v.count(".") == 3),
+    ("ssn", [f"{100 + i}-45-{6000 + i}" for i in range(30)], lambda v: re.fullmatch(r"\d{3}-\d\d-\d{4}", v)),
+    ("phone", [f"+49 30 {1000 + i} {2000 + i}" for i in range(30)], lambda v: re.fullmatch(r"\+49 \d\d \d{4} \d{4}", v)),
+    ("phone", [f"555-{200 + i}-4567" for i in range(30)], lambda v: re.fullmatch(r"\d{3}-\d{3}-\d{4}", v)),
+    ("card", [n for i in range(300) if luhn(n := f"411111111111{i:04d}")], lambda v: re.fullmatch(r"4\d{15}", v) and luhn(v)),
+    ("secret", [f"AKIA{i:016d}" for i in range(30)], lambda v: re.fullmatch(r"AKIA[0-9]{16}", v)),
+    ("name", [f"Anna {a}{b}{c}er" for a in "KMT" for b in "aeu" for c in ("ll", "nd", "st")], lambda v: re.fullmatch(r"[A-ZÀ-Ý][^\W\d]+ [A-Z][a-z]+", v)),
+]
+
+
+def test_against_what_was_planted(spark):
+    """Brute force: the fixed parts of the texts stay, each planted value becomes another of its form, the same in all texts,
+    and different ones become different ones."""
+    rng, rows = random.Random(11), []
+    words = "the old river ran past some houses while nobody looked at all its slow grey water".split()
+    for i in range(400):
+        parts, values = [], []
+        for _ in range(rng.randrange(1, 5)):
+            k = rng.randrange(len(PLANTED))
+            values.append((k, rng.choice(PLANTED[k][1])))
+            parts.append(" ".join(rng.choices(words, k=rng.randrange(1, 8))) + " (")
+        end = ") " + " ".join(rng.choices(words, k=3))
+        rows.append((i, parts, values, end))
+    texts = {i: "".join(") " * (j > 0) + a + v for j, (a, (_, v)) in enumerate(zip(parts, values, strict=True))) + end for i, parts, values, end in rows}
+    got = {r.doc_id: r for r in pii.surrogate_texts(spark.createDataFrame(list(texts.items()), "doc_id int, text string").repartition(7), b"k").collect()}
+    image = {}
+    for i, parts, values, end in rows:
+        m = re.fullmatch("".join(r"\) " * (j > 0) + re.escape(a) + "(.*?)" for j, a in enumerate(parts)) + re.escape(end), got[i].text)
+        assert m, (texts[i], got[i].text)
+        assert got[i].n_entities == len(values)
+        assert got[i].kinds == ",".join(sorted({PLANTED[k][0] for k, _ in values}))
+        for (k, v), new in zip(values, m.groups(), strict=True):
+            assert image.setdefault((k, v), new) == new
+            assert new != v
+            assert PLANTED[k][2](new), (v, new)
+    assert len({(PLANTED[k][0], new) for (k, _), new in image.items()}) == len(image)
+
+
 def test_long_secrets_of_both_forms_never_meet():
     values = [c * 600 + f"{i:03d}" + d for i in range(40) for c in "0a" for d in "az"]
     new = [S.of("secret", v) for v in values]
@@ -103,7 +191,7 @@ def test_clean_texts_stay(real):
 def test_planted_data_goes(spark, real):
     pattern = r"[\w.+-]+@[\w-]+\.[\w.]+|\+\d[\d ()-]{9,}\d|AKIA\w{16}|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b\d{16}\b|[0-9a-f]{40}"
     before = {r.doc_id: re.findall(pattern, r.text or "") for r in real.collect()}
-    rows = {r.doc_id: r for r in pii.surrogate_texts(real).collect()}
+    rows = {r.doc_id: r for r in pii.surrogate_texts(real, b"k").collect()}
     assert sum(map(len, before.values())) > 5
     for k, found in before.items():
         assert not any(x in rows[k].text for x in found)
@@ -121,8 +209,8 @@ def test_gate_passes_all_that_the_patterns_find(real):
 
 
 def test_odd_rows(odd, none):
-    rows = pii.surrogate_texts(odd).collect()
+    rows = pii.surrogate_texts(odd, b"k").collect()
     assert len(rows) == odd.count()
     assert {r.doc_id: r.text for r in rows if r.doc_id in (0, 1, 4)} == {0: None, 1: "", 4: "a"}
-    assert pii.with_surrogates(odd).columns == odd.columns
-    assert pii.surrogate_texts(none).count() == 0
+    assert pii.with_surrogates(odd, b"k").columns == odd.columns
+    assert pii.surrogate_texts(none, b"k").count() == 0
