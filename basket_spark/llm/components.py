@@ -1,4 +1,8 @@
-"""Connected components of an edge table by alternating large and small stars, each step written to the shared folder."""
+"""Connected components of an edge table by alternating large and small stars, each step written to the shared folder.
+
+Least neighbours are aggregated (in parts before the shuffle) and written before they are joined: the join then has two
+plain shuffles under it, so that Spark splits the neighbours of a node with very many of them over tasks.
+"""
 
 from __future__ import annotations
 
@@ -14,14 +18,14 @@ EDGES_PER_FILE = 100_000
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above a node moves to the least of the node and its neighbours."""
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its neighbours below it move to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = down.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("u", "m")).where("a != b").distinct()
 

@@ -14,6 +14,9 @@ What a star leaves apart is compared further only where sizes or shared shingles
   (a prefix filter).
 
 Links hold on full shingle sets only.
+
+What a key's rows are joined with is always written first and not aggregated in the same stage, so that Spark can split
+the rows of a class, bucket or component that holds a third of them over tasks. Rows without words meet nothing.
 """
 
 from __future__ import annotations
@@ -145,10 +148,10 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int, outside: bool = Fa
 def _members(classes: DataFrame) -> DataFrame:
     """(bucket, id, n, centre) of the classes that share a bucket with others."""
     spread = classes.select("id", "n", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = stored(spread.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared")
     found = stored(spread.join(shared, "bucket"), "members")
     degree = found.groupBy("id").agg(F.sum("size").alias("degree"))
-    centres = found.join(degree, "id").groupBy("bucket").agg(F.min(F.struct((-F.col("degree")).alias("d"), "id")).alias("c"))
+    centres = stored(found.join(degree, "id").groupBy("bucket").agg(F.min(F.struct((-F.col("degree")).alias("d"), "id")).alias("c")), "centres")
     return stored(found.join(centres, "bucket").select("bucket", "id", "n", F.col("c.id").alias("centre")), "centred")
 
 
@@ -159,8 +162,9 @@ def _links(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     placed = members.join(joined.toDF("id", "component"), "id", "left").select("bucket", "id", "n", "centre", F.coalesce("component", "id").alias("component"))
     placed = stored(placed, "placed")
     largest = placed.groupBy("bucket", "component").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    largest = stored(largest.select("bucket", F.col("top.component").alias("largest")), "largest")
     sizes = stars.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.col("both").alias("inside"), F.size("outside").cast("long").alias("extra"))
-    open_ = placed.join(largest.select("bucket", F.col("top.component").alias("largest")), "bucket").join(sizes, ["centre", "id"], "left")
+    open_ = placed.join(largest, "bucket").join(sizes, ["centre", "id"], "left")
     open_ = stored(open_.select("bucket", "centre", "id", "n", "component", (F.col("component") != F.col("largest")).alias("apart"), F.coalesce("inside", "n").alias("inside"), F.coalesce("extra", F.lit(0)).alias("extra")), "open")
     rest = _sharing_the_centre(open_).union(_sharing_more(open_, stars)).distinct()
     known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -168,17 +172,23 @@ def _links(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return joined.toDF("a", "b").union(found)
 
 
-def _pairs(left: DataFrame, right: DataFrame, on: list[str], condition: F.Column) -> DataFrame:
-    """Distinct (a < b) of rows in different components, one of them apart from its bucket's largest, of like sizes."""
-    other = left.where("apart").select(*on, *[F.col(c).alias(f"{c}_1") for c in left.columns if c not in on])
-    joined = other.join(right, on).where((F.col("component") != F.col("component_1")) & _similar("n", "n_1") & condition)
+def _pairs(rows: DataFrame, on: list[str], condition: F.Column) -> DataFrame:
+    """Distinct (a < b) of rows in different components, one of them apart from its bucket's largest, of like sizes.
+
+    Rows only meet those of like sizes: sizes are dealt into bands so wide (1.26 to 1) that similar ones lie in the same
+    or in neighbouring bands, and a row that is apart goes to three.
+    """
+    band = F.floor(F.log("n") / F.log(F.lit(1.26)))
+    other = rows.where("apart").select(*on, *[F.col(c).alias(f"{c}_1") for c in rows.columns if c not in on], F.explode(F.sequence(band - 1, band + 1)).alias("band"))
+    joined = other.join(rows.withColumn("band", band), [*on, "band"]).where((F.col("component") != F.col("component_1")) & _similar("n", "n_1") & condition)
     return joined.select(F.least("id", "id_1").alias("a"), F.greatest("id", "id_1").alias("b")).distinct()
 
 
 def _sharing_the_centre(open_: DataFrame) -> DataFrame:
     """Pairs of a bucket that could be linked by shingles of the centre alone."""
     bound = F.least("inside", "inside_1") * 100 >= (F.greatest("inside", "inside_1") + F.col("extra") + F.col("extra_1")) * SIMILARITY
-    return _pairs(open_, open_, ["bucket"], bound)
+    possible = open_.where(F.col("inside") * 100 >= (F.col("inside") + F.col("extra")) * SIMILARITY)
+    return _pairs(possible, ["bucket"], bound)
 
 
 def _sharing_more(open_: DataFrame, stars: DataFrame) -> DataFrame:
@@ -194,7 +204,7 @@ def _sharing_more(open_: DataFrame, stars: DataFrame) -> DataFrame:
     # Of the m = n - inside shingles outside the first m - needed + 1 are the prefix; m - size(common) of them are alone.
     room = F.size("common") - needed + 1
     prefix = each.where(room > 0).select("centre", "id", "n", "component", "apart", F.explode(F.slice("common", F.lit(1), room)).alias("s")).select("centre", "id", "n", "component", "apart", F.col("s.shingle").alias("shingle"))
-    return _pairs(prefix, prefix, ["centre", "shingle"], F.lit(True))
+    return _pairs(prefix, ["centre", "shingle"], F.lit(True))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
@@ -207,22 +217,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = narrow(docs, id=id_col, text=text_col)
     sketches = stored(_sketches(rows, words), "sketches")
     known = sketches.where("n > 0 AND id IS NOT NULL")
-    classes = known.groupBy("hi", "lo").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = stored(known.groupBy("hi", "lo").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
     members = _members(classes)
     texts = stored(rows.join(members.select("id").distinct(), "id", "left_semi"), "texts")
     links = _links(members, texts, words)
 
-    owner = classes.select("hi", "lo", F.col("id").alias("owner"))
-    classed = sketches.join(owner, ["hi", "lo"], "left")
-    repeated = known.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1")
-    same = classed.join(repeated, "id").select(F.col("id").alias("a"), F.col("owner").alias("b")).where("a != b")
-    found = connected_components(links.union(same)).withColumnsRenamed({"node": "owner", "component": "of_owner"})
-    direct = found.withColumnsRenamed({"owner": "id", "of_owner": "of_id"})
-    return (
-        classed.join(found, "owner", "left").join(direct, "id", "left")
-        .select("id", "n", F.least(F.coalesce("of_owner", "owner", "id"), F.coalesce("of_id", "id")).alias("component_id"))
-        .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
-    )
+    sets = known.select("id", "n", "hi", "lo")
+    repeated = stored(sketches.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id"), "repeated")
+    several = not repeated.isEmpty()
+    if several:  # the sets of an id are linked through it
+        owned = sets.join(repeated, "id").join(classes.select("hi", "lo", F.col("id").alias("owner")), ["hi", "lo"])
+        links = links.union(owned.where("id != owner").select("id", "owner"))
+    found = connected_components(links)
+    of_class = classes.select("hi", "lo", F.col("id").alias("node")).join(found, "node", "left").select("hi", "lo", F.coalesce("component", "node").alias("component_id"))
+    placed = sets.join(stored(of_class, "of_class"), ["hi", "lo"]).select("id", "n", "component_id")
+    placed = placed.union(sketches.where("n = 0 OR id IS NULL").select("id", "n", F.col("id")))
+    if several:
+        of_id = found.toDF("id", "of_id").join(repeated, "id", "left_semi")
+        placed = placed.join(of_id, "id", "left").select("id", "n", F.least("component_id", "of_id").alias("component_id"))
+    return placed.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:

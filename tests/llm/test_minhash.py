@@ -81,6 +81,30 @@ def test_rows_of_one_id_join_their_groups(spark):
     assert got == {(5, 5), (7, 5), (9, 5), (11, 11)}
 
 
+def test_an_empty_row_goes_with_its_id(spark):
+    text = "five words that stand here twice"
+    rows = [(3, text), (5, text), (5, ""), (6, ""), (None, text), (None, None)]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == sorted([(3, 2, 3, True), (5, 2, 3, False), (5, 0, 3, False), (6, 0, 6, True), (None, 2, None, True), (None, 0, None, True)], key=repr)
+
+
+def test_sizes_in_bands_lose_no_like_pair():
+    import math
+
+    for n in range(1, 3000):
+        for m in (n, -(-n * 80 // 100), n * 100 // 80):
+            if min(n, m) * 100 >= max(n, m) * 80:
+                assert abs(math.floor(math.log(n) / math.log(1.26)) - math.floor(math.log(m) / math.log(1.26))) <= 1
+
+
+def test_recall_against_all_pairs(spark, real):
+    """Every document of the table: the components are those of all pairs."""
+    rows = [(r.doc_id, r.text) for r in real.collect()]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(real, words=4).collect()}
+    assert got == brute(rows, 4)
+    assert len({c for _, c in got.values()}) < len(rows)
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(300 + i, 301 + i) for i in range(40)]
