@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -14,48 +14,102 @@ from ..functions import vectors as vx
 from .joins import natural_join
 from .ranking import first_row, top_k
 
-#: A block of vectors that goes to the executors holds at most so many rows.
-BLOCK_ROWS = 20_000
+#: A block holds about so many rows; two of them meet in a task.
+BLOCK_ROWS = 4096
 
 
-def cosine_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_vector: str = "embedding", right_vector: str = "embedding", below: float | None = None) -> DataFrame:
-    """(left_id, right_id, distance) of all pairs of rows, or of those nearer than ``below``.
+def in_blocks(left: DataFrame, right: DataFrame, left_id: str, right_id: str, compute: Callable[[pa.Table, pa.Table], pa.Table], schema: str, by: str | None = None, rows: int = BLOCK_ROWS) -> DataFrame:
+    """What ``compute`` makes of each pair of blocks of ``left`` and ``right``, of a group of ``by`` if given.
 
-    ``right`` is the query set: it is cut into blocks of at most ``BLOCK_ROWS`` rows by a hash, each is broadcast in turn
-    and multiplied with the rows of ``left`` where they are. Rows with a zero or null vector are left out.
+    Both sides are cut into blocks of about ``rows`` rows by a hash of their ids, so ids should be distinct. Each block is
+    sent to the tasks of all blocks of the other side that it meets; a task holds two blocks. Null groups meet nothing.
     """
-    spark = left.sparkSession
-    right = right.select(F.col(right_id).alias("b"), vx.unit(F.col(right_vector)).alias("v")).where("v IS NOT NULL")
+    keys = [by] if by else []
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
+
+    def join(a: DataFrame, b: DataFrame) -> DataFrame:
+        return a.join(b, by) if by else a.crossJoin(F.broadcast(b))  # without groups one row of counts
+
+    sizes = join(blocks(left, "__nl"), blocks(right, "__nr")).where("__nl > 0 AND __nr > 0")
+    place = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = join(left, sizes).select(*left.columns, place(left_id, "__nl").alias("__i"), each("__nr").alias("__j"))
+    two = join(right, sizes).select(*[F.col(c).alias(c) for c in right.columns], place(right_id, "__nr").alias("__j"), each("__nl").alias("__i"))
+    groups = [*keys, "__i", "__j"]
+    return one.groupBy(*groups).cogroup(two.groupBy(*groups)).applyInArrow(compute, schema)
+
+
+def matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """A column of arrays of one length as rows of a matrix."""
+    flat = column.combine_chunks()
+    return np.asarray(flat.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(flat), -1)
+
+
+def nearest(distance: np.ndarray, below: float | None, top: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places (row, column) of the distances below a bound and among the ``top`` least of their row, ties included."""
+    kept = np.isfinite(distance) if below is None else distance < below
+    if top is not None and distance.shape[1] > top:
+        kept &= distance <= np.partition(distance, top - 1, axis=1)[:, top - 1 : top]
+    return np.nonzero(kept)
+
+
+def cosine_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_vector: str = "embedding", right_vector: str = "embedding", below: float | None = None, top: int | None = None, digits: int = 6) -> DataFrame:
+    """(left_id, right_id, distance) of the pairs of rows nearer than ``below``, and of the ``top`` nearest of each row of
+    ``left``; one of the two must be given. Ties go to the lesser right id. Distances are rounded to ``digits``.
+
+    Blocks of both sides are multiplied on the executors. Rows with a zero or null vector are left out.
+    """
+    if below is None and top is None:
+        raise ValueError("give a bound or a number of nearest rows")
     left = left.select(F.col(left_id).alias("a"), vx.unit(F.col(left_vector)).alias("v")).where("v IS NOT NULL")
-    a_type, b_type = left.schema["a"].dataType.simpleString(), right.schema["b"].dataType.simpleString()
-    n = max(1, -(-right.count() // (BLOCK_ROWS // 2)))
-    out = None
-    for k in range(n):
-        block = (right if n == 1 else right.where(F.pmod(F.xxhash64("b"), F.lit(n)) == k)).toArrow()
-        if not block.num_rows:
-            continue
-        shared = spark.sparkContext.broadcast((block["b"].combine_chunks(), np.array(block["v"].to_pylist())))
-
-        def multiply(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            ids, matrix = shared.value
-            for batch in batches:
-                for start in range(0, batch.num_rows, 256):
-                    part = batch.slice(start, 256)
-                    distance = 1 - np.array(part["v"].to_pylist()) @ matrix.T
-                    i, j = np.nonzero(distance < below) if below is not None else np.indices(distance.shape).reshape(2, -1)
-                    yield pa.RecordBatch.from_arrays([part["a"].take(pa.array(i)), ids.take(pa.array(j)), pa.array(distance[i, j])], ["a", "b", "distance"])
-
-        pairs = left.mapInArrow(multiply, f"a {a_type}, b {b_type}, distance double")
-        out = pairs if out is None else out.union(pairs)
-    if out is None:
-        out = left.limit(0).select("a", F.lit(None).cast(b_type).alias("b"), F.lit(0.0).alias("distance"))
-    return out.toDF(left_id, right_id if right_id != left_id else f"{right_id}_2", "distance")
-
-
-def pairs_within(df: DataFrame, by: str, key: str) -> DataFrame:
-    """Ordered pairs of different rows of a group, columns ``a`` and ``b`` as structs. For dimensions, not facts."""
-    a, b = df.select(by, F.struct("*").alias("a")), df.select(by, F.struct("*").alias("b"))
-    return a.join(b, by).where(F.col(f"a.{key}") != F.col(f"b.{key}"))
+    right = right.select(F.col(right_id).alias("b"), vx.unit(F.col(right_vector)).alias("v")).where("v IS NOT NULL")
+
+    def multiply(one: pa.Table, two: pa.Table) -> pa.Table:
+        if not one.num_rows or not two.num_rows:
+            return pa.table({"a": one["a"].slice(0, 0), "b": two["b"].slice(0, 0), "distance": pa.array([], pa.float64())})
+        distance = np.round(1 - matrix(one["v"]) @ matrix(two["v"]).T, digits) + 0.0
+        i, j = nearest(distance, below, top)
+        return pa.table({"a": one["a"].take(pa.array(i)), "b": two["b"].take(pa.array(j)), "distance": distance[i, j]})
+
+    pairs = in_blocks(left, right, "a", "b", multiply, f"a {left.schema['a'].dataType.simpleString()}, b {right.schema['b'].dataType.simpleString()}, distance double")
+    if top is not None:
+        pairs = top_k(pairs, ["a"], [F.asc("distance"), F.asc("b")], top, "__n").drop("__n")
+    return pairs.toDF(left_id, right_id if right_id != left_id else f"{right_id}_2", "distance")
+
+
+def nearest_flags(df: DataFrame, key: str, flags: str, by: str, top: int) -> DataFrame:
+    """(a, b, distance): of each row the ``top`` other rows of its group of the least Rogers-Tanimoto distance, ties by key.
+
+    ``flags`` are 0/1 arrays of one length; null ones count as zeros.
+    """
+    width = F.max(F.size(flags)).alias("__w")
+    rows = df.crossJoin(F.broadcast(df.agg(width))).select(by, F.col(key).alias("k"), F.coalesce(flags, F.array_repeat(F.lit(0), F.col("__w"))).alias("f"))
+
+    def compare(one: pa.Table, two: pa.Table) -> pa.Table:
+        if not one.num_rows or not two.num_rows:
+            return pa.table({"a": one["k"].slice(0, 0), "b": two["k"].slice(0, 0), "distance": pa.array([], pa.float64())})
+        distance = np.round(rogers_tanimoto(matrix(one["f"]), matrix(two["f"])), 6)
+        distance[same(one["k"], two["k"])] = np.inf
+        i, j = nearest(distance, None, top)
+        return pa.table({"a": one["k"].take(pa.array(i)), "b": two["k"].take(pa.array(j)), "distance": distance[i, j]})
+
+    kind = rows.schema["k"].dataType.simpleString()
+    pairs = in_blocks(rows, rows, "k", "k", compare, f"a {kind}, b {kind}, distance double", by)
+    return top_k(pairs, ["a"], [F.asc("distance"), F.asc("b")], top, "__n").drop("__n")
+
+
+def rogers_tanimoto(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """2R / (n + R) for the R mismatches of all pairs of rows of two 0/1 matrices of n columns."""
+    wrong = a.sum(1)[:, None] + b.sum(1)[None] - 2 * a @ b.T
+    return 2 * wrong / (a.shape[1] + wrong)
+
+
+def same(a: pa.ChunkedArray, b: pa.ChunkedArray) -> np.ndarray:
+    """Which pairs of values of two columns are equal; nulls are equal."""
+    codes = pa.chunked_array([*a.chunks, *b.chunks], a.type).combine_chunks().dictionary_encode("encode").indices.to_numpy()
+    return codes[: len(a)][:, None] == codes[len(a) :][None]
 
 
 def filter_recommendations(recommendations: DataFrame, allowed: DataFrame, ranking: str, n: int, largest: bool = False) -> DataFrame:
