@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import join_group, percentiles
+
 
 def exclude_self_ratio(df: DataFrame, by: list[str], value: str, weight: str, name: str) -> DataFrame:
     """``df`` with the weighted mean of ``value`` over the other rows of the group; 0 if they weigh nothing.
@@ -19,8 +21,8 @@ def exclude_self_ratio(df: DataFrame, by: list[str], value: str, weight: str, na
 
 def percentile_trim(df: DataFrame, by: list[str], value: str, low: float, high: float) -> DataFrame:
     """Rows whose value lies within the exact low and high percentiles of their group, both included."""
-    bounds = df.groupBy(*by).agg(F.percentile(value, [low, high]).alias("__b"))
-    return df.join(bounds, by).where(F.col(value).between(F.get("__b", F.lit(0)), F.get("__b", F.lit(1)))).drop("__b")
+    bounds = percentiles(df, by, F.col(value), [low, high], "__b")
+    return join_group(df, bounds, by).where(F.col(value).between(F.get("__b", F.lit(0)), F.get("__b", F.lit(1)))).drop("__b")
 
 
 def slope(y: str | Column, t: str | Column) -> Column:

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import period_index, weekday_flags
+from ..functions.dates import calendar_flags, holiday_names, period_index, weekday_flags, with_holidays
 from ..functions.numbers import first_match, geometric_mean
-from ..operators.aggregates import exclude_self_ratio, min_max, percentile_trim, with_group
+from ..operators.aggregates import exclude_self_ratio, min_max, with_group
+from ..operators.joins import covered_flag
 from ..operators.kmeans import kmeans_1d
-from ..operators.ranking import first_row, top_k
+from ..operators.ranking import first_row, top_k, with_rank
 from ..operators.regression import weighted_least_squares
 from ..sources.shared import stored
 
@@ -21,10 +26,10 @@ POINTS = {1: 5, 2: 4, 3: 3, 4: 2}
 
 
 def daily_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
-    """(ean, sub_category, category, date, value, quantity, price): kilograms where the unit is one, else sold units."""
+    """(ean, sub_category, category, unit, date, value, quantity, price): kilograms where the unit is one, else sold units."""
     lines = sales.join(products.select("ean", "sub_category", "category", "unit", "sales_unit"), "ean")
     amount = F.when(F.col("unit").isin("KG", "KGV"), F.col("weight_sold")).otherwise(F.try_divide("quantity", "sales_unit"))
-    daily = lines.groupBy("ean", "sub_category", "category", F.col("transaction_date").alias("date")).agg(F.sum("value").alias("value"), F.sum(amount).alias("quantity"))
+    daily = lines.groupBy("ean", "sub_category", "category", "unit", F.col("transaction_date").alias("date")).agg(F.sum("value").alias("value"), F.sum(amount).alias("quantity"))
     return daily.withColumn("price", F.try_divide("value", "quantity"))
 
 
@@ -67,10 +72,65 @@ def best_substitute(substitutes: DataFrame, products: DataFrame, months: DataFra
 
 
 def sold_lately(daily: DataFrame, most_price: float = 1e6, least_quantity: float = 3.0) -> DataFrame:
-    """Rows of a plausible price and quantity, of products sold within a year of the table's last date."""
-    last = F.broadcast(daily.agg(F.max("date").alias("__last")))
-    alive = daily.groupBy("ean").agg(F.max("date").alias("__own")).crossJoin(last).where(F.datediff("__last", "__own") <= 365).select("ean")
-    return daily.where((F.col("price") < most_price) & (F.col("quantity") >= least_quantity)).join(alive, "ean", "left_semi")
+    """Rows of a plausible price and of enough units (kilograms: any amount), of products that such rows show sold within a
+    year of the last date."""
+    enough = (F.col("quantity") >= least_quantity) | (F.col("unit").isin("KG", "KGV") & (F.col("quantity") > 0))
+    rows = daily.where((F.col("price") < most_price) & enough)
+    last = F.broadcast(rows.agg(F.max("date").alias("__last")))
+    alive = rows.groupBy("ean").agg(F.max("date").alias("__own")).crossJoin(last).where(F.col("__own") >= F.add_months("__last", -12)).select("ean")
+    return rows.join(alive, "ean", "left_semi")
+
+
+def feature_window(on_date: str, use: str, months: int = 29) -> tuple[dt.date, dt.date]:
+    """First and last day of the rows: whole months before the date's for ``ELASTICITY``, up to the day before for
+    ``FORECAST``."""
+    day = dt.date.fromisoformat(on_date)
+    if use not in ("ELASTICITY", "FORECAST"):
+        raise ValueError("use must be ELASTICITY or FORECAST")
+    last = (day.replace(day=1) if use == "ELASTICITY" else day) - dt.timedelta(1)
+    index = last.year * 12 + last.month - 1 - months + (use == "ELASTICITY")
+    first = dt.date(index // 12, index % 12 + 1, 1)
+    if use == "ELASTICITY":
+        return first, last
+    end_of_first = (first.replace(day=28) + dt.timedelta(4)).replace(day=1) - dt.timedelta(1)
+    return first.replace(day=min(last.day, end_of_first.day)) + dt.timedelta(1), last
+
+
+def substitute_changes(rows: DataFrame, best: DataFrame) -> DataFrame:
+    """(ean, date, top1, top3): the price change of the first substitute that is sold that day, by relevance, and the mean of
+    the first three (null with fewer). ``rows``: ean, month, date, change; ``best``: that of ``best_substitute``."""
+    asked = rows.select("ean", "month", "date").join(best, ["ean", "month"])
+    sold = asked.join(rows.select(F.col("ean").alias("substitute"), "date", "change"), ["substitute", "date"]).where("change IS NOT NULL")
+    changes = F.transform(F.array_sort(F.collect_list(F.struct("relevance", "change"))), lambda s: s["change"])
+    three = F.when(F.size("c") >= 3, F.aggregate(F.slice("c", 1, 3), F.lit(0.0), lambda s, x: s + x) / 3)
+    return sold.groupBy("ean", "date").agg(changes.alias("c")).select("ean", "date", F.round(F.get("c", F.lit(0)), 2).alias("top1"), F.round(three, 2).alias("top3"))
+
+
+def processed_features(daily: DataFrame, products: DataFrame, substitutes: DataFrame, promotions: DataFrame, on_date: str, use: str = "ELASTICITY", months: int = 29) -> DataFrame:
+    """The daily rows that models of demand are fitted to: (ean, category, sub_category, unit, date, month, value, quantity,
+    price, proportion, slow_day, previous_price, change, others_change, top1, top3, promo) and calendar and holiday flags.
+
+    In order: the window of ``use``; price changes against the three months before; without the three oldest months;
+    changes of the other products and of the nearest substitutes (``substitutes``: ean, relevance 1 to 5, substitute); days
+    under promotion (``promotions``: ean, start, end); rows and products of ``sold_lately``; without a product's first
+    month, which has no substitutes.
+    """
+    first, last = feature_window(on_date, use, months)
+    rows = daily.where(F.col("date").between(F.lit(first), F.lit(last)) & (F.col("price") < 1e6) & (F.col("quantity") > 0)).withColumn("month", period_index(F.col("date")))
+    monthly = previous_months_price(rows).join(rows.groupBy("ean", "sub_category", "month").agg(F.sum("value").alias("value")), ["ean", "month"])
+    oldest = F.broadcast(monthly.select("month").distinct().orderBy("month").limit(3).agg(F.max("month").alias("__cut")))
+    monthly = monthly.crossJoin(oldest).where("month > __cut").drop("__cut").fillna(0.0, ["change"])
+    monthly = stored(change_of_others(monthly).select("ean", "month", "previous_price", "change", "others_change"), "monthly")
+    rows = stored(rows.join(monthly, ["ean", "month"]), "rows")
+    best = best_substitute(substitutes.where("relevance <= 5"), products, rows.select("ean", "month").distinct())
+    days = day_multiplier(daily.where(F.col("date").between(F.lit(first), F.lit(last)))).select("category", "date", "proportion", (F.col("multiplier") == "x0.5").cast("int").alias("slow_day"))
+    rows = rows.join(substitute_changes(rows, best), ["ean", "date"], "left").join(days, ["category", "date"])
+    rows = covered_flag(rows, promotions, "ean", "date", "start", "end", "promo").withColumn("promo", F.col("promo").cast("int"))
+    rows = sold_lately(rows)
+    firsts = rows.groupBy("ean").agg(F.min("month").alias("__first"))
+    rows = rows.join(firsts, "ean").where("month > __first").drop("__first")
+    rows = rows.select("*", *calendar_flags(F.col("date"), list(range(first.year, last.year + 1))))
+    return with_holidays(rows, "date", range(first.year, last.year + 1))
 
 
 def regression_features(daily: DataFrame, months: int = 3) -> DataFrame:
@@ -91,20 +151,75 @@ def low_price_variability(daily: DataFrame, band: float = 0.05, share: float = 0
     """(ean, low_variability): whether more than that share of the days have a price within the band around the mean."""
     marked = with_group(daily, ["ean"], mean_price=F.avg("price"))
     near = F.col("price").between((1 - band) * F.col("mean_price"), (1 + band) * F.col("mean_price"))
-    return marked.groupBy("ean").agg((F.avg(near.cast("double")) > share).alias("low_variability"))
+    return marked.groupBy("ean").agg((F.round(100 * F.avg(near.cast("double")), 2) > 100 * share).alias("low_variability"))
 
 
-def elasticity(daily: DataFrame, features: list[str] | None = None, least_days: int = 150) -> DataFrame:
-    """(ean, elasticity, r2, n): slope of log quantity over log price, later days weighing more; null where it isn't
-    negative or the product has too few days."""
-    rows = daily.where("price > 0 AND quantity > 0").join(feasible(daily, least_days), "ean", "left_semi")
-    first = F.broadcast(rows.agg(F.min("date").alias("__first")))
-    rows = rows.crossJoin(first).withColumns({"log_price": F.log("price"), "log_quantity": F.log("quantity"), "w": F.datediff("date", "__first") + 1.0})
-    fit = weighted_least_squares(rows, "ean", "log_quantity", ["log_price", *(features or [])], "w")
+def elasticity(daily: DataFrame, least_days: int = 150) -> DataFrame:
+    """(ean, elasticity, r2, n): slope of log quantity over log price alone, later days weighing more; null where it isn't
+    negative. Days of less than a tenth of the mean quantity are left out; products with too few days have no row."""
+    rows = with_group(daily.where("price > 0 AND quantity > 0"), ["ean"], mean_quantity=F.avg("quantity")).where(F.col("quantity") >= F.col("mean_quantity") / 10)
+    rows = rows.join(feasible(daily.where("price > 0 AND quantity > 0"), least_days), "ean", "left_semi")
+    rows = rows.withColumns({"log_price": F.log("price"), "log_quantity": F.log("quantity"), "w": F.row_number().over(Window.partitionBy("ean").orderBy("date"))})
+    fit = weighted_least_squares(rows, "ean", "log_quantity", ["log_price"], "w")
     slope = F.get("coefficients", F.lit(0))
     return fit.select("ean", F.when(slope < 0, slope).alias("elasticity"), "r2", "n")
 
 
+# The holidays that a model may have a term for.
+MODEL_HOLIDAYS = ["jueves_santo", "viernes_santo", "30_abril", "20_mayo", "21_mayo", "19_junio", "20_junio", "15_julio", "16_julio", "14_agosto", "15_agosto", "14_septiembre", "15_septiembre", "16_septiembre", "17_septiembre", "pre_halloween", "halloween", "pre_navidad", "navidad", "pre_ano_nuevo", "ano_nuevo"]
+#: What becomes of a product without an elasticity of its own.
+NO_DATA, FLAT, POSITIVE, INFEASIBLE = "no data", "low variability", "positive", "infeasible"
+
+
+def _fit_product(t: dict[str, np.ndarray], least_days: int) -> tuple[float | None, str, float | None, int | None]:
+    """(slope of log price, status, adjusted r2, n) of one product's days."""
+    quantity, price = t["quantity"], t["price"]
+    keep = quantity >= quantity.mean() / 10
+    if keep.sum() < least_days:
+        return None, INFEASIBLE, None, None
+    mean = price.mean()
+    flat = round(100 * float(np.mean((price >= 0.95 * mean) & (price <= 1.05 * mean))), 2) > 90
+    t = {k: v[keep] for k, v in t.items()}
+    n, day = len(t["date"]), np.argsort(np.argsort(t["date"])) + 1.0  # a product has one row a day
+    varies = lambda c: c in t and np.ptp(t[c]) > 0
+    years = sorted(c for c in t if c.startswith("year_"))[1:]
+    terms = [c for c in ["weekday_1", "weekday_2", "weekday_3", "weekday_4", "weekday_5", "weekday_6", *years, "slow_day", *MODEL_HOLIDAYS, "promo", "others_change"] if varies(c)]
+    terms = [c for c in terms if not (c.startswith("year_") and np.array_equal(t[c], t["month_12"]))]
+    month = (t["date"].astype("datetime64[D]").astype("datetime64[M]").astype(int)) % 12
+    if np.bincount(month, minlength=12).min() >= 5:
+        terms += [f"month_{m}" for m in range(2, 13)]
+    terms += [c for c in ("top1", "top3") if not np.isnan(t[c]).any()]
+    x = np.column_stack([np.ones(n), np.log(t["price"]), *[t[c].astype(float) for c in terms]])
+    y, root = np.log(t["quantity"]), np.sqrt(day)
+    beta, _, rank, _ = np.linalg.lstsq(x * root[:, None], y * root, rcond=1e-12)
+    left = float((day * (y - x @ beta) ** 2).sum())
+    total = float((day * (y - np.average(y, weights=day)) ** 2).sum())
+    r2 = 1 - left / total * (n - 1) / (n - rank) if n > rank and total > 0 else None
+    slope = float(beta[1])
+    return slope, FLAT if flat else POSITIVE if slope >= 0 else "own", r2, n
+
+
+def product_elasticity(features: DataFrame, least_days: int = 150) -> DataFrame:
+    """(ean, elasticity, status, r2, n): slope of log quantity over log price of each product with the terms that its days
+    allow, fitted by weighted least squares, later days weighing more; ``elasticity`` is null unless ``status`` is own.
+
+    Terms: weekdays, years, slow days, holidays, promotion and the other products' change where they vary; months where
+    each has five days; substitutes' changes where no day lacks them. Days of less than a tenth of the mean quantity are
+    left out of the fit. ``features`` are those of ``processed_features``; a product has at most a row a day, so a task
+    holds some thousand rows of a product.
+    """
+    columns = [c for c in features.columns if c.startswith(("weekday_", "month_", "year_"))] + ["slow_day", "promo", "others_change", "top1", "top3", *holiday_names()]
+    rows = features.where("price > 0 AND quantity > 0").select("ean", "date", F.col("quantity").cast("double").alias("quantity"), F.col("price").cast("double").alias("price"), *[F.col(c).cast("double").alias(c) for c in columns])
+
+    def fit(t: pa.Table) -> pa.Table:
+        values = {c: t[c].to_numpy() for c in t.column_names if c != "ean"}
+        slope, status, r2, n = _fit_product(values, least_days)
+        own = round(slope, 2) if status == "own" else None
+        return pa.table({"ean": t["ean"].slice(0, 1), "elasticity": pa.array([own], pa.float64()), "status": [status], "r2": pa.array([None if r2 is None else round(r2, 3)], pa.float64()), "n": pa.array([n], pa.int64())})
+
+    return rows.groupBy("ean").applyInArrow(fit, f"ean {rows.schema['ean'].dataType.simpleString()}, elasticity double, status string, r2 double, n long")
+
+
 def contagion(products: DataFrame, substitutes: DataFrame, last_months: int = 24) -> DataFrame:
     """(ean, elasticity, source): own elasticity, else that of the best substitute (points over the last months, then the
     nearest weight), else of the best-selling product of the sub-category, of the category, else -1; -8 at the least.
@@ -133,9 +248,8 @@ def contagion(products: DataFrame, substitutes: DataFrame, last_months: int = 24
 
 def elasticity_class(elasticities: DataFrame, iterations: int = 5) -> DataFrame:
     """(…, elasticity_class): high for the lower of two clusters found without the outermost percents, else low."""
-    rows = elasticities.withColumn("__all", F.lit(1))
-    out = kmeans_1d(rows, ["__all"], "elasticity", 2, iterations, (0.01, 0.99), "__k")
-    return out.withColumn("elasticity_class", F.when(F.col("__k") == 0, "high").otherwise("low")).drop("__k", "__all")
+    out = kmeans_1d(elasticities, [], "elasticity", 2, iterations, (0.01, 0.99), "__k")
+    return out.withColumn("elasticity_class", F.when(F.col("__k") == 0, "high").otherwise("low")).drop("__k")
 
 
 def product_sensitivity(sales: DataFrame, iterations: int = 5, trim: float = 0.0, high_categories: int = 40, all_categories: int = 80) -> DataFrame:
@@ -151,9 +265,10 @@ def product_sensitivity(sales: DataFrame, iterations: int = 5, trim: float = 0.0
     rows = sales.join(totals, "category").crossJoin(all_)
     rows = rows.withColumn("raw", geometric_mean(F.col("value") / F.col("cat_value"), F.col("cat_value") / F.col("all_value")))
     rows = stored(min_max(rows, "raw", "scaled"), "scaled")
-    rows = rows.join(rows.groupBy("family").agg(F.max("scaled").alias("index")), "family").withColumn("__all", F.lit(1))
-    rows = kmeans_1d(rows, ["__all"], "index", 3, iterations, (trim, 1.0), "cluster").drop("__all")
-    place = top_k(totals.withColumn("__all", F.lit(1)), ["__all"], [F.desc("cat_value"), F.asc("category")], all_categories, "cat_rank").select("category", "cat_rank")
+    rows = rows.join(rows.groupBy("family").agg(F.max("scaled").alias("index")), "family")
+    rows = kmeans_1d(rows, [], "index", 3, iterations, (trim, 1.0), "cluster")
+    first = totals.orderBy(F.desc("cat_value"), "category").limit(all_categories)  # some dozens of rows
+    place = with_rank(first, [], [F.desc("cat_value"), F.asc("category")], "cat_rank").select("category", "cat_rank")
     rows = stored(rows, "clusters")
     forced = top_k(rows.join(F.broadcast(place), "category"), ["category"], [F.desc("index"), F.desc("value"), F.asc("ean")], F.when(F.col("cat_rank") <= high_categories, 3).otherwise(2), "__n")
     high = forced.select("family").distinct().withColumn("__high", F.lit(True))
@@ -175,6 +290,3 @@ def balance_matrix(elasticities: DataFrame, sensitivity: DataFrame, sales: DataF
     joined = elasticities.join(sensitivity.select("ean", "role"), "ean", "left").join(total, "ean", "left")
     return joined.select("ean", "elasticity", "elasticity_class", "role", "sales", _segment(F.col("role"), F.col("elasticity_class")).alias("segment"))
 
-
-def trim_outer(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    return percentile_trim(df, by, value, 0.01, 0.99)

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import harmonic_mean, weighted_mean
-from ..operators.aggregates import percentile_trim
-from ..sources.shared import stored
 from ..operators.kmeans import adaptive_kmeans, fill_by_boundaries, kmeans_1d
+from ..operators.quantiles import percentiles
+from ..sources.shared import stored
 
 
 def sophistication_score(sales: DataFrame, products: DataFrame, by: list[str], min_items: int = 3) -> DataFrame:
@@ -39,7 +39,7 @@ def without_outliers(scores: DataFrame, by: str, value: str, factor: float = 10.
 
 def index_1_to_3(scores: DataFrame, by: str, value: str, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """``scores`` with ``index``: 1 up to the low percentile of the group, 3 from the high one, linear between."""
-    ends = scores.groupBy(by).agg(F.percentile(value, [low, high]).alias("__p"))
+    ends = percentiles(scores, [by], F.col(value), [low, high], "__p")
     lo, hi = F.get("__p", F.lit(0)), F.get("__p", F.lit(1))
     scaled = F.coalesce(F.try_divide(F.col(value) - lo, hi - lo), F.lit(0.0))
     return scores.join(ends, by).withColumn("index", 1 + 2 * F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0))).drop("__p")
@@ -58,7 +58,7 @@ def customer_segments(scores: DataFrame, min_categories: int = 3, iterations: in
     indexed = index_1_to_3(clean, "category", "hm_pu_ppum").join(F.broadcast(ratio), "category")
     customers = indexed.groupBy("customer_key").agg(weighted_mean(F.col("index"), F.col("total_value") * F.col("ratio")).alias("index"), F.count("*").alias("n_categories"))
     customers = stored(customers, "customers")
-    many = kmeans_1d(customers.where(F.col("n_categories") >= min_categories).withColumn("__all", F.lit(1)), ["__all"], "index", 3, iterations, (0.05, 0.95), "segment").drop("__all")
+    many = kmeans_1d(customers.where(F.col("n_categories") >= min_categories), [], "index", 3, iterations, (0.05, 0.95), "segment")
     many = stored(many, "segments")
     few = fill_by_boundaries(many, customers.where(F.col("n_categories") < min_categories), "index", "segment")
     return many.unionByName(few)
@@ -71,7 +71,7 @@ def brand_segments(scores: DataFrame, own: str | None = None, iterations: int =
     own brand, which is MPES whatever its price.
     """
     logs = stored(scores, "scores").withColumn("__l", F.log("hm_pu_ppum"))
-    q = logs.groupBy("category").agg(F.percentile("__l", [0.25, 0.75]).alias("q"))
+    q = percentiles(logs, ["category"], F.col("__l"), [0.25, 0.75], "q")
     iqr = F.get("q", F.lit(1)) - F.get("q", F.lit(0))
     marked = logs.join(q, "category").withColumn("__in", F.col("__l").between(F.get("q", F.lit(0)) - 1.5 * iqr, F.get("q", F.lit(1)) + 1.5 * iqr)).drop("q", "__l")
     ends = marked.where("__in").groupBy("category").agg(F.min("hm_pu_ppum").alias("__lo"), F.max("hm_pu_ppum").alias("__hi"))
@@ -80,6 +80,3 @@ def brand_segments(scores: DataFrame, own: str | None = None, iterations: int =
     name = F.element_at(F.array(F.lit("low"), F.lit("medium"), F.lit("high")), F.col("__s") + 1)
     return out.select("category", "brand", "hm_pu_ppum", (F.when(F.col("brand") == own, "MPES").otherwise(name) if own else name).alias("segment"))
 
-
-def trimmed(scores: DataFrame, by: list[str], value: str, low: float = 0.05, high: float = 0.95) -> DataFrame:
-    return percentile_trim(scores, by, value, low, high)

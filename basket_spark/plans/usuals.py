@@ -63,7 +63,7 @@ def inject_own_brand(usual: DataFrame, candidates: DataFrame, bought: DataFrame,
     pair = ["customer_key", "ean"]
     marked = candidates.join(bought.select(pair).distinct().withColumn("bought", F.lit(1)), pair, "left").join(recommended.select(pair).distinct().withColumn("before", F.lit(1)), pair, "left")
     marked = marked.where("bought = 1 OR before IS NULL").fillna(0, ["bought"])
-    order = [F.desc("bought"), F.when(F.col("bought") == 1, -F.col("relevance")), F.xxhash64("customer_key", "ean", F.lit(seed)), F.asc("ean")]
+    order = [F.desc("bought"), F.when(F.col("bought") == 1, -F.col("relevance")), F.md5(F.concat_ws("|", "customer_key", "ean", F.lit(seed)).cast("binary")), F.asc("ean")]
     chosen = top_k(marked, ["customer_key"], order, keep).select(*pair, "relevance", F.lit(True).alias("injected"))
     both = usual.select(*pair, F.col("relevance").cast("double").alias("relevance"), F.lit(False).alias("injected")).unionByName(chosen)
     return with_rank(both, ["customer_key"], [F.asc("relevance"), F.asc("ean")], "place", "row_number").select(*pair, F.col("place").alias("relevance"), "injected")

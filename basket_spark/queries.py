@@ -2,39 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import binding as b
-from .binding import CTE, ON_DATE
+from .binding import ON_DATE
 from .functions import dates, text
-from .functions import vectors as vx
 from .operators import aggregates, joins, kmeans, metrics, ranking, regression, similarity
-from .plans import allocation, cards, customers, embeddings, ingests, pricing, sophistication, substitutes, usuals
+from .plans import cards, customers, embeddings, ingests, pricing, sophistication, substitutes, usuals
+from .registry import query
+from .registry import rounded as _r
 from .sources import incremental, readers, sheets, tables
 from .sources.shared import stored
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql if sql.lstrip().upper().startswith("WITH RECURSIVE") else f"WITH {CTE}{sql}"
-        return f
-
-    return register
-
-
-def _r(*names: str, digits: int = 6) -> list[F.Column]:
-    return [F.round(n, digits).alias(n) for n in names]
-
-
 # Customers
 
 _USUALS = """,
@@ -356,42 +336,6 @@ def sophistication_by_brand(spark, d):
     return _score(spark, d, ["category", "brand"]).select("category", "brand", *_r("hm_pu_ppum", digits=5), *_r("total_value", digits=2))
 
 
-def _kmeans_sql(source: str, by: str, value: str, k: int, iterations: int) -> str:
-    """CTEs ``c0`` to ``cN`` with the centres of each step."""
-    probes = ", ".join(str((2 * i + 1) / (2 * k)) for i in range(k))
-    nearest = "list_position(list_transform(c, lambda m: abs(x - m)), list_min(list_transform(c, lambda m: abs(x - m))))"
-    out = f", x AS (SELECT {by}, CAST({value} AS DOUBLE) AS x FROM {source} WHERE {value} IS NOT NULL), c0 AS (SELECT {by}, quantile_cont(x, [{probes}]) AS c FROM x GROUP BY 1)"
-    for i in range(iterations):
-        means = ", ".join(f"coalesce(avg(x) FILTER (k = {j + 1}), any_value(c)[{j + 1}])" for j in range(k))
-        out += f", c{i + 1} AS (SELECT {by}, [{means}] AS c FROM (SELECT *, {nearest} AS k FROM x JOIN c{i} USING ({by})) GROUP BY 1)"
-    return out + f", placed AS (SELECT {by}, x, CAST({nearest} - 1 AS INTEGER) AS cluster FROM x JOIN c{iterations} USING ({by}))"
-
-
-@query(f"{_kmeans_sql('products', 'category', 'weight', 3, 3)} SELECT category, cluster, CAST(count(*) AS BIGINT) AS n, min(x) AS least, max(x) AS most FROM placed GROUP BY 1, 2")
-def kmeans_segments(spark, d):
-    out = kmeans.kmeans_1d(b.products(spark, d).withColumn("x", F.col("weight").cast("double")), ["category"], "x", 3, 3)
-    return out.groupBy("category", "cluster").agg(F.count("*").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"))
-
-
-@query()
-def customer_segments(spark, d):
-    return sophistication.customer_segments(_score(spark, d, ["customer_key", "category"]), least_rows=10)
-
-
-@query()
-def brand_segments(spark, d):
-    return sophistication.brand_segments(_score(spark, d, ["category", "brand"]), own="Brand#7")
-
-
-def _by_product(spark: SparkSession, d: str) -> DataFrame:
-    return b.sales(spark, d).join(b.products(spark, d), "ean").groupBy("ean", F.col("sub_category").alias("category"), F.concat_ws("/", "sub_category", "brand").alias("family")).agg(F.sum("value").alias("value"))
-
-
-@query()
-def sensitivity_class(spark, d):
-    return pricing.product_sensitivity(_by_product(spark, d), high_categories=4, all_categories=8)
-
-
 # Vectors and names
 
 _DOT = "list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE)))"
@@ -431,12 +375,12 @@ def mean_vectors(spark, d):
 
 
 @query("""
-, per AS (SELECT customer_key, ean % 50 AS sku, count(DISTINCT txn_key) AS freq, datediff('week', max(transaction_date), DATE '2001-07-01') AS weeks FROM sales WHERE transaction_date >= DATE '2000-07-01' AND transaction_date < DATE '2001-07-01' GROUP BY 1, 2),
+, per AS (SELECT customer_key, ean AS sku, count(DISTINCT txn_key) AS freq, datediff('week', max(transaction_date), DATE '2001-07-01') AS weeks FROM sales WHERE transaction_date >= DATE '2000-07-01' AND transaction_date < DATE '2001-07-01' GROUP BY 1, 2),
 long AS (SELECT customer_key, sku, freq / log2(weeks + 2) AS s, unnest(embedding) AS x, unnest(range(64)) AS i FROM per JOIN embeddings ON sku = vec_id)
 SELECT customer_key, i, round(sum(x * s) / count(DISTINCT sku), 4) AS x FROM long GROUP BY 1, 2""")
 def customer_vectors(spark, d):
     e = b.table(spark, d, "embeddings").select(F.col("vec_id").alias("sku"), "embedding")
-    v = embeddings.customer_embeddings(b.sales(spark, d).withColumn("ean", F.col("ean") % 50), e, ON_DATE)
+    v = embeddings.customer_embeddings(b.sales(spark, d), e, ON_DATE)
     return v.select("customer_key", F.posexplode("embedding").alias("i", "x")).select("customer_key", F.col("i").cast("long").alias("i"), *_r("x", digits=4))
 
 
@@ -491,11 +435,6 @@ def ap_at_k(spark, d):
 
 # Pricing
 
-@query()
-def elasticity_wls(spark, d):
-    return pricing.elasticity(b.daily(spark, d), least_days=10)
-
-
 _REGRESSION = """, w AS (SELECT category, 1.0 * (date - DATE '1990-01-01') AS w, CAST(price AS DOUBLE) AS x, CAST(quantity AS DOUBLE) AS y FROM daily), s AS (SELECT category, count(*) AS n, sum(w) AS sw, sum(w*x) AS sx, sum(w*y) AS sy, sum(w*x*x) AS sxx, sum(w*x*y) AS sxy FROM w GROUP BY 1)"""
 
 
@@ -506,124 +445,13 @@ def weighted_regression(spark, d):
     return fit.select("category", "n", F.round(F.get("coefficients", F.lit(0)), 5).alias("slope"))
 
 
-_KNOWN = """
-, known AS (SELECT ean, sub_category, category, CAST(weight AS DOUBLE) AS weight, total AS sales, CASE WHEN ean % 4 = 0 THEN -(CAST(ean % 97 AS DOUBLE) / 10) END AS elasticity FROM products JOIN (SELECT ean, round(sum(value), 2) AS total FROM sales GROUP BY 1) USING (ean)),
-subs AS (SELECT a.ean, (a.ean * 7 + r * 13) % 500 AS substitute, m AS month, r AS relevance FROM known a, range(1, 4) t(r), range(1, 31) u(m) WHERE a.ean % 3 = 0 AND (a.ean + m) % r = 0),
-points AS (SELECT ean, substitute, sum(CASE relevance WHEN 1 THEN 5 WHEN 2 THEN 4 WHEN 3 THEN 3 WHEN 4 THEN 2 ELSE 1 END) AS points FROM subs WHERE month IN (SELECT DISTINCT month FROM subs ORDER BY 1 DESC LIMIT 24) GROUP BY 1, 2),
-e1 AS (SELECT ean, e FROM (SELECT k.ean, o.elasticity AS e, row_number() OVER (PARTITION BY k.ean ORDER BY points DESC, abs(k.weight - o.weight), substitute) AS i FROM known k JOIN points p USING (ean) JOIN known o ON o.ean = substitute AND o.elasticity IS NOT NULL WHERE k.elasticity IS NULL) WHERE i = 1),
-s1 AS (SELECT k.*, coalesce(elasticity, e) AS e, CASE WHEN elasticity IS NOT NULL THEN 'own' WHEN e IS NOT NULL THEN 'substitute' END AS source FROM known k LEFT JOIN e1 USING (ean)),
-b2 AS (SELECT sub_category, e FROM (SELECT *, row_number() OVER (PARTITION BY sub_category ORDER BY sales DESC, ean) AS i FROM s1 WHERE e IS NOT NULL) WHERE i = 1),
-s2 AS (SELECT s1.* REPLACE (coalesce(s1.e, b2.e) AS e, coalesce(source, CASE WHEN b2.e IS NOT NULL THEN 'sub_category' END) AS source) FROM s1 LEFT JOIN b2 USING (sub_category)),
-b3 AS (SELECT category, e FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY sales DESC, ean) AS i FROM s2 WHERE e IS NOT NULL) WHERE i = 1),
-contagion AS (SELECT ean, greatest(coalesce(s2.e, b3.e, -1.0), -8.0) AS elasticity, coalesce(source, CASE WHEN b3.e IS NOT NULL THEN 'category' END, 'default') AS source FROM s2 LEFT JOIN b3 USING (category))"""
-
-
-def _contagion(spark: SparkSession, d: str) -> DataFrame:
-    total = b.sales(spark, d).groupBy("ean").agg(F.round(F.sum("value"), 2).alias("sales"))
-    known = b.products(spark, d).join(total, "ean").select("ean", "sub_category", "category", F.col("weight").cast("double").alias("weight"), "sales", F.when(F.col("ean") % 4 == 0, -((F.col("ean") % 97).cast("double") / 10)).alias("elasticity"))
-    subs = known.where("ean % 3 = 0").select("ean", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("relevance")).select("ean", "relevance", F.explode(F.sequence(F.lit(1), F.lit(30))).alias("month")).where((F.col("ean") + F.col("month")) % F.col("relevance") == 0)
-    return pricing.contagion(known, subs.withColumn("substitute", (F.col("ean") * 7 + F.col("relevance") * 13) % 500))
-
-
-@query(f"{_KNOWN} SELECT ean, round(elasticity, 4) AS elasticity, source FROM contagion")
-def elasticity_contagion(spark, d):
-    return _contagion(spark, d).select("ean", *_r("elasticity", digits=4), "source")
-
-
-@query(f"{_KNOWN}, t AS (SELECT ean, sum(value) AS sales FROM sales GROUP BY 1), j AS (SELECT c.ean, elasticity, CASE WHEN elasticity < -4 THEN 'high' ELSE 'low' END AS cls, CASE c.ean % 3 WHEN 0 THEN 'KVI' WHEN 1 THEN 'KCI' ELSE 'BKG' END AS role, sales FROM contagion c LEFT JOIN t USING (ean)) SELECT ean, round(elasticity, 4) AS elasticity, cls AS elasticity_class, role, round(sales, 2) AS sales, CASE WHEN role = 'BKG' THEN CASE cls WHEN 'high' THEN 'Hi-Lo' ELSE 'Margin' END WHEN cls = 'low' THEN 'EDLP' ELSE 'Low-Lower' END AS segment FROM j")
-def balance_matrix(spark, d):
-    e = _contagion(spark, d).withColumn("elasticity_class", F.when(F.col("elasticity") < -4, "high").otherwise("low"))
-    role = b.products(spark, d).select("ean", F.get(F.array(F.lit("KVI"), F.lit("KCI"), F.lit("BKG")), (F.col("ean") % 3).cast("int")).alias("role"))
-    return pricing.balance_matrix(e, role, b.sales(spark, d)).select("ean", *_r("elasticity", digits=4), "elasticity_class", "role", *_r("sales", digits=2), "segment")
-
-
-# Allocation
-
-_DIST = """
-, bought AS (SELECT DISTINCT customer_key, sub_category, brand FROM sales JOIN products USING (ean)), offers AS (SELECT ean, ean % 60 AS offer_id FROM products WHERE ean % 5 = 0 UNION ALL SELECT ean, ean % 61 FROM products WHERE ean % 10 = 0),
-dist AS (SELECT DISTINCT customer_key, p.ean, p.sub_category, p.category, p.brand, CAST((customer_key * 31 + p.ean * 17) % 1000 AS DOUBLE) / 1000 AS distance FROM (SELECT DISTINCT customer_key FROM orders_ WHERE customer_key % 10 = 1) c, products p WHERE p.ean % 5 = 0 AND (customer_key * 31 + p.ean * 17) % 1000 < 300),
-prio AS (SELECT i AS offer_id, CAST(i % 2 AS INTEGER) AS bm_priority FROM range(61) t(i)),
-loy AS (SELECT customer_key, offer_id, category, distance FROM (SELECT d.*, o.offer_id, row_number() OVER (PARTITION BY d.customer_key, o.offer_id ORDER BY distance, d.ean) AS i FROM dist d SEMI JOIN bought USING (customer_key, sub_category, brand) JOIN (SELECT ean, max(offer_id) AS offer_id FROM offers GROUP BY 1) o USING (ean)) WHERE i = 1),
-od AS (SELECT customer_key, offer_id, sub_category, brand, category, min(distance) AS distance FROM dist JOIN offers USING (ean) GROUP BY ALL),
-acq AS (SELECT customer_key, offer_id, category, distance FROM (SELECT d.*, row_number() OVER (PARTITION BY d.customer_key, category ORDER BY distance, d.offer_id) AS i FROM od d ANTI JOIN bought USING (customer_key, sub_category, brand) ANTI JOIN loy USING (customer_key, offer_id)) WHERE i = 1),
-both_ AS (SELECT a.*, coalesce(bm_priority, 0) AS bm FROM (SELECT *, 2 AS offer_type FROM loy UNION ALL SELECT *, 6 FROM acq) a LEFT JOIN prio USING (offer_id)),
-once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_key, offer_id ORDER BY offer_type, CASE offer_type WHEN 6 THEN -bm ELSE 0 END, distance) AS i FROM both_) WHERE i = 1),
-rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY customer_key, offer_type ORDER BY CASE offer_type WHEN 6 THEN -bm ELSE 0 END, distance, offer_id) AS INTEGER) AS offer_rank, row_number() OVER (PARTITION BY customer_key ORDER BY offer_type, CASE offer_type WHEN 6 THEN -bm ELSE 0 END, distance, offer_id) AS n FROM once)"""
-
-
-def _distances(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    who = b.orders(spark, d).where("customer_key % 10 = 1").select("customer_key").distinct()
-    p = b.products(spark, d).where("ean % 5 = 0").select("ean", "sub_category", "category", "brand")
-    score = (F.col("customer_key") * 31 + F.col("ean") * 17) % 1000
-    return who.crossJoin(F.broadcast(p)).withColumn("distance", score.cast("double") / 1000).where("distance < 0.3"), b.sales(spark, d).join(b.products(spark, d), "ean")
-
-
-@query(f"{_DIST} SELECT customer_key, offer_id, offer_type, offer_rank FROM rk WHERE n <= 10")
-def coupon_allocation(spark, d):
-    near, bought = _distances(spark, d)
-    p = b.products(spark, d)
-    offers = p.where("ean % 5 = 0").select("ean", (F.col("ean") % 60).alias("offer_id")).union(p.where("ean % 10 = 0").select("ean", F.col("ean") % 61))
-    loyal = allocation.loyalty_offers(near, bought, offers)
-    by_offer = near.join(offers, "ean").groupBy("customer_key", "offer_id", "sub_category", "brand", "category").agg(F.min("distance").alias("distance"))
-    priority = spark.range(61).select(F.col("id").alias("offer_id"), (F.col("id") % 2).cast("int").alias("bm_priority"))
-    return allocation.coupon_allocation(loyal, allocation.acquisition_offers(by_offer, bought, loyal), priority)
-
-
-def _sku_vectors(spark: SparkSession, d: str) -> DataFrame:
-    """(sku, embedding) of all products that stand in five baskets of a usual size."""
-    return embeddings.train_sku_embeddings(embeddings.w2v_baskets(b.sales(spark, d), b.baskets(spark, d), quantity=(2, 500)), min_count=5)
-
-
-def _near(spark: SparkSession, d: str) -> DataFrame:
-    """(customer_key, ean, sub_category, category, brand, distance) of all customers and products that have vectors."""
-    v = stored(_sku_vectors(spark, d).select(F.col("sku").cast("long").alias("sku"), "embedding"), "sku_vectors")
-    who = stored(embeddings.customer_embeddings(b.sales(spark, d), v, ON_DATE), "customer_vectors")
-    return similarity.cosine_pairs(who, v, "customer_key", "sku", below=1).withColumnRenamed("sku", "ean").join(b.products(spark, d).select("ean", "sub_category", "category", "brand"), "ean")
-
-
-def _candidates(spark: SparkSession, d: str) -> DataFrame:
-    near, bought = _near(spark, d), b.sales(spark, d).join(b.products(spark, d), "ean")
-    by_ean = bought.groupBy("customer_key", "ean").agg(F.count_distinct("transaction_date").alias("n_purchases"))
-    by_group = bought.groupBy("customer_key", "sub_category").agg(F.count_distinct("transaction_date").alias("n"))
-    by_ean = ranking.with_rank(by_ean, ["customer_key"], [F.desc("n_purchases"), F.asc("ean")], "relevance_ean")
-    by_group = ranking.with_rank(by_group, ["customer_key"], [F.desc("n"), F.asc("sub_category")], "relevance_group").drop("n")
-    return near.join(by_ean, ["customer_key", "ean"], "left").join(by_group, ["customer_key", "sub_category"], "left").fillna(0, ["n_purchases"])
-
-
-@query()
-def personalized_products(spark, d):
-    return allocation.personalized_products(_candidates(spark, d), top_n=8)
-
-
-@query()
-def personalized_products_without_usuals(spark, d):
-    return allocation.personalized_products(_candidates(spark, d), per_sub_category=2, per_category=None, top_n=20, usual=_usuals(spark, d))
-
-
-def _own_brand(spark: SparkSession, d: str, on_date: str) -> DataFrame:
-    """Own-brand candidates for the usual products at a date."""
-    p = b.products(spark, d)
-    subs = p.select("ean", "sub_category").join(p.where("brand = 'Brand#7'").select("sub_category", F.col("ean").alias("substitute"), F.col("ean").alias("substitution_rank")), "sub_category").drop("sub_category")
-    return usuals.own_brand_candidates(_usuals(spark, d, on_date), p, subs, F.col("brand") == "Brand#7")
-
-
-@query()
-def own_brand_injection(spark, d):
-    bought = b.sales(spark, d).where("transaction_date >= DATE '2001-06-01'").select("customer_key", "ean")
-    return usuals.inject_own_brand(_usuals(spark, d), _own_brand(spark, d, ON_DATE), bought, _own_brand(spark, d, "2001-06-01"))
-
+# Published lists
 
 @query(f"{_USUALS} SELECT DATE '2001-07-01' AS date, customer_key, md5(CAST(customer_key AS VARCHAR)) AS hash_string, sku AS sku_product, ean, relevance, CAST(3 AS INTEGER) AS store_banner, lpad(CAST(sku AS VARCHAR), 18, '0') || '-UN' AS vtexrefid FROM usual JOIN products USING (ean)")
 def publish_ranked(spark, d):
     return usuals.publish_ranked(_usuals(spark, d), b.products(spark, d), 3, ON_DATE)
 
 
-@query(", o AS (SELECT offer_id, coalesce(sum(s) FILTER (ean % 3 = 0) / sum(s), 0) AS share FROM (SELECT ean, ean % 60 AS offer_id FROM products) LEFT JOIN (SELECT ean, round(sum(value), 2) AS s FROM sales GROUP BY 1) USING (ean) GROUP BY 1) SELECT offer_id, CAST(share >= 0.5 AS INTEGER) AS bm_priority FROM o")
-def offer_priority(spark, d):
-    matrix = b.sales(spark, d).groupBy("ean").agg(F.round(F.sum("value"), 2).alias("sales")).withColumn("segment", F.when(F.col("ean") % 3 == 0, "EDLP").otherwise("Margin"))
-    return allocation.offer_priority(b.products(spark, d).select("ean", (F.col("ean") % 60).alias("offer_id")), matrix)
-
-
 # Ingests
 
 @query(" SELECT store_id, transaction_date AS date, store_banner, CAST(count(*) AS BIGINT) AS requested, CAST(count(*) FILTER (transaction_type <> 'R' AND line_no % 7 <> 0) AS BIGINT) AS completed, count(*) FILTER (transaction_type <> 'R' AND line_no % 7 <> 0) / count(*) AS found_rate FROM sales LEFT JOIN stores USING (store_id) GROUP BY 1, 2, 3")
@@ -699,17 +527,3 @@ def calendar(spark, d):
 def flattened_events(spark, d):
     e = b.table(spark, d, "events").select("event_type", F.from_json("props", "k bigint").alias("props"))
     return text.flatten(e).groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("props_k") > 50).alias("high"))
-
-
-@query()
-def w2v_neighbours(spark, d):
-    v = stored(_sku_vectors(spark, d), "sku_vectors")
-    return similarity.cosine_pairs(v, v.withColumnRenamed("sku", "other"), "sku", "other", below=0.5).where("sku <> other")
-
-
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(SQL)

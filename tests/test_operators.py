@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 from basket_spark.functions import dates, text
 from basket_spark.functions import vectors as vx
-from basket_spark.operators import aggregates, joins, kmeans, metrics, ranking, regression
-from basket_spark.plans import cards, customers, pricing
+from basket_spark.operators import aggregates, joins, kmeans, metrics, quantiles, ranking, regression, similarity
+from basket_spark.plans import cards, customers, pricing, substitutes
 from basket_spark.sources import incremental, quality, readers, sheets, tables
 from basket_spark.streaming import push_events
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ def values(df, *columns):
 
 
 def test_months(spark):
-    assert dates.first_of_window(202407, 12) == 202308
+    assert dates.first_of_window(202003, 5) == 201911
     row = spark.sql("SELECT 202401 AS m, DATE '2024-01-07' AS sun, DATE '2024-01-08' AS mon").select(dates.add_months(F.col("m"), -2).alias("a"), dates.iso_week_difference(F.col("mon"), F.col("sun")).alias("w"), dates.staged_timestamp(F.lit("Jan  2 2024  3:04PM")).alias("t"), dates.us_timestamp(F.lit("1/2/2024 03:04:05 PM")).alias("u"), dates.us_timestamp(F.lit("x")).alias("n")).first()
     assert tuple(row) == (202311, 1, dt.datetime(2024, 1, 2, 15, 4), dt.datetime(2024, 1, 2, 15, 4, 5), None)
 
@@ -28,8 +28,8 @@ def test_text(spark):
     assert [r[0] for r in df.select(text.normalize_text(F.col("t"))).collect()] == ["pina_colada_500ml", None, None]
     assert [r[0] for r in df.select(text.split_tokens(F.col("t"))).collect()][:2] == ["¡ pi a colada ! 500 ml", "---"]
     assert df.select(text.normalize_text(F.col("t"), first_word=True)).first()[0] == "pina"
-    nested = spark.sql("SELECT named_struct('a', 1, 'b', named_struct('c', named_struct('e', 3), 'd', 2)) AS s").select("s.*")
-    assert text.flatten(nested).first().asDict() == {"a": 1, "b_c_e": 3, "b_d": 2}
+    nested = spark.sql("SELECT named_struct('who', 'x', 'at', named_struct('place', named_struct('row', 7), 'day', 2)) AS s").select("s.*")
+    assert text.flatten(nested).first().asDict() == {"who": "x", "at_place_row": 7, "at_day": 2}
 
 
 def test_vectors(spark):
@@ -67,6 +67,63 @@ def test_kmeans(spark):
     assert values(got.where("g = 'b'"), "cluster") == [(0,), (0,), (None,)]
 
 
+def test_percentiles(spark):
+    rng = np.random.default_rng(3)
+    rows = [("a", float(x)) for x in rng.lognormal(0, 3, 20000)] + [("b", float(x)) for x in rng.integers(0, 3, 900)] + [("c", 1.5), ("d", None), ("e", 1.0), ("e", 2.0)]
+    df, probes = spark.createDataFrame(rows, "g string, x double").repartition(5), [0.0, 0.01, 0.25, 0.5, 0.95, 0.999, 1.0]
+    got = {r.g: r.p for r in quantiles.percentiles(df, ["g"], F.col("x"), probes).collect()}
+    assert set(got) == {"a", "b", "c", "e"}
+    for g, p in got.items():
+        assert np.allclose(p, np.quantile([x for k, x in rows if k == g], probes), rtol=1e-12)
+    assert np.allclose(quantiles.percentiles(df, [], F.col("x"), probes).first().p, np.quantile([x for _, x in rows if x is not None], probes), rtol=1e-12)
+
+
+def test_blocks_of_any_size_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    left = spark.createDataFrame([(i, [float(v) for v in rng.normal(size=4)]) for i in range(40)] + [(90, [0.0] * 4), (91, None)], "k int, embedding array<double>")
+    right = left.withColumnRenamed("k", "other")
+    with pytest.raises(ValueError, match="bound"):
+        similarity.cosine_pairs(left, right, "k", "other")
+    want = values(similarity.cosine_pairs(left, right, "k", "other", below=0.7), "k", "other", "distance")
+    near = values(similarity.cosine_pairs(left, right, "k", "other", top=3), "k", "other")
+    assert len(near) == 120
+    monkeypatch.setattr(similarity.in_blocks, "__defaults__", (None, 7))
+    assert values(similarity.cosine_pairs(left, right, "k", "other", below=0.7), "k", "other", "distance") == want
+    assert values(similarity.cosine_pairs(left, right, "k", "other", top=3), "k", "other") == near
+    flags = spark.createDataFrame([(i, i % 3, [int(v) for v in rng.integers(0, 2, 6)]) for i in range(30)] + [(99, None, [1] * 6)], "k int, g int, f array<int>")
+    got = values(similarity.nearest_flags(flags, "k", "f", "g", 2), "a", "b", "distance")
+    rows = {r.k: r for r in flags.collect() if r.g is not None}
+    for k, r in rows.items():
+        wrong = {o: sum(x != y for x, y in zip(r.f, s.f, strict=True)) for o, s in rows.items() if s.g == r.g and o != k}
+        order = sorted((round(2 * w / (6 + w), 6), o) for o, w in wrong.items())[:2]
+        assert sorted((d, o) for a, o, d in got if a == k) == order
+
+
+def test_substitutes_with_names(spark):
+    rows = [(1, "c", [1.0, 0.0], [1, 0], "UN", None, 1.0, "Red Apple 1kg"), (2, "c", [1.0, 0.1], [1, 0], "UN", "box", 1.1, "red apple 2 kg"), (3, "c", [0.0, 1.0], None, "KG", "box", 2.0, "green pear"), (4, "d", [1.0, 0.0], [1, 1], "UN", "box", 1.0, "red apple"), (5, "c", [1.0, 0.0], [1, 1], "UN", "box", 1.0, "--")]
+    p = spark.createDataFrame(rows, "ean int, category string, embedding array<double>, flags array<int>, unit string, container string, price_index double, nm string")
+    plain = substitutes.substitutes(p)
+    assert {(r.ean, r.substitute) for r in plain.collect()} == {(a, b) for a in (1, 2, 3, 5) for b in (1, 2, 3, 5) if a != b}
+    named = p.join(substitutes.name_terms(p), "ean", "left")
+    got = values(substitutes.substitutes(named, 1, {"tfidf": 1.0}), "ean", "substitute")
+    assert got[:2] == [(1, 2), (2, 1)]
+    assert all(5 not in x for x in got)
+    assert values(substitutes.substitute_vectors(plain.where("ean = 1")), "ean", "substitutes")[0][0] == 1
+
+
+def test_features_in_order(spark):
+    assert pricing.feature_window("2001-07-01", "ELASTICITY") == (dt.date(1999, 2, 1), dt.date(2001, 6, 30))
+    assert pricing.feature_window("2001-07-15", "FORECAST") == (dt.date(1999, 2, 15), dt.date(2001, 7, 14))
+    with pytest.raises(ValueError, match="FORECAST"):
+        pricing.feature_window("2001-07-15", "OTHER")
+    d = dt.date
+    daily = spark.createDataFrame([(1, "UN", d(2024, 1, 1), 5.0, 9.0), (1, "UN", d(2024, 1, 2), 2.0, 9.0), (2, "KG", d(2024, 1, 2), 0.5, 9.0), (3, "UN", d(2023, 1, 2), 9.0, 9.0), (4, "UN", d(2023, 1, 1), 9.0, 9.0), (5, "UN", d(2024, 1, 2), 9.0, 2e6)], "ean int, unit string, date date, quantity double, price double")
+    assert values(pricing.sold_lately(daily), "ean", "quantity") == [(1, 5.0), (2, 0.5), (3, 9.0)]
+    assert [dates.easter_sunday(y).isoformat() for y in (1999, 2000, 2001, 2024, 2026)] == ["1999-04-04", "2000-04-23", "2001-04-15", "2024-03-31", "2026-04-05"]
+    assert (d(2024, 3, 29), "viernes_santo", "feriado") in dates.holidays(range(2023, 2027))
+    assert (d(2023, 6, 21), "20_junio", "feriado") in dates.holidays(range(2023, 2027))
+
+
 def test_least_squares(spark):
     rng = np.random.default_rng(0)
     x, w = rng.normal(size=(200, 2)), rng.uniform(1, 2, 200)
