@@ -50,7 +50,7 @@ def without_leading_zeros(text: Column) -> Column:
 
 def to_number(text: Column) -> Column:
     """A dirty number (decimal comma, blanks) as a double, null where it isn't one."""
-    return F.expr("CAST(NULL AS DOUBLE)") if text is None else F.regexp_replace(F.trim(text), ",", ".").try_cast("double")
+    return F.replace(F.trim(text), F.lit(","), F.lit(".")).try_cast("double")
 
 
 def flatten(df: DataFrame, separator: str = "_", rename: dict[str, str] | None = None) -> DataFrame:

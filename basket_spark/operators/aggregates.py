@@ -67,3 +67,16 @@ def running_share(df: DataFrame, by: list[str], order: list[Column], value: str,
     """``df`` with the share of the group's total that the rows up to this one make."""
     w = Window.partitionBy(*by)
     return df.withColumn(name, F.sum(value).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) / F.sum(value).over(w))
+
+
+def unpivot(df: DataFrame, keys: list[str], columns: list[str], name: str = "name", value: str = "value") -> DataFrame:
+    """(keys, name, value): a row for each of the columns that isn't null."""
+    return df.unpivot(keys, columns, name, value).where(F.col(value).isNotNull())
+
+
+def described(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by, n, mean, stddev, least, q25, median, q75, most) of the values that aren't null."""
+    x = F.col(value).cast("double")
+    plain = df.where(x.isNotNull()).groupBy(*by).agg(F.count("*").alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"), F.min(x).alias("least"), F.max(x).alias("most"))
+    cuts = percentiles(df, by, x, [0.25, 0.5, 0.75], "__q")
+    return join_group(plain, cuts, by).select(*by, "n", "mean", "stddev", "least", *[F.get("__q", F.lit(i)).alias(c) for i, c in enumerate(("q25", "median", "q75"))], "most")

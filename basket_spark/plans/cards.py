@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from ..functions.numbers import band, first_match
 from ..operators.joins import as_of, interval_join_latest
 
 OPEN_ENDED = "2100-01-01"
+# Credit limit that counts, and the cycle of those who don't buy.
 LEAST_LIMIT = 30_000
 NO_CYCLE = 500
 # Credit limit from which, share of wallet and purchase cycle that are expected.
@@ -103,3 +106,48 @@ def state_date(cards: DataFrame, since: str, until: str) -> DataFrame:
         (new & act.isNull() & soon, first),
     ]
     return cards.withColumn("state_date", first_match(rules, act))
+
+
+def first_status(cards: DataFrame) -> DataFrame:
+    """``cards`` (subscribed_now, active, days, closed) with ``new_status`` where no status is known from before."""
+    rules = [(F.col("closed"), "closed"), (F.col("active"), "grow"), (F.col("subscribed_now"), "onboard"), (F.col("days") <= 28, "onboard")]
+    return cards.withColumn("new_status", first_match([(c, F.lit(v)) for c, v in rules], F.lit("never_activated")))
+
+
+def card_lifecycle(cards: DataFrame, statuses: DataFrame, purchases: DataFrame, period: int, since: str, previous: DataFrame | None = None, months: int = 6) -> DataFrame:
+    """(customer_key, card_id, status, period) of the cards that were open in the month ``period`` (YYYYMM).
+
+    ``cards``: customer_key, card_id, subscription_date, activation_date, termination_date, last_period; ``statuses``:
+    card_id, period, credit_limit; ``purchases``: basket_key, customer_key, transaction_date, amount, by_card (whether paid
+    by a card of the house); ``previous``: the result for the month before, none in the first run.
+
+    Cards' closing dates come from terminations and statuses; a missing activation is the first purchase by the card within
+    a year. Cards of which no credit status is known have no row unless they close in the month. Shares of wallet and
+    purchase cycles look ``months`` back.
+    """
+    start = dt.date(period // 100, period % 100, 1)
+    end = (start + dt.timedelta(31)).replace(day=1)
+    first_day, next_month, last_day = F.lit(start), F.lit(end), F.lit(end - dt.timedelta(1))
+    known = closed_date(cards).select("customer_key", "card_id", "subscription_date", "activation_date", "closed_date")
+    bought = purchases.where(F.col("transaction_date") < next_month)
+    by_card = card_of_purchase(bought.where("by_card"), known).groupBy("card_id").agg(F.min("transaction_date").alias("first_purchase"))
+    open_ = known.where((F.col("subscription_date") < next_month) & (F.col("closed_date").isNull() | (F.col("closed_date") >= first_day) | (F.col("subscription_date") >= first_day)))
+    soon = F.datediff("first_purchase", "subscription_date") <= 365
+    rows = open_.join(by_card, "card_id", "left").withColumn("activation_date", F.coalesce("activation_date", F.when(soon, F.col("first_purchase"))))
+    rows = state_date(rows, since, end.isoformat())
+    rows = rows.withColumn("state_date", F.when(F.col("state_date") < next_month, F.col("state_date")))
+    rows = rows.withColumns({
+        "closed": F.coalesce((F.col("closed_date") >= first_day) & (F.col("closed_date") < next_month), F.lit(False)),
+        "days": F.when(F.col("state_date").isNull(), F.datediff(last_day, "subscription_date")).otherwise(0),
+        "active": F.col("state_date").isNotNull(), "subscribed_now": F.col("subscription_date") >= first_day,
+    })
+    if previous is None:
+        done = first_status(rows)
+    else:
+        limits = last_known_status(statuses, period).select("card_id", "credit_limit")
+        window = bought.where(F.col("transaction_date") >= F.add_months(first_day, 1 - months))
+        rows = rows.join(limits, "card_id", "left").where("closed OR credit_limit IS NOT NULL")
+        rows = rows.join(share_of_wallet(window), "customer_key", "left").join(purchase_cycle(bought, start.isoformat(), end.isoformat()), "customer_key", "left").fillna(0, ["sow"]).fillna(NO_CYCLE, ["cycle"])
+        rows = rows.join(previous.select("card_id", "status"), "card_id", "left").fillna("sin_estado", ["status"])
+        done = next_status(with_thresholds(rows))
+    return done.select("customer_key", "card_id", F.col("new_status").alias("status"), F.lit(period).alias("period"))

@@ -9,7 +9,7 @@ from ..functions.dates import us_timestamp
 from ..functions.text import sku_key
 from ..operators.ranking import first_row
 from ..sources.quality import assert_columns
-from ..sources.tables import TableSpec, write_table
+from ..sources.tables import TableSpec, require_table, write_table
 
 
 def found_rate(lines: DataFrame, stores: DataFrame, by: list[str]) -> DataFrame:
@@ -36,9 +36,12 @@ def order_substitutions(lines: DataFrame) -> DataFrame:
     return lines.where("replaces IS NOT NULL").join(other, ["order_id", "replaces"]).select("order_id", "original", F.col("ean").alias("substitute"))
 
 
-def ingest_full(df: DataFrame, spec: TableSpec) -> None:
-    """Replace the table by the rows."""
+def ingest_full(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Replace the table, made if it is missing, by the rows; the table."""
+    spec.create(df.sparkSession, "ignore")
     write_table(df, spec, "replace")
+    require_table(df.sparkSession, spec.name)
+    return df.sparkSession.table(spec.name)
 
 
 def memberships_snapshot(memberships: DataFrame, months: int, on_date: str) -> DataFrame:
@@ -54,9 +57,31 @@ def image_urls(images: DataFrame, unit: Column) -> DataFrame:
     return main.select(sku_key(F.col("sku"), unit).alias("vtexrefid"), F.trim("url").alias("url"))
 
 
+def sku_dim(skus: DataFrame, columns: list[str]) -> DataFrame:
+    """Products of the shop with a number that fits 18 digits, one row each (the last changed), the named columns."""
+    kept = skus.where((F.length("ean") < 19) & F.col("ean").rlike("^[0-9]+$")).withColumn("ean", F.col("ean").cast("long"))
+    return first_row(kept, ["ref_id"], [F.desc_nulls_last("changed_at"), F.asc("ean")]).select(columns)
+
+
+def census_dim(census: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct localities with their commune, province and region."""
+    return census.select(columns).distinct()
+
+
+def monthly_report(rows: DataFrame, year: int, month: int) -> DataFrame:
+    """A provider's rows of one month."""
+    return rows.where((F.col("year") == year) & (F.col("month") == month))
+
+
+def visits(sales: DataFrame, by: list[str]) -> DataFrame:
+    """(by, year, month, visits, customers, value, weight): baskets and customers of each month, and what they bought."""
+    date = F.col("transaction_date")
+    return sales.groupBy(*by, F.year(date).alias("year"), F.month(date).alias("month")).agg(F.count_distinct("basket_key").alias("visits"), F.count_distinct("customer_key").alias("customers"), F.sum("value").alias("value"), F.sum("quantity").alias("weight"))
+
+
 def delivery_compliance(orders: DataFrame) -> DataFrame:
     """(date, store_id, orders, on_time, compliance): share of orders delivered by the promised time."""
-    per = orders.groupBy(F.to_date("promised_at").alias("date"), "store_id").agg(F.count("*").alias("orders"), F.count_if(F.col("delivered_at") <= F.col("promised_at")).alias("on_time"))
+    per = orders.where("promised_at IS NOT NULL").groupBy(F.to_date("promised_at").alias("date"), "store_id").agg(F.count("*").alias("orders"), F.count_if(F.col("delivered_at") <= F.col("promised_at")).alias("on_time"))
     return per.withColumn("compliance", F.try_divide("on_time", "orders"))
 
 

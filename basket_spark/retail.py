@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries, queries_allocation, queries_pricing  # noqa: F401  each registers its queries
+from . import queries, queries_allocation, queries_cards, queries_loads, queries_pricing  # noqa: F401  each registers its queries
 from .registry import QUERIES, SQL, Query
 
 

@@ -35,3 +35,18 @@ def write_new_events(events: DataFrame, table: str, keys: list[str], checkpoint:
 def windowed_counts(events: DataFrame, time: str, by: str, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """(window_start, by, n) of tumbling windows, final once the watermark has passed."""
     return events.withWatermark(time, delay).groupBy(F.window(time, window), by).agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), by, "n")
+
+
+def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """The counts so far, written anew with each batch to a folder of its own under ``path``; works off what is there."""
+
+    def replace(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number:09d}")
+
+    return counts.writeStream.outputMode("complete").foreachBatch(replace).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def last_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of the last batch."""
+    found = spark.read.parquet(path)
+    return found.join(F.broadcast(found.agg(F.max("batch").alias("batch"))), "batch", "left_semi").drop("batch")
