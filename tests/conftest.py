@@ -3,6 +3,7 @@ import tempfile
 from pathlib import Path
 
 import pytest
+from basket_spark.sources import shared
 from pyspark.sql import SparkSession
 
 
@@ -18,9 +19,11 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spark-warehouse-"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-shared-"))
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    shared.clear(session)
     session.stop()

@@ -249,3 +249,26 @@ def test_stream(spark, tmp_path):
         q.awaitTermination(120)
         assert spark.table("t_events").count() == 50
     spark.sql("DROP TABLE t_events")
+
+
+def test_stored_results_can_be_cleared(spark):
+    from pathlib import Path
+
+    from basket_spark.sources import shared
+
+    frame, path = shared.stored_at(spark.range(5), "probe")
+    assert frame.count() == 5
+    assert path.startswith(shared.work_dir(spark))
+    shared.remove(spark, path)
+    assert not Path(path.removeprefix("file:")).exists()
+
+
+def test_database(spark, tmp_path):
+    """A query over JDBC, in one part and in several, from the database that comes with Spark."""
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    spark.createDataFrame([(i, f"n{i}") for i in range(40)], "k int, v string").write.format("jdbc").option("url", url).option("dbtable", "t").save()
+    whole = readers.read_database(spark, url, "SELECT * FROM t")
+    parts = readers.read_database(spark, url, "SELECT * FROM t", "K", ("0", "40"), 4)
+    assert parts.rdd.getNumPartitions() == 4
+    assert values(whole, "K", "V") == values(parts, "K", "V")
+    assert whole.count() == 40
