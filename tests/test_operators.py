@@ -268,7 +268,7 @@ def test_database(spark, tmp_path):
     url = f"jdbc:derby:{tmp_path}/db;create=true"
     spark.createDataFrame([(i, f"n{i}") for i in range(40)], "k int, v string").write.format("jdbc").option("url", url).option("dbtable", "t").save()
     whole = readers.read_database(spark, url, "SELECT * FROM t")
-    parts = readers.read_database(spark, url, "SELECT * FROM t", "K", ("0", "40"), 4)
+    parts = readers.read_database(spark, url, "SELECT * FROM t", "k", ("0", "40"), 4)
     assert parts.rdd.getNumPartitions() == 4
-    assert values(whole, "K", "V") == values(parts, "K", "V")
+    assert values(whole, "k", "v") == values(parts, "k", "v")
     assert whole.count() == 40
