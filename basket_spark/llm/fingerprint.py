@@ -2,8 +2,9 @@
 
 The prefix array of a text holds, for two bases modulo 2^31 - 1, the hash of each of its prefixes. Any two spans, of one
 text or of two, are equal if their hashes, brought to the same power, are; binary search over lengths finds the longest
-common extension of two places. A fingerprint holds the length and the hashes of the prefixes at multiples of a stride,
-at most 64 of them, and of the whole; two fingerprints compare by their longest common prefix and suffix.
+common extension of two places. A fingerprint holds the length, the hashes of the prefixes at multiples of a stride, at
+most 64 of them, and of the whole, and those of the suffixes of such lengths, brought to power 0; two fingerprints compare
+by their longest common prefix and suffix, whatever the lengths of the texts.
 """
 
 from __future__ import annotations
@@ -15,13 +16,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampType
 
-from .common import narrow
+from .common import few, narrow
 
 MOD = np.uint64((1 << 31) - 1)
 BASES = (np.uint64(1_000_003), np.uint64(777_767_777))
 #: A fingerprint has at most so many spans.
 SPANS = 64
+#: Rows that are taken apart at a time.
+ROWS = 1024
+_INVERSES = tuple(np.uint64(pow(int(b), -1, int(MOD))) for b in BASES)
 _powers = [np.ones(1, np.uint64) for _ in BASES]
 
 
@@ -34,6 +39,14 @@ def powers(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def inverse_powers(k: int, start: int, step: int, count: int) -> np.ndarray:
+    """The inverse of base k to the powers start, start + step, ...: as many as ``count``."""
+    jump, out = pow(int(_INVERSES[k]), step, int(MOD)), [pow(int(_INVERSES[k]), start, int(MOD))]
+    for _ in range(count - 1):
+        out.append(out[-1] * jump % int(MOD))
+    return np.array(out, np.uint64)
+
+
 def points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
 
@@ -74,24 +87,28 @@ class Prefixes:
         return _longest(min(self.n - i, other.n - j), lambda length: self.equal(i, other, j, length))
 
     def fingerprint(self) -> str:
-        """Length, then the hashes of the prefixes at the multiples of the stride and at the end, in hexadecimal.
+        """Length, then the hashes of the prefixes at the multiples of the stride and at the end, then those of the suffixes
+        of the stride's multiples, in hexadecimal.
 
         The stride is the least power of two that gives at most ``SPANS`` spans, so strides of different lengths nest.
         """
         step = stride(self.n)
         ends = np.append(np.arange(step, self.n, step), self.n)
-        return f"{self.n:x}:" + "".join(f"{int(a):08x}{int(b):08x}" for a, b in zip(self.at[0][ends], self.at[1][ends], strict=True))
+        starts = np.arange(self.n - step, 0, -step)
+        first = [a[ends] for a in self.at]
+        last = [(a[-1] + MOD - a[starts]) % MOD * inverse_powers(k, int(starts[-1]), step, len(starts))[::-1] % MOD if len(starts) else a[:0] for k, a in enumerate(self.at)]
+        return f"{self.n:x}:" + ":".join("".join(f"{int(a):08x}{int(b):08x}" for a, b in zip(*side, strict=True)) for side in (first, last))
 
 
 def stride(n: int) -> int:
     return 1 << max(0, (-(-n // SPANS) - 1).bit_length()) if n > SPANS else 1
 
 
-def _read(fingerprint: str) -> tuple[int, int, Prefixes]:
-    """Length, stride, and the prefix hashes as an array over spans."""
-    n, _, hashes = fingerprint.partition(":")
-    at = [np.array([0, *(int(hashes[i : i + 8], 16) for i in range(8 * k, len(hashes), 16))], np.uint64) for k in range(len(BASES))]
-    return int(n, 16), stride(int(n, 16)), Prefixes(at)
+def _read(fingerprint: str) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Length, stride, and the hashes of prefixes and of suffixes; place i is that of i spans."""
+    n, *sides = fingerprint.split(":")
+    first, last = (np.array([0, *(int(x[i : i + 16], 16) for i in range(0, len(x), 16))], np.uint64) for x in sides)
+    return int(n, 16), stride(int(n, 16)), first, last
 
 
 def _longest(most: int, equal: Callable[[int], bool]) -> int:
@@ -104,29 +121,28 @@ def _longest(most: int, equal: Callable[[int], bool]) -> int:
 
 
 def likeness(one: str, two: str) -> float:
-    """Share of the longer text, to within a stride, that the fingerprints show as common prefix and common suffix.
+    """Share of the longer text that the fingerprints show as common prefix and common suffix, to within a stride each.
 
-    1 for equal fingerprints, and for two empty texts; 0 if one is empty. A suffix counts for texts of one length.
+    1 for equal fingerprints, and for two empty texts; 0 if one is empty. Prefix and suffix don't count twice: they cover
+    the shorter text at most. What is common elsewhere isn't seen.
     """
     if one == two:
         return 1.0
-    (n, s, a), (m, t, b) = _read(one), _read(two)
+    (n, s, first, last), (m, t, other_first, other_last) = _read(one), _read(two)
     if not n or not m:
         return 0.0
-    step = max(s, t)
-    ends = np.arange(0, min(n, m) + 1, step)
-    same = [x[ends // s] == y[ends // t] for x, y in zip(a.at, b.at, strict=True)]
-    first = _longest(len(ends) - 1, lambda i: bool(same[0][i] and same[1][i]))
-    last = 0
-    if n == m:
-        spans = a.n  # what follows a span is equal if the differences to the whole's hash are
-        last = _longest(spans - first, lambda i: all((x[spans] + MOD - x[spans - i]) % MOD == (y[spans] + MOD - y[spans - i]) % MOD for x, y in zip(a.at, b.at, strict=True)))
-        last = n - (spans - last) * step if last else 0
-    return min(1.0, (first * step + last) / max(n, m))
+    step, least = max(s, t), min(n, m)
+    spans = (least - 1) // step  # the whole of a text has a hash among the prefixes only, at no multiple of the stride
+    common = [_longest(spans, lambda i, a=a, b=b: bool(a[i * step // s] == b[i * step // t])) for a, b in ((first, other_first), (last, other_last))]
+    if least == n and n % t == 0 and first[-1] == other_first[n // t] or least == m and m % s == 0 and other_first[-1] == first[m // s]:
+        return least / max(n, m)  # the shorter one is a prefix
+    return min(least, sum(common) * step) / max(n, m)
 
 
 def _bounds(rows: DataFrame, n: int) -> list:
     """Bounds of about n equal ranges of the ids."""
+    if not isinstance(rows.schema["doc_id"].dataType, (NumericType, DateType, TimestampType)):
+        raise ValueError("ids must be numbers or dates, as documents follow each other by id")
     return sorted(set(rows.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n).alias("q")).first()[0] or []))
 
 
@@ -141,11 +157,12 @@ def _place(bounds: list) -> F.Column:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row.
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, common_next) of every row.
 
     The edited text has the last floor(n_chars/4) code points replaced by the first as many (or all) of the next row's
-    text, by ascending id, after the last the first. Null texts are empty. Rows of one id are ordered by their text,
-    null ids come first; a single row is its own next.
+    text, by ascending id, after the last the first. ``common_next`` is the exact number of code points that the row's and
+    the next row's text begin with alike. Null texts are empty. Rows of one id are ordered by their text, null ids come
+    first; a single row is its own next. Ids must be numbers or dates; others raise.
 
     Rows go to ranges of ids, sorted, and each range gets a copy of the row that follows it, so no task sees more than
     its range; the driver sees the ranges' bounds and their least ids alone.
@@ -162,14 +179,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     heads = rows.join(F.broadcast(firsts), "part").where(F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("before", "doc_id").agg(F.min("text").alias("text"))
     dealt = rows.select("doc_id", "text", "part", F.lit(0).alias("after")).union(heads.select("doc_id", "text", "before", F.lit(1)))
     dealt = dealt.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "after", F.col("doc_id").asc_nulls_first(), "text")
-    return dealt.mapInArrow(_walk, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return dealt.mapInArrow(_walk, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_next long")
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row of a range with the one after it; a range's last row is the copy of the next range's first."""
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "common_next"]
     last = None
-    for batch in batches:
+    for batch in few(batches, ROWS):
         out: list[tuple] = []
         for doc_id, text, part, after in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "part", "after")), strict=True):
             own = Prefixes.of(text)
@@ -190,4 +207,4 @@ def _row(now: tuple, following: tuple) -> tuple:
     m = min(own.n // 4, theirs.n)
     edited = own.edited(cut, theirs, m).fingerprint()
     digest = hashlib.sha256((text[:cut] + other[:m]).encode("utf-8", "surrogatepass")).hexdigest()
-    return doc_id, own.n, digest, mark, edited, likeness(mark, edited), likeness(mark, next_mark)
+    return doc_id, own.n, digest, mark, edited, likeness(mark, edited), likeness(mark, next_mark), own.extension(0, theirs, 0)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from basket_spark.llm import fingerprint as f
 
 
@@ -33,7 +34,77 @@ def test_likeness():
     assert 0.7 < f.likeness(mark(text), mark(text[:3750] + "x" * 1250)) <= 0.75
     assert 0.45 < f.likeness(mark(text), mark(text[:2500])) <= 0.5
     assert 0.95 < f.likeness(mark(text), mark(text[:2000] + "!" + text[2001:])) < 1
-    assert f.likeness(mark(text), mark(text[1:])) < 0.05
+    assert 0.95 < f.likeness(mark(text), mark(text[1:])) < 1
+    assert 0.95 < f.likeness(mark("A new first line.\n" + text), mark(text)) < 1
+    assert f.likeness(mark(text), mark("x" + text[::-1])) < 0.05
+    assert f.likeness(mark("a" * 100), mark("a" * 150)) <= 100 / 150
+
+
+def plain_hashes(text):
+    """Hash of each prefix under each base, and of each suffix at power 0, by the definition."""
+    out = []
+    for base in (1_000_003, 777_767_777):
+        sums, power = [0], 1
+        for c in text:
+            sums.append((sums[-1] + (ord(c) + 1) * power) % (2**31 - 1))
+            power = power * base % (2**31 - 1)
+        tails, value = [0], 0
+        for c in reversed(text):
+            value = (value * base + ord(c) + 1) % (2**31 - 1)
+            tails.append(value)
+        out.append((sums, tails))
+    return out
+
+
+def plain_mark(text):
+    n, step = len(text), 1
+    while step * 64 < n:
+        step *= 2
+    both = plain_hashes(text)
+    first = [[p[e] for p, _ in both] for e in [*range(step, n, step), n]]
+    last = [[t[e] for _, t in both] for e in range(step, n, step)]
+    return f"{n:x}:" + ":".join("".join(f"{x:08x}" for pair in side for x in pair) for side in (first, last))
+
+
+def alike(a, b):
+    """Number of characters that two texts begin with alike."""
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))  # noqa: B905
+
+
+def plain_likeness(a, b):
+    """From the texts: common prefix and suffix in whole strides of the coarser of the two."""
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    step = 1
+    while step * 64 < max(len(a), len(b)):
+        step *= 2
+    least, most = min(len(a), len(b)), max(len(a), len(b))
+    short, other = sorted((a, b), key=len)
+    other_step = 1
+    while other_step * 64 < len(other):
+        other_step *= 2
+    short_step = 1
+    while short_step * 64 < len(short):
+        short_step *= 2
+    if len(short) % other_step == 0 and other.startswith(short) or len(a) == len(b) and a == b:
+        return least / most
+    spans = (least - 1) // step
+    common = min(spans, alike(a, b) // step) + min(spans, alike(a[::-1], b[::-1]) // step)
+    return min(least, common * step) / most
+
+
+def test_likeness_is_what_the_texts_have_in_common():
+    rng = random.Random(9)
+    mark = lambda t: f.Prefixes.of(t).fingerprint()
+    for _ in range(400):
+        a = "".join(rng.choices("ab ", k=rng.choice((1, 5, 60, 64, 65, 128, 300, 2000))))
+        cut, gone = rng.randrange(len(a) + 1), rng.choice((0, 1, 7, 64))
+        b = a[:cut] + "".join(rng.choices("abc", k=rng.choice((0, 1, 9, 70)))) + a[cut + gone :]
+        assert mark(a) == plain_mark(a)
+        assert abs(f.likeness(mark(a), mark(b)) - plain_likeness(a, b)) < 1e-12, (a, b)
+        assert f.likeness(mark(a), mark(b)) == f.likeness(mark(b), mark(a))
 
 
 def brute(rows):
@@ -43,8 +114,7 @@ def brute(rows):
         other = rows[(i + 1) % len(rows)][1]
         m = len(t) // 4
         edited = t[: len(t) - m] + other[:m]
-        mark = lambda x: f.Prefixes.of(x).fingerprint()
-        out.append((k, len(t), hashlib.sha256(edited.encode()).hexdigest(), mark(t), mark(edited), f.likeness(mark(t), mark(edited)), f.likeness(mark(t), mark(other))))
+        out.append((k, len(t), hashlib.sha256(edited.encode()).hexdigest(), plain_mark(t), plain_mark(edited), plain_likeness(t, edited), plain_likeness(t, other), alike(t, other)))
     return sorted(out, key=repr)
 
 
@@ -65,6 +135,11 @@ def test_many_ranges(spark, real):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_ids_of_other_kinds_raise(spark):
+    with pytest.raises(ValueError, match="numbers or dates"):
+        f.fingerprints(spark.createDataFrame([("a", "text")], "doc_id string, text string"))
+
+
 def test_likeness_separates(real):
     rows = f.fingerprints(real).collect()
     long_ = [r for r in rows if r.n_chars > 200]
