@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import remove, stored_at
 from .common import stored
 
 
@@ -37,10 +38,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     own. Only counts of the edges come to the driver; few edges are kept in few files.
     """
     down = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a != b").distinct()
-    now = stored(down, "edges")
+    spark = edges.sparkSession
+    now, path = stored_at(down, "edges")
     while True:
         n, nodes = now.agg(F.count("*"), F.count_distinct("a")).first()
         if n == nodes and now.join(now.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
         parts = max(1, n // EDGES_PER_FILE)
-        now = stored(_small_star(_large_star(now)).coalesce(parts), "stars")
+        now, written = stored_at(_small_star(_large_star(now)).coalesce(parts), "stars")
+        remove(spark, path)  # what the step started from
+        path = written

@@ -27,6 +27,8 @@ AMBIGUITY_GAP = 0.2
 #: A filter rejects a text when the lead is less than this: the two best come out alike.
 REJECT_GAP = 0.05
 UNDETERMINED = "und"
+#: More labels than this aren't languages; it bounds what the driver gets.
+MAX_LANGUAGES = 256
 _BUCKETS = 1 << BUCKET_BITS
 _CHUNK = 1 << 18
 
@@ -137,10 +139,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Learn from the rows that aren't held out and have text and language: about ``sample`` of each language.
 
     Three quarters of them give the n-gram counts, the rest the scale and the trust of each bit. Rows with a null id
-    aren't learned from. The counts are summed in Spark; the driver gets languages x buckets numbers at most.
+    aren't learned from. The counts are summed in Spark; the driver gets languages x buckets numbers at most, and more than
+    ``MAX_LANGUAGES`` labels raise.
     """
     rows = narrow(docs, id=id_col, text=text_col, lang=lang_col).where(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").isNotNull() & ~held_out("id"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labels")
     languages = sorted(counts)
     if not languages:
         return Model([])

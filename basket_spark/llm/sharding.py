@@ -59,6 +59,9 @@ def assign(rows: DataFrame, shards: list[str], id_col: str = "doc_id", slots: in
     return narrow(rows, doc_id=id_col).select("doc_id", slot("doc_id", slots).alias("slot")).join(F.broadcast(table), "slot").select("doc_id", "slot", "shard", "shard_without_last")
 
 
-def sharded(rows: DataFrame, shards: list[str], id_col: str = "doc_id", slots: int = SLOTS) -> DataFrame:
-    """``rows``, all columns, with ``__shard``: the place of its shard, from the table as a literal array."""
-    return rows.withColumn("__shard", F.get(F.array([F.lit(x) for x in fill(shards, slots)]), slot(id_col, slots).cast("int")))
+def sharded(rows: DataFrame, shards: list[str], id_col: str = "doc_id", slots: int = SLOTS, name: str = "__shard") -> DataFrame:
+    """``rows``, all columns, with ``name``: the place of its shard, from the table as a literal array. A column of that name
+    isn't overwritten: it raises."""
+    if name in rows.columns:
+        raise ValueError(f"there is a column {name}")
+    return rows.withColumn(name, F.get(F.array([F.lit(x) for x in fill(shards, slots)]), slot(id_col, slots).cast("int")))

@@ -2,27 +2,35 @@ import re
 
 import corpus_pipeline
 import public_tokenizers
+import tiktoken
 from basket_spark.llm import byte_bpe, decontaminate, lang_id, pii
 
 from .test_decontaminate import brute as brute_items
+from .test_lang_id import plain_predictor
 from .test_minhash import brute as brute_groups
 
 DIR = "/root/testdata/sf0.001"
 
 
 def test_against_brute_force(spark, real):
-    """The stages by plain loops: language, groups of all pairs, all passages against all items, surrogates, ids."""
-    model = lang_id.fit(real)
+    """The stages by plain loops: letters, groups of all pairs, all passages against all items, surrogates, the library's
+    ids. Language by the plain predictor for the short texts; none of them is so mixed that it goes."""
     rows = [(r.doc_id, r.text) for r in real.collect()]
-    rows = [(k, t) for k, t in rows if (p := lang_id.predict(model, t, lang_id.REJECT_GAP))[0] != "und" and not p[2]]
+    rows = [(k, t) for k, t in rows if t and any(map(str.isalpha, t))]
+    predict = plain_predictor(real)
+    assert all(predict(t)[1] > 0.5 + lang_id.REJECT_GAP for _, t in rows if len(t) <= 1000)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, real, DIR).select("doc_id").collect()}
+    assert kept == {k for k, _ in rows}
     groups = brute_groups(rows, 5)
     rows = [(k, t) for k, t in rows if groups[k][1] == k]
-    items = [(r.item_id, r.text.encode()) for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
-    leaks = {k for k, _ in brute_items([(k, t.encode()) for k, t in rows], items)}
-    surrogates, codec = pii.Surrogates(pii.KEY), byte_bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    want = {k: codec.encode(surrogates.apply(t)[0]) for k, t in rows if k not in leaks}
-    got = {r.doc_id: bytes(r.ids) for r in corpus_pipeline.run(spark, DIR).collect()}
-    assert got == want
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
+    leaks = {k for k, _ in brute_items(rows, items)}
+    surrogates = pii.Surrogates(pii.session_key(spark))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    want = {k: library.encode_ordinary(surrogates.apply(t)[0]) for k, t in rows if k not in leaks}
+    got = {r.doc_id: r for r in corpus_pipeline.run(spark, DIR).collect()}
+    assert {k: [int.from_bytes(r.ids[i : i + 4], "little") for i in range(0, len(r.ids), 4)] for k, r in got.items()} == want
+    assert all(r.n_tokens == len(want[k]) for k, r in got.items())
     assert len(got) > 100
 
 

@@ -46,4 +46,6 @@ def test_rows(odd, none, real):
     assert sharding.assign(none, sharding.names(8)).count() == 0
     table = {r.doc_id: r.shard for r in sharding.assign(real, sharding.names(5)).collect()}
     assert {r.doc_id: r["__shard"] for r in sharding.sharded(real, sharding.names(5)).collect()} == table
+    with pytest.raises(ValueError, match="column part"):
+        sharding.sharded(odd, sharding.names(5), name="part")
     assert "Python" not in sharding.assign(real, sharding.names(8))._jdf.queryExecution().toString()
