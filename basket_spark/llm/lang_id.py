@@ -95,10 +95,6 @@ def grams(text: str) -> Iterator[np.ndarray]:
             yield np.concatenate(found)
 
 
-def has_letter(text: str | None) -> bool:
-    return bool(text) and any(map(str.isalpha, text))
-
-
 def histogram(text: str) -> np.ndarray | None:
     """Counts of the buckets, or None without letters."""
     total = None
