@@ -135,23 +135,28 @@ def tf_idf(docs: DataFrame, key: str, text: str) -> DataFrame:
     return raw.join(length, key).select(key, "token", (F.col("w") / F.col("length")).alias("weight"))
 
 
+def _sums(df: DataFrame, vector: str, weight: Column) -> list[Column]:
+    """Aggregates: the weighted sum of each place of the vectors. As many as the first vector has places; sums of a task are
+    combined before they are shuffled, and no row is made for a place."""
+    first = df.where(F.col(vector).isNotNull()).select(F.size(vector)).first()
+    return [F.sum(F.get(vector, F.lit(i)).cast("double") * weight) for i in range(first[0] if first else 0)]
+
+
 def mean_vectors(df: DataFrame, by: str, vector: str, weight: Column | None = None) -> DataFrame:
-    """(by, embedding): the mean of the group's vectors, or the weighted sum over the sum of weights."""
+    """(by, embedding): the mean of the group's vectors, or the weighted sum over the sum of weights. Null vectors don't count."""
     w = F.lit(1.0) if weight is None else weight
-    long_ = df.select(by, w.alias("w"), F.posexplode(vector).alias("i", "x"))
-    means = long_.groupBy(by, "i").agg((F.sum(F.col("x") * F.col("w")) / F.sum("w")).alias("x"))
-    return means.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("embedding"))
+    rows = df.where(F.col(vector).isNotNull())
+    return rows.groupBy(by).agg(F.array(*[x / F.sum(w) for x in _sums(df, vector, w)]).cast("array<double>").alias("embedding"))
 
 
 def customer_vectors(lines: DataFrame, embeddings: DataFrame, customer: str, sku: str, score: Column) -> DataFrame:
     """(customer, embedding): sum over the customer's products of vector times score, over how many products there are.
 
-    ``lines`` has a row for each (customer, product).
+    ``lines`` has a row for each (customer, product), ``embeddings`` one for each product.
     """
-    joined = lines.select(customer, sku, score.alias("s")).join(embeddings, sku)
-    long_ = joined.select(customer, sku, "s", F.posexplode("embedding").alias("i", "x"))
-    sums = long_.groupBy(customer, "i").agg((F.sum(F.col("x") * F.col("s")) / F.count_distinct(sku)).alias("x"))
-    return sums.groupBy(customer).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("embedding"))
+    rows = embeddings.where("embedding IS NOT NULL")
+    joined = lines.select(customer, sku, score.alias("__s")).join(rows, sku)
+    return joined.groupBy(customer).agg(F.array(*[x / F.count("*") for x in _sums(rows, "embedding", F.col("__s"))]).cast("array<double>").alias("embedding"))
 
 
 def canonical_code(products: DataFrame, sku: str, unit: str, code: str, main: str) -> DataFrame:

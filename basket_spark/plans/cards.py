@@ -11,6 +11,7 @@ from ..functions.dates import year_month
 from ..functions.numbers import band, first_match
 from ..operators.joins import as_of, interval_join_latest
 
+# Fixed value: the end of what doesn't end.
 OPEN_ENDED = "2100-01-01"
 # Credit limit that counts, and the cycle of those who don't buy.
 LEAST_LIMIT = 30_000

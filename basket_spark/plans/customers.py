@@ -11,6 +11,7 @@ from ..operators.aggregates import pivot_flags, slope
 from ..operators.ranking import first_row
 from ..sources.shared import stored
 
+# Relative growth of a trend, and the names of states.
 GROWTH = 0.15
 NO_STATUS, NEW_TO_BASE = "sin estado", "no_existia"
 TREND = ("crecimiento", "estable", "decrecimiento", "esporadico")

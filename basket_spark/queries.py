@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import binding as b
 from .binding import ON_DATE
 from .functions import dates, text
+from .functions import vectors as vx
 from .operators import aggregates, joins, kmeans, metrics, ranking, regression, similarity
 from .plans import cards, customers, embeddings, ingests, pricing, sophistication, substitutes, usuals
 from .registry import query
@@ -93,6 +94,11 @@ def _lifecycle_query(runs: int) -> str:
     return f"{_SPEND},{','.join(parts)} SELECT customer_key, status, previous_status, round(slope, 6) AS slope, round(rate, 6) AS rate FROM r{runs - 1}o"
 
 
+@query(" SELECT channel, CAST(count(*) AS BIGINT) AS n, count(*) / sum(count(*)) OVER () AS share FROM orders_ GROUP BY 1")
+def share_of_channels(spark, d):
+    return customers.share_of_rows(b.orders(spark, d), "channel")
+
+
 @query(_lifecycle_query(1))
 def lifecycle_first(spark, d):
     return _lifecycle(spark, d, 1)
@@ -368,6 +374,14 @@ def tfidf_terms(spark, d):
     return similarity.tf_idf(b.products(spark, d), "ean", "nm").select("ean", "token", *_r("weight"))
 
 
+@query(""", m AS (SELECT label, list(x ORDER BY i) AS v FROM (SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM (SELECT label, unnest(embedding) AS x, unnest(range(64)) AS i FROM embeddings) GROUP BY 1, 2) GROUP BY 1),
+e AS (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS w FROM embeddings) SELECT vec_id, round(1 - list_dot_product(v, w) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(w, w))), 6) + 0.0 AS distance FROM e JOIN m USING (label)""")
+def distance_to_mean(spark, d):
+    e = b.table(spark, d, "embeddings")
+    means = similarity.mean_vectors(e, "label", "embedding").withColumnRenamed("embedding", "mean")
+    return e.join(means, "label").select("vec_id", (F.round(vx.cosine_distance(F.col("embedding"), F.col("mean")), 6) + 0.0).alias("distance"))
+
+
 @query(" SELECT label, i, round(avg(CAST(x AS DOUBLE)), 5) AS x FROM (SELECT label, unnest(embedding) AS x, unnest(range(64)) AS i FROM embeddings) GROUP BY 1, 2")
 def mean_vectors(spark, d):
     m = similarity.mean_vectors(b.table(spark, d, "embeddings"), "label", "embedding")
@@ -517,10 +531,10 @@ def period_comparison(spark, d):
     return ingests.period_comparison(s, ["store_id"], "value").select("store_id", "week", *_r("value", "previous_week", "previous_year", digits=2), *[(F.round(c, 4) + 0.0).alias(c) for c in ("pop", "yoy")])
 
 
-@query(" SELECT basket_key, CAST(isoyear(transaction_date) * 100 + weekofyear(transaction_date) AS INTEGER) AS iso_week, CAST(year(transaction_date) * 100 + month(transaction_date) AS INTEGER) AS ym, CAST((CAST(date_trunc('week', DATE '2001-07-01') AS DATE) - CAST(date_trunc('week', transaction_date) AS DATE)) // 7 AS INTEGER) AS weeks, transaction_date = last_day(transaction_date) AS month_end, CAST(year(transaction_date - INTERVAL 5 MONTH) * 100 + month(transaction_date - INTERVAL 5 MONTH) AS INTEGER) AS five_before FROM orders_")
+@query(" SELECT basket_key, CAST(isoyear(transaction_date) * 100 + weekofyear(transaction_date) AS INTEGER) AS iso_week, CAST(year(transaction_date) * 100 + month(transaction_date) AS INTEGER) AS ym, CAST((CAST(date_trunc('week', DATE '2001-07-01') AS DATE) - CAST(date_trunc('week', transaction_date) AS DATE)) // 7 AS INTEGER) AS weeks, transaction_date = last_day(transaction_date) AS month_end, day(transaction_date) = 1 AS month_start, CAST(year(transaction_date - INTERVAL 5 MONTH) * 100 + month(transaction_date - INTERVAL 5 MONTH) AS INTEGER) AS five_before FROM orders_")
 def calendar(spark, d):
     t = F.col("transaction_date")
-    return b.orders(spark, d).select("basket_key", dates.iso_year_week(t).alias("iso_week"), dates.year_month(t).alias("ym"), dates.iso_week_difference(F.lit(ON_DATE).cast("date"), t).alias("weeks"), dates.is_month_end(t).alias("month_end"), dates.add_months(dates.year_month(t), -5).alias("five_before"))
+    return b.orders(spark, d).select("basket_key", dates.iso_year_week(t).alias("iso_week"), dates.year_month(t).alias("ym"), dates.iso_week_difference(F.lit(ON_DATE).cast("date"), t).alias("weeks"), dates.is_month_end(t).alias("month_end"), dates.is_month_start(t).alias("month_start"), dates.add_months(dates.year_month(t), -5).alias("five_before"))
 
 
 @query(" SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (CAST(props->>'k' AS BIGINT) > 50) AS BIGINT) AS high FROM events GROUP BY 1")
