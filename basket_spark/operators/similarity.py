@@ -14,31 +14,38 @@ from ..functions import vectors as vx
 from .joins import natural_join
 from .ranking import first_row, top_k
 
-#: A block holds about so many rows; two of them meet in a task.
-BLOCK_ROWS = 4096
+#: A block holds about so many rows; two of them meet in a task, a strip of the one at a time. Few rows are cut into
+#: smaller blocks, as many as there are tasks.
+BLOCK_ROWS, LEAST_ROWS, STRIP = 16_384, 1024, 512
 
 
 def in_blocks(left: DataFrame, right: DataFrame, left_id: str, right_id: str, compute: Callable[[pa.Table, pa.Table], pa.Table], schema: str, by: str | None = None, rows: int = BLOCK_ROWS) -> DataFrame:
     """What ``compute`` makes of each pair of blocks of ``left`` and ``right``, of a group of ``by`` if given.
 
     Both sides are cut into blocks of about ``rows`` rows by a hash of their ids, so ids should be distinct. Each block is
-    sent to the tasks of all blocks of the other side that it meets; a task holds two blocks. Null groups meet nothing.
+    sent to the tasks of all blocks of the other side that it meets; a task holds two blocks and what ``compute`` makes of
+    ``STRIP`` rows of the left one. Null groups meet nothing.
     """
-    keys = [by] if by else []
+    keys, tasks = [by] if by else [], left.sparkSession.sparkContext.defaultParallelism
 
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
+    def blocks(df: DataFrame, name: str, least: int = 1) -> DataFrame:
+        n = F.count("*")
+        return df.groupBy(*keys).agg(F.greatest(F.ceil(n / rows), F.least(F.ceil(n / LEAST_ROWS), F.lit(least))).cast("int").alias(name))
+
+    def in_strips(one: pa.Table, two: pa.Table) -> pa.Table:
+        starts = range(0, max(1, one.num_rows), STRIP)
+        return pa.concat_tables([compute(one.take(pa.array(range(i, min(i + STRIP, one.num_rows)), pa.int64())), two) for i in starts])
 
     def join(a: DataFrame, b: DataFrame) -> DataFrame:
         return a.join(b, by) if by else a.crossJoin(F.broadcast(b))  # without groups one row of counts
 
-    sizes = join(blocks(left, "__nl"), blocks(right, "__nr")).where("__nl > 0 AND __nr > 0")
+    sizes = join(blocks(left, "__nl", tasks), blocks(right, "__nr")).where("__nl > 0 AND __nr > 0")
     place = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     one = join(left, sizes).select(*left.columns, place(left_id, "__nl").alias("__i"), each("__nr").alias("__j"))
     two = join(right, sizes).select(*[F.col(c).alias(c) for c in right.columns], place(right_id, "__nr").alias("__j"), each("__nl").alias("__i"))
     groups = [*keys, "__i", "__j"]
-    return one.groupBy(*groups).cogroup(two.groupBy(*groups)).applyInArrow(compute, schema)
+    return one.groupBy(*groups).cogroup(two.groupBy(*groups)).applyInArrow(in_strips, schema)
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
