@@ -41,10 +41,10 @@ def powers(n: int) -> list[np.ndarray]:
 
 def inverse_powers(k: int, start: int, step: int, count: int) -> np.ndarray:
     """The inverse of base k to the powers start, start + step, ...: as many as ``count``."""
-    jump, out = pow(int(_INVERSES[k]), step, int(MOD)), [pow(int(_INVERSES[k]), start, int(MOD))]
-    for _ in range(count - 1):
-        out.append(out[-1] * jump % int(MOD))
-    return np.array(out, np.uint64)
+    jump, out = np.uint64(pow(int(_INVERSES[k]), step, int(MOD))), np.array([pow(int(_INVERSES[k]), start, int(MOD))], np.uint64)
+    while len(out) < count:
+        out, jump = np.concatenate((out, out * jump % MOD)), jump * jump % MOD
+    return out[:count]
 
 
 def points(text: str) -> np.ndarray:
@@ -97,7 +97,7 @@ class Prefixes:
         starts = np.arange(self.n - step, 0, -step)
         first = [a[ends] for a in self.at]
         last = [(a[-1] + MOD - a[starts]) % MOD * inverse_powers(k, int(starts[-1]), step, len(starts))[::-1] % MOD if len(starts) else a[:0] for k, a in enumerate(self.at)]
-        return f"{self.n:x}:" + ":".join("".join(f"{int(a):08x}{int(b):08x}" for a, b in zip(*side, strict=True)) for side in (first, last))
+        return f"{self.n:x}:" + ":".join(np.stack(side, 1).astype(">u4").tobytes().hex() for side in (first, last))
 
 
 def stride(n: int) -> int:
@@ -107,7 +107,7 @@ def stride(n: int) -> int:
 def _read(fingerprint: str) -> tuple[int, int, np.ndarray, np.ndarray]:
     """Length, stride, and the hashes of prefixes and of suffixes; place i is that of i spans."""
     n, *sides = fingerprint.split(":")
-    first, last = (np.array([0, *(int(x[i : i + 16], 16) for i in range(0, len(x), 16))], np.uint64) for x in sides)
+    first, last = (np.concatenate(([np.uint64(0)], np.frombuffer(bytes.fromhex(x), ">u8").astype(np.uint64))) for x in sides)
     return int(n, 16), stride(int(n, 16)), first, last
 
 
