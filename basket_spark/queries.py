@@ -315,9 +315,14 @@ def pivot_activity(spark, d):
     return aggregates.pivot_flags(_spend(spark, d), "customer_key", "period", [_PERIOD - i for i in range(1, 5)], [f"q{i}" for i in range(1, 5)])
 
 
-@query(f"{_SPEND} SELECT customer_key, round(regr_slope(spend, period), 4) AS slope, CAST(count(*) AS BIGINT) AS n FROM spend GROUP BY 1")
+_CENTS = f"{_SPEND}, c AS (SELECT customer_key, period - {_PERIOD} AS t, round(spend * 100) AS y FROM spend)"
+
+
+@query(f"{_CENTS} SELECT customer_key, round((count(*) * sum(t * y) - sum(t) * sum(y)) / nullif(count(*) * sum(t * t) - sum(t) * sum(t), 0), 2) AS slope, CAST(count(*) AS BIGINT) AS n FROM c GROUP BY 1")
 def spend_slope(spark, d):
-    return _spend(spark, d).groupBy("customer_key").agg(aggregates.slope("spend", F.col("period") - _PERIOD).alias("slope"), F.count("*").alias("n")).select("customer_key", *_r("slope", digits=4), "n")
+    """In whole cents, so that the sums are exact in any order."""
+    cents = _spend(spark, d).withColumn("cents", F.round(F.col("spend") * 100))
+    return cents.groupBy("customer_key").agg(aggregates.slope("cents", F.col("period") - _PERIOD).alias("slope"), F.count("*").alias("n")).select("customer_key", *_r("slope", digits=2), "n")
 
 
 def _score_sql(by: str) -> str:
