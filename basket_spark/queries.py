@@ -318,11 +318,11 @@ def pivot_activity(spark, d):
 _CENTS = f"{_SPEND}, c AS (SELECT customer_key, period - {_PERIOD} AS t, round(spend * 100) AS y FROM spend)"
 
 
-@query(f"{_CENTS} SELECT customer_key, round((count(*) * sum(t * y) - sum(t) * sum(y)) / nullif(count(*) * sum(t * t) - sum(t) * sum(t), 0), 2) AS slope, CAST(count(*) AS BIGINT) AS n FROM c GROUP BY 1")
+@query(f"{_CENTS} SELECT customer_key, round((count(*) * sum(t * y) - sum(t) * sum(y)) / nullif(count(*) * sum(t * t) - sum(t) * sum(t), 0), 0) AS slope, CAST(count(*) AS BIGINT) AS n FROM c GROUP BY 1")
 def spend_slope(spark, d):
-    """In whole cents, so that the sums are exact in any order."""
+    """In whole cents, so that the sums are exact in any order and a half is one half."""
     cents = _spend(spark, d).withColumn("cents", F.round(F.col("spend") * 100))
-    return cents.groupBy("customer_key").agg(aggregates.slope("cents", F.col("period") - _PERIOD).alias("slope"), F.count("*").alias("n")).select("customer_key", *_r("slope", digits=2), "n")
+    return cents.groupBy("customer_key").agg(aggregates.slope("cents", F.col("period") - _PERIOD).alias("slope"), F.count("*").alias("n")).select("customer_key", *_r("slope", digits=0), "n")
 
 
 def _score_sql(by: str) -> str:
