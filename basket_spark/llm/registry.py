@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat, decontaminate, fingerprint, lang_id, license_scan, minhash, pii, sharding, token_count
+from . import byte_bpe, chat, decontaminate, filter_audit, fingerprint, lang_id, license_scan, minhash, pii, quality, resample, sharding, token_count
 from .common import table
 
 #: Words of a shingle and similarity are op2's own; elsewhere five words hold.
@@ -68,6 +68,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.examples(turns.union(probe)))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,6 +99,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8,
         "op9_byte_bpe": op9,
         "op10_chat_format": op10,
+        "op11_filter_audit": op11,
+        "op12_importance_resampling": op12,
+        "op13_quality": op13,
         "pipeline": pipeline,
     }
 
@@ -127,6 +143,61 @@ FROM s GROUP BY conv_id
 """
 
 
+_OP11_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), x AS (
+  SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda v: v <> '') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM w
+), f AS (
+  SELECT doc_id, part, len(words) < 100 AS a, 100 * len(list_distinct(words)) < 80 * len(words) AS b,
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d, coalesce(first < doc_id, false) AS e FROM x
+), l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY 1
+), m AS (
+  SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END) || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+    count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY 1, 2
+), z AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS z
+), o AS (
+  SELECT p.z || q.z || r.z || s.z || t.z AS filter_order FROM z p, z q, z r, z s, z t
+  WHERE length(replace(replace(replace(replace(replace('ABCDE', p.z, ''), q.z, ''), r.z, ''), s.z, ''), t.z, '')) = 0
+), y AS (
+  SELECT m.*, filter_order, step, filter_order[step] AS filter, translate(fails, filter_order[1:step - 1], '') = fails AS reached FROM m, o, range(1, 6) g(step)
+), r AS (
+  SELECT part, filter_order, step, filter, sum(n) FILTER (reached AND NOT contains(fails, filter)) AS kept, sum(n) FILTER (reached AND contains(fails, filter)) AS removed,
+    sum(n) FILTER (NOT reached AND contains(fails, filter)) AS redundant, sum(n) FILTER (fails = filter) AS unique_fails,
+    sum(good) FILTER (reached AND contains(fails, filter)) AS good_lost, sum(toxic) FILTER (reached AND contains(fails, filter)) AS toxic_lost FROM y GROUP BY 1, 2, 3, 4
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+  CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM r
+"""
+
+_OP12_SQL = r"""
+WITH k AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), d AS (
+  SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda v: v <> '') AS words FROM documents
+), b AS (
+  SELECT unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda v: v <> '')) AS word FROM benchmark
+), e AS (SELECT row, unnest(words) AS word FROM d
+), v AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM e UNION SELECT word FROM b)
+), u AS (
+  SELECT word, CAST(xor(list_reduce([4294967295] || list_transform(range(len(h) // 2), lambda i: CAST('0x' || h[2 * i + 1 : 2 * i + 2] AS BIGINT)), lambda c, x: xor(c >> 8, crc[xor(c & 255, x) + 1])), 4294967295) % 10000 AS INTEGER) AS bucket FROM v, k
+), s AS (SELECT bucket, count(*) AS n FROM e JOIN u USING (word) GROUP BY 1
+), t AS (SELECT bucket, count(*) AS n FROM b JOIN u USING (word) GROUP BY 1
+), g AS (
+  SELECT i AS bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM s) + 10000.0::DOUBLE) / ((coalesce(s.n, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM t) + 10000.0::DOUBLE)))) AS BIGINT) AS gain
+  FROM range(10000) r(i) LEFT JOIN s ON s.bucket = i LEFT JOIN t ON t.bucket = i
+), w AS (SELECT row, sum(gain) AS weight FROM e JOIN u USING (word) JOIN g USING (bucket) GROUP BY 1
+), x AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN w USING (row)
+), y AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id, n_features) END AS place FROM x)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT count(place) * 10 // 100 FROM y) THEN place END AS rank FROM y
+"""
+
+
 def _op8_sql() -> str:
     """The placement, over the two lookup tables as lists; that they are filled as said is tested by itself."""
     shards = sharding.names(sharding.SHARDS)
@@ -138,4 +209,4 @@ def _op8_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_near_dups": _OP2_SQL, "op8_sharding": _op8_sql(), "op10_chat_format": _OP10_SQL}
+    return {"op2_minhash_near_dups": _OP2_SQL, "op8_sharding": _op8_sql(), "op10_chat_format": _OP10_SQL, "op11_filter_audit": _OP11_SQL, "op12_importance_resampling": _OP12_SQL}
