@@ -246,18 +246,19 @@ def contagion(products: DataFrame, substitutes: DataFrame, last_months: int = 24
     return out.select("ean", F.greatest(F.coalesce("e", F.lit(DEFAULT)), F.lit(FLOOR)).alias("elasticity"), F.coalesce("source", F.lit("default")).alias("source"))
 
 
-def elasticity_class(elasticities: DataFrame, iterations: int = 5) -> DataFrame:
+def elasticity_class(elasticities: DataFrame) -> DataFrame:
     """(…, elasticity_class): high for the lower of two clusters found without the outermost percents, else low."""
-    out = kmeans_1d(elasticities, [], "elasticity", 2, iterations, (0.01, 0.99), "__k")
+    out = kmeans_1d(elasticities, [], "elasticity", 2, (0.01, 0.99), "__k")
     return out.withColumn("elasticity_class", F.when(F.col("__k") == 0, "high").otherwise("low")).drop("__k")
 
 
-def product_sensitivity(sales: DataFrame, iterations: int = 5, trim: float = 0.0, high_categories: int = 40, all_categories: int = 80) -> DataFrame:
+def product_sensitivity(sales: DataFrame, trim: float = 0.0, high_categories: int = 40, all_categories: int = 80, forced_roles: DataFrame | None = None) -> DataFrame:
     """(ean, category, family, index, cluster, role KVI/KCI/BKG) from (ean, category, family, value).
 
     Share within the category and the category's share, geometric mean, scaled to 0..1, the family's largest, three
     clusters without the bottom ``trim``. In the largest categories the first three products (two in the next) and their
-    families count as high.
+    families count as high. ``forced_roles`` (ean, role), a list kept by hand, overrides the role of its products last of all;
+    null roles don't. A product with several roles there gets the first by name.
     """
     sales = stored(sales, "sales")
     totals = sales.groupBy("category").agg(F.sum("value").alias("cat_value"))
@@ -266,7 +267,7 @@ def product_sensitivity(sales: DataFrame, iterations: int = 5, trim: float = 0.0
     rows = rows.withColumn("raw", geometric_mean(F.col("value") / F.col("cat_value"), F.col("cat_value") / F.col("all_value")))
     rows = stored(min_max(rows, "raw", "scaled"), "scaled")
     rows = rows.join(rows.groupBy("family").agg(F.max("scaled").alias("index")), "family")
-    rows = kmeans_1d(rows, [], "index", 3, iterations, (trim, 1.0), "cluster")
+    rows = kmeans_1d(rows, [], "index", 3, (trim, 1.0), "cluster")
     first = totals.orderBy(F.desc("cat_value"), "category").limit(all_categories)  # some dozens of rows
     place = with_rank(first, [], [F.desc("cat_value"), F.asc("category")], "cat_rank").select("category", "cat_rank")
     rows = stored(rows, "clusters")
@@ -274,7 +275,11 @@ def product_sensitivity(sales: DataFrame, iterations: int = 5, trim: float = 0.0
     high = forced.select("family").distinct().withColumn("__high", F.lit(True))
     out = rows.join(high, "family", "left").withColumn("cluster", F.when(F.col("__high"), 2).otherwise(F.col("cluster")))
     role = F.element_at(F.array(F.lit("BKG"), F.lit("KCI"), F.lit("KVI")), F.col("cluster") + 1)
-    return out.select("ean", "category", "family", "index", "cluster", role.alias("role"))
+    out = out.select("ean", "category", "family", "index", "cluster", role.alias("role"))
+    if forced_roles is None:
+        return out
+    by_hand = forced_roles.where("role IS NOT NULL").groupBy("ean").agg(F.min("role").alias("__role"))
+    return out.join(by_hand, "ean", "left").withColumn("role", F.coalesce("__role", "role")).drop("__role")
 
 
 def _segment(role: Column, elastic: Column) -> Column:

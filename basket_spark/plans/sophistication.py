@@ -10,6 +10,8 @@ from ..operators.kmeans import adaptive_kmeans, fill_by_boundaries, kmeans_1d
 from ..operators.quantiles import percentiles
 from ..sources.shared import stored
 
+BRAND_SEGMENTS = ["ECONOMY", "MAINSTREAM", "PREMIUM"]
+
 
 def sophistication_score(sales: DataFrame, products: DataFrame, by: list[str], min_items: int = 3) -> DataFrame:
     """(by, hm_pu_ppum, total_value): how dear what is bought is for its sub-category and unit.
@@ -45,7 +47,7 @@ def index_1_to_3(scores: DataFrame, by: str, value: str, low: float = 0.05, high
     return scores.join(ends, by).withColumn("index", 1 + 2 * F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0))).drop("__p")
 
 
-def customer_segments(scores: DataFrame, min_categories: int = 3, iterations: int = 5, least_rows: int = 500) -> DataFrame:
+def customer_segments(scores: DataFrame, min_categories: int = 3, least_rows: int = 500) -> DataFrame:
     """(customer_key, index, n_categories, segment 0..2) from (customer_key, category, hm_pu_ppum, total_value).
 
     Category indices are weighted by value and by how much the category's prices vary (between half and twice the mean
@@ -58,25 +60,19 @@ def customer_segments(scores: DataFrame, min_categories: int = 3, iterations: in
     indexed = index_1_to_3(clean, "category", "hm_pu_ppum").join(F.broadcast(ratio), "category")
     customers = indexed.groupBy("customer_key").agg(weighted_mean(F.col("index"), F.col("total_value") * F.col("ratio")).alias("index"), F.count("*").alias("n_categories"))
     customers = stored(customers, "customers")
-    many = kmeans_1d(customers.where(F.col("n_categories") >= min_categories), [], "index", 3, iterations, (0.05, 0.95), "segment")
+    many = kmeans_1d(customers.where(F.col("n_categories") >= min_categories), [], "index", 3, (0.05, 0.95), "segment")
     many = stored(many, "segments")
     few = fill_by_boundaries(many, customers.where(F.col("n_categories") < min_categories), "index", "segment")
     return many.unionByName(few)
 
 
-def brand_segments(scores: DataFrame, own: str | None = None, iterations: int = 5, least: float = 0.04) -> DataFrame:
-    """(category, brand, hm_pu_ppum, segment): brands of a category in three segments, or two where three aren't apart.
+def brand_segments(scores: DataFrame, own: str | None = None, least: float = 0.04, least_brands: int = 3) -> DataFrame:
+    """(category, brand, hm_pu_ppum, segment): ECONOMY, MAINSTREAM or PREMIUM within the category, or UNCLASSIFIED.
 
-    Outliers of the logarithm by the interquartile range don't form segments but fall to the nearest. ``own`` is the
-    own brand, which is MPES whatever its price.
+    Three segments where the medians of neighbours are ``least`` apart, else two, of which the larger is the mainstream; no
+    classes where two aren't apart either, in categories of fewer than ``least_brands`` brands and for null scores (see
+    ``adaptive_kmeans``). ``own`` is the own brand, which is MPES whatever its price.
     """
-    logs = stored(scores, "scores").withColumn("__l", F.log("hm_pu_ppum"))
-    q = percentiles(logs, ["category"], F.col("__l"), [0.25, 0.75], "q")
-    iqr = F.get("q", F.lit(1)) - F.get("q", F.lit(0))
-    marked = logs.join(q, "category").withColumn("__in", F.col("__l").between(F.get("q", F.lit(0)) - 1.5 * iqr, F.get("q", F.lit(1)) + 1.5 * iqr)).drop("q", "__l")
-    ends = marked.where("__in").groupBy("category").agg(F.min("hm_pu_ppum").alias("__lo"), F.max("hm_pu_ppum").alias("__hi"))
-    inside = marked.join(ends, "category").withColumn("__v", F.least(F.greatest("hm_pu_ppum", "__lo"), F.col("__hi")))
-    out = adaptive_kmeans(inside, ["category"], "__v", least, iterations, "__s")
-    name = F.element_at(F.array(F.lit("low"), F.lit("medium"), F.lit("high")), F.col("__s") + 1)
+    out = adaptive_kmeans(scores, ["category"], "hm_pu_ppum", least, least_brands, label="__s")
+    name = F.coalesce(F.get(F.array(*map(F.lit, BRAND_SEGMENTS)), F.col("__s") - 1), F.lit("UNCLASSIFIED"))
     return out.select("category", "brand", "hm_pu_ppum", (F.when(F.col("brand") == own, "MPES").otherwise(name) if own else name).alias("segment"))
-

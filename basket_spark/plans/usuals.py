@@ -55,7 +55,7 @@ def own_brand_candidates(usual: DataFrame, products: DataFrame, substitutes: Dat
 
 
 def inject_own_brand(usual: DataFrame, candidates: DataFrame, bought: DataFrame, recommended: DataFrame, keep: int = 5, seed: int = 0) -> DataFrame:
-    """(customer_key, ean, relevance, injected): the list with up to ``keep`` candidates, ranked anew.
+    """(customer_key, ean, relevance, injected): the list with up to ``keep`` candidates, ranked anew; equal places stay equal.
 
     Candidates bought in the last month come first, by relevance from the bottom; then those never recommended, in an
     order drawn by a hash. What was recommended before and not bought goes.
@@ -66,7 +66,7 @@ def inject_own_brand(usual: DataFrame, candidates: DataFrame, bought: DataFrame,
     order = [F.desc("bought"), F.when(F.col("bought") == 1, -F.col("relevance")), F.md5(F.concat_ws("|", "customer_key", "ean", F.lit(seed)).cast("binary")), F.asc("ean")]
     chosen = top_k(marked, ["customer_key"], order, keep).select(*pair, "relevance", F.lit(True).alias("injected"))
     both = usual.select(*pair, F.col("relevance").cast("double").alias("relevance"), F.lit(False).alias("injected")).unionByName(chosen)
-    return with_rank(both, ["customer_key"], [F.asc("relevance"), F.asc("ean")], "place", "row_number").select(*pair, F.col("place").alias("relevance"), "injected")
+    return with_rank(both, ["customer_key"], [F.asc("relevance")], "place", "dense_rank").select(*pair, F.col("place").alias("relevance"), "injected")
 
 
 def publish_ranked(ranked: DataFrame, products: DataFrame, banner: int, on_date: str) -> DataFrame:

@@ -32,9 +32,11 @@ def _customers(spark: SparkSession, d: str) -> DataFrame:
     return embeddings.customer_embeddings(b.sales(spark, d), _sku(spark, d).withColumnRenamed("ean", "sku"), ON_DATE)
 
 
-def _near(spark: SparkSession, d: str, who: DataFrame) -> DataFrame:
-    """(customer_key, ean, distance, sub_category, category, brand) of all customers and products nearer than 1."""
-    pairs = similarity.cosine_pairs(who, _sku(spark, d), "customer_key", "ean", below=1)
+def _near(spark: SparkSession, d: str, who: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """(customer_key, ean, distance, sub_category, category, brand) of all customers and products nearer than 1; only of the
+    products ``among`` (ean), which are chosen before any vectors meet."""
+    what = _sku(spark, d) if among is None else _sku(spark, d).join(among, "ean", "left_semi")
+    pairs = similarity.cosine_pairs(who, what, "customer_key", "ean", below=1)
     return pairs.join(b.products(spark, d).select("ean", "sub_category", "category", "brand"), "ean")
 
 
@@ -114,8 +116,8 @@ _ALL, _MONTH = "SELECT ean FROM running WHERE regexp_matches(upper(event), '" +
 def _products_sql(promoted: str, without_usuals: bool, per_sub: int, per_cat: int | None, top: int) -> str:
     cap = per_cat or (1 << 31) - 1
     return f"""{_USUALS if without_usuals else ''}{_VECTORS}{_PROMOTED}, promo AS ({promoted}),
-pe AS (SELECT *, row_number() OVER (PARTITION BY customer_key ORDER BY n DESC, ean) AS relevance_ean FROM (SELECT customer_key, ean, count(DISTINCT transaction_date) AS n FROM sales GROUP BY 1, 2)),
-pg AS (SELECT customer_key, sub_category, row_number() OVER (PARTITION BY customer_key ORDER BY n DESC, sub_category) AS relevance_group FROM (SELECT customer_key, sub_category, count(DISTINCT transaction_date) AS n FROM sales JOIN products USING (ean) GROUP BY 1, 2)),
+pe AS (SELECT *, dense_rank() OVER (PARTITION BY customer_key ORDER BY n DESC) AS relevance_ean FROM (SELECT customer_key, ean, count(DISTINCT transaction_date) AS n FROM sales GROUP BY 1, 2)),
+pg AS (SELECT customer_key, sub_category, dense_rank() OVER (PARTITION BY customer_key ORDER BY n DESC) AS relevance_group FROM (SELECT customer_key, sub_category, count(DISTINCT transaction_date) AS n FROM sales JOIN products USING (ean) GROUP BY 1, 2)),
 cand AS (SELECT c.customer_key, c.ean, c.sub_category, c.category, c.distance, coalesce(n, 0) AS n, relevance_ean, relevance_group FROM near c SEMI JOIN promo USING (ean) LEFT JOIN pe USING (customer_key, ean) LEFT JOIN pg USING (customer_key, sub_category){' ANTI JOIN usual USING (customer_key, ean)' if without_usuals else ''}),
 a1 AS (SELECT * FROM cand WHERE n > 1 QUALIFY row_number() OVER (PARTITION BY customer_key, sub_category ORDER BY relevance_ean, distance, ean) <= {per_sub}),
 a2 AS (SELECT * FROM a1 QUALIFY row_number() OVER (PARTITION BY customer_key, category ORDER BY relevance_ean, distance, ean) <= {cap}),
@@ -131,12 +133,13 @@ SELECT customer_key, ean, sub_category, category, distance, origin, CAST(row_num
 
 
 def _candidates(spark: SparkSession, d: str, promoted: DataFrame) -> DataFrame:
-    near = _near(spark, d, _customers(spark, d)).join(promoted, "ean", "left_semi")
+    near = _near(spark, d, _customers(spark, d), promoted)
     bought = b.sales(spark, d).join(b.products(spark, d), "ean")
     by_ean = bought.groupBy("customer_key", "ean").agg(F.count_distinct("transaction_date").alias("n_purchases"))
     by_group = bought.groupBy("customer_key", "sub_category").agg(F.count_distinct("transaction_date").alias("n"))
-    by_ean = ranking.with_rank(by_ean, ["customer_key"], [F.desc("n_purchases"), F.asc("ean")], "relevance_ean")
-    by_group = ranking.with_rank(by_group, ["customer_key"], [F.desc("n"), F.asc("sub_category")], "relevance_group").drop("n")
+    # What was bought as often has one rank, so that distance decides between it.
+    by_ean = ranking.with_rank(by_ean, ["customer_key"], [F.desc("n_purchases")], "relevance_ean", "dense_rank")
+    by_group = ranking.with_rank(by_group, ["customer_key"], [F.desc("n")], "relevance_group", "dense_rank").drop("n")
     return near.join(by_ean, ["customer_key", "ean"], "left").join(by_group, ["customer_key", "sub_category"], "left").fillna(0, ["n_purchases"])
 
 
@@ -187,7 +190,7 @@ _INJECTED = f"""{_USUALS}{_usuals_at('2001-06-01', 'was_')}{_OWN_BRAND.format(''
 , lately AS (SELECT DISTINCT customer_key, ean FROM sales WHERE transaction_date >= DATE '2001-06-01'),
 marked AS (SELECT c.*, l.ean IS NOT NULL AS bought, r.ean IS NOT NULL AS before FROM own c LEFT JOIN lately l USING (customer_key, ean) LEFT JOIN (SELECT DISTINCT customer_key, ean FROM was_own) r USING (customer_key, ean)),
 chosen AS (SELECT customer_key, ean, relevance FROM marked WHERE bought OR NOT before QUALIFY row_number() OVER (PARTITION BY customer_key ORDER BY bought DESC, CASE WHEN bought THEN -relevance END NULLS FIRST, md5(concat_ws('|', customer_key, ean, 0)), ean) <= 5)
-SELECT customer_key, ean, CAST(row_number() OVER (PARTITION BY customer_key ORDER BY relevance, ean) AS INTEGER) AS relevance, injected FROM (SELECT customer_key, ean, CAST(relevance AS DOUBLE) AS relevance, false AS injected FROM usual UNION ALL SELECT customer_key, ean, CAST(relevance AS DOUBLE), true FROM chosen)"""
+SELECT customer_key, ean, CAST(dense_rank() OVER (PARTITION BY customer_key ORDER BY relevance) AS INTEGER) AS relevance, injected FROM (SELECT customer_key, ean, CAST(relevance AS DOUBLE) AS relevance, false AS injected FROM usual UNION ALL SELECT customer_key, ean, CAST(relevance AS DOUBLE), true FROM chosen)"""
 
 
 def _own_brand(spark: SparkSession, d: str, on_date: str) -> DataFrame:

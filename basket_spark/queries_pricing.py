@@ -17,21 +17,32 @@ from .sources.shared import stored
 # Segments by k-means
 
 
-def kmeans_sql(p: str, source: str, by: str | None, value: str, k: int, iterations: int, low: float = 0.0, high: float = 1.0) -> str:
-    """CTEs named with ``p``: ``{p}out`` is ``source`` with ``cluster``. Lloyd's steps from quantiles, as the operator."""
-    g = by or "g_"
-    probes = ", ".join(str(x) for x in (low, high, *((2 * i + 1) / (2 * k) for i in range(k))))
-    nearest = "list_position(list_transform(c, lambda m: abs(x_ - m)), list_min(list_transform(c, lambda m: abs(x_ - m))))"
-    out = f", {p}x AS (SELECT *, CAST({value} AS DOUBLE) AS x_{', 1 AS g_' if by is None else ''} FROM {source}), {p}q AS (SELECT {g}, quantile_cont(x_, [{probes}]) AS q FROM {p}x WHERE x_ IS NOT NULL GROUP BY 1), {p}i AS (SELECT {g}, x_ FROM {p}x JOIN {p}q USING ({g}) WHERE x_ BETWEEN q[1] AND q[2]), {p}c0 AS (SELECT {g}, q[3:{k + 2}] AS c FROM {p}q)"
-    for i in range(iterations):
-        means = ", ".join(f"coalesce(avg(x_) FILTER (k = {j + 1}), any_value(c)[{j + 1}])" for j in range(k))
-        out += f", {p}c{i + 1} AS (SELECT {g}, [{means}] AS c FROM (SELECT *, {nearest} AS k FROM {p}i JOIN {p}c{i} USING ({g})) GROUP BY 1)"
-    return out + f", {p}out AS (SELECT * EXCLUDE (c), CAST({nearest} - 1 AS INTEGER) AS cluster FROM {p}x JOIN {p}c{iterations} USING ({g}))"
+NEAREST = "CAST(list_position(list_transform(c, lambda m: abs(x_ - m)), list_min(list_transform(c, lambda m: abs(x_ - m)))) - 1 AS INTEGER)"
 
 
-@query(f"{kmeans_sql('k', 'products', 'category', 'weight', 3, 3)} SELECT category, cluster, CAST(count(*) AS BIGINT) AS n, min(x_) AS least, max(x_) AS most FROM kout GROUP BY 1, 2")
+def kmeans_sql(p: str, source: str, by: str | None, value: str, k: int, low: float = 0.0, high: float = 1.0) -> str:
+    """CTEs named with ``p``: ``{p}out`` is ``source`` with ``cluster``, ``{p}c`` the centres of each group. All cuts of the
+    sorted values into k (2 or 3) runs are tried, by prefix sums; of the best ones, to 1e-12, the lowest from the top."""
+    g = by or "g_"
+    trimmed = [f"x_ > q[1]"] * (low > 0) + ["x_ < q[2]"] * (high < 1)  # noqa: F541
+    cost = lambda a, z: f"({z}.sq - {a}.sq - ({z}.s - {a}.s) * ({z}.s - {a}.s) / ({z}.w - {a}.w))"
+    ends = ["a", "b", "e"][3 - k :]  # the cuts, then the end; the row before the first is z
+    joins = " ".join(f"JOIN {p}r {t} ON {t}.g = z.g AND {t}.r > {prev}.r" for prev, t in zip(["z", *ends], ends, strict=False))
+    total = " + ".join(cost(a, z) for a, z in zip(["z", *ends], ends, strict=False))
+    case = " ".join(f"WHEN r <= {c} THEN {i}" for i, c in enumerate(ends[:-1]))
+    return f""", {p}x AS (SELECT *, CAST({value} AS DOUBLE) AS x_{', 1 AS g_' if by is None else ''} FROM {source}), {p}q AS (SELECT {g}, quantile_cont(x_, [{low}, {high}]) AS q FROM {p}x WHERE x_ IS NOT NULL GROUP BY 1),
+{p}v AS (SELECT {g} AS g, x_, count(*) AS n FROM {p}x JOIN {p}q USING ({g}) WHERE x_ IS NOT NULL{''.join(f' AND {t}' for t in trimmed)} GROUP BY 1, 2),
+{p}z AS (SELECT g, x_, n, n / sum(n) OVER g AS w, coalesce((x_ - min(x_) OVER g) / nullif(max(x_) OVER g - min(x_) OVER g, 0), 0) AS z, row_number() OVER (PARTITION BY g ORDER BY x_) AS r, count(*) OVER g AS m FROM {p}v WINDOW g AS (PARTITION BY g)),
+{p}r AS (SELECT g, r, m, sum(w) OVER u AS w, sum(w * z) OVER u AS s, sum(w * z * z) OVER u AS sq FROM {p}z WINDOW u AS (PARTITION BY g ORDER BY r) UNION ALL SELECT DISTINCT g, 0, m, 0, 0, 0 FROM {p}z),
+{p}t AS (SELECT z.g, {", ".join(f"{c}.r AS {c}" for c in ends[:-1])}, {total} AS cost FROM {p}r z {joins} WHERE z.r = 0 AND e.r = e.m AND e.m > {k}),
+{p}b AS (SELECT * FROM (SELECT *, min(cost) OVER (PARTITION BY g) AS best FROM {p}t) WHERE cost <= best + 1e-12 QUALIFY row_number() OVER (PARTITION BY g ORDER BY {", ".join(reversed(ends[:-1]))}) = 1),
+{p}c AS (SELECT g AS {g}, list(c ORDER BY c) AS c FROM (SELECT g, sum(x_ * n) / sum(n) AS c FROM {p}z LEFT JOIN {p}b USING (g) GROUP BY g, CASE WHEN m <= {k} THEN r {case} ELSE {k} END) GROUP BY 1),
+{p}out AS (SELECT * EXCLUDE (c, q), CASE WHEN x_ IS NULL THEN NULL {'WHEN x_ <= q[1] THEN 0 ' if low > 0 else ''}{f'WHEN x_ >= q[2] THEN {k - 1} ' if high < 1 else ''}ELSE {NEAREST} END AS cluster FROM {p}x JOIN {p}q USING ({g}) LEFT JOIN {p}c USING ({g}))"""
+
+
+@query(f"{kmeans_sql('k', 'products', 'category', 'weight', 3)} SELECT category, cluster, CAST(count(*) AS BIGINT) AS n, min(x_) AS least, max(x_) AS most FROM kout GROUP BY 1, 2")
 def kmeans_segments(spark, d):
-    out = kmeans.kmeans_1d(b.products(spark, d).withColumn("x", F.col("weight").cast("double")), ["category"], "x", 3, 3)
+    out = kmeans.kmeans_1d(b.products(spark, d).withColumn("x", F.col("weight").cast("double")), ["category"], "x", 3)
     return out.groupBy("category", "cluster").agg(F.count("*").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"))
 
 
@@ -41,7 +52,7 @@ cv AS (SELECT category, stddev_samp(hm_pu_ppum) / avg(hm_pu_ppum) AS cv, quantil
 ratio AS (SELECT *, least(greatest(coalesce(cv / (SELECT avg(cv) FROM cv), 1.0), 0.5), 2.0) AS ratio FROM cv),
 idx AS (SELECT customer_key, total_value * ratio AS w, 1 + 2 * least(greatest(coalesce((hm_pu_ppum - q[1]) / nullif(q[2] - q[1], 0), 0.0), 0.0), 1.0) AS i FROM clean JOIN ratio USING (category)),
 cust AS (SELECT customer_key, sum(i * w) / sum(w) AS index, count(*) AS n_categories FROM idx GROUP BY 1), many AS (SELECT * FROM cust WHERE n_categories >= 3)
-{kmeans_sql('s', 'many', None, 'index', 3, 5, 0.05, 0.95)}
+{kmeans_sql('s', 'many', None, 'index', 3, 0.05, 0.95)}
 , ends AS (SELECT cluster, min(index) AS lo, max(index) AS hi FROM sout GROUP BY 1), cuts AS (SELECT (a.hi + z.lo) / 2 AS cut FROM ends a JOIN ends z ON a.cluster + 1 = z.cluster)"""
 
 
@@ -51,15 +62,18 @@ def customer_segments(spark, d):
 
 
 _BRANDS = f"""{_score_sql('category, brand')}
-, logs AS (SELECT *, ln(hm_pu_ppum) AS l FROM scores), lq AS (SELECT category, quantile_cont(l, [0.25, 0.75]) AS q FROM logs GROUP BY 1),
-ends AS (SELECT category, min(hm_pu_ppum) AS lo, max(hm_pu_ppum) AS hi FROM logs JOIN lq USING (category) WHERE l BETWEEN q[1] - 1.5 * (q[2] - q[1]) AND q[2] + 1.5 * (q[2] - q[1]) GROUP BY 1),
-clamped AS (SELECT category, brand, hm_pu_ppum, least(greatest(hm_pu_ppum, lo), hi) AS v FROM logs JOIN ends USING (category))
-{kmeans_sql('t', 'clamped', 'category', 'v', 3, 5)}{kmeans_sql('u', 'clamped', 'category', 'v', 2, 5)}
-, med AS (SELECT category, cluster, median(v) AS m FROM tout GROUP BY 1, 2), gap AS (SELECT category, count(*) AS n, min(g) AS g FROM (SELECT category, (lead(m) OVER (PARTITION BY category ORDER BY m) - m) / m AS g FROM med) GROUP BY 1),
-pick AS (SELECT t.category, t.brand, t.hm_pu_ppum, CASE WHEN n = 3 AND g >= 0.04 THEN t.cluster ELSE u.cluster * 2 END AS s FROM tout t JOIN uout u USING (category, brand) JOIN gap USING (category))"""
-
-
-@query(f"{_BRANDS} SELECT category, brand, round(hm_pu_ppum, 5) AS hm_pu_ppum, CASE WHEN brand = 'Brand#7' THEN 'MPES' WHEN s = 0 THEN 'low' WHEN s = 1 THEN 'medium' ELSE 'high' END AS segment FROM pick")
+, logs AS (SELECT category, quantile_cont(ln(hm_pu_ppum), [0.25, 0.75]) AS q, count(*) AS n FROM scores WHERE hm_pu_ppum > 0 GROUP BY 1),
+odd AS (SELECT DISTINCT category FROM scores JOIN logs USING (category) WHERE n >= 4 AND hm_pu_ppum > 0 AND (ln(hm_pu_ppum) < q[1] - 1.5 * (q[2] - q[1]) OR ln(hm_pu_ppum) > q[2] + 1.5 * (q[2] - q[1]))),
+whole AS (SELECT category, quantile_cont(hm_pu_ppum, [0.05, 0.95]) AS q FROM scores GROUP BY 1 HAVING count(hm_pu_ppum) >= 3),
+fit AS (SELECT s.category, hm_pu_ppum AS v FROM scores s JOIN whole w USING (category) LEFT JOIN odd o ON o.category = s.category WHERE o.category IS NULL OR (hm_pu_ppum > w.q[1] AND hm_pu_ppum < w.q[2]))
+{kmeans_sql('t', 'fit', 'category', 'v', 3)}{kmeans_sql('u', 'fit', 'category', 'v', 2)}
+, med AS (SELECT 3 AS k, category, cluster, median(v) AS m, count(*) AS n FROM tout GROUP BY 1, 2, 3 UNION ALL SELECT 2, category, cluster, median(v), count(*) FROM uout GROUP BY 1, 2, 3),
+apart AS (SELECT k, category, max(n) FILTER (cluster = 0) >= max(n) FILTER (cluster = 1) AS low FROM (SELECT *, (lead(m) OVER (PARTITION BY k, category ORDER BY cluster) - m) / m AS gap FROM med) GROUP BY 1, 2 HAVING count(*) = k AND min(gap) >= 0.04),
+pick AS (SELECT category, brand, hm_pu_ppum, CASE WHEN three.k = 3 THEN 1 + (SELECT {NEAREST} FROM (SELECT tc.c, hm_pu_ppum AS x_)) WHEN two.k = 2 THEN (SELECT {NEAREST} FROM (SELECT uc.c, hm_pu_ppum AS x_)) + CASE WHEN two.low THEN 2 ELSE 1 END END AS s
+  FROM scores LEFT JOIN (SELECT * FROM apart WHERE k = 3) three USING (category) LEFT JOIN tc USING (category) LEFT JOIN (SELECT * FROM apart WHERE k = 2) two USING (category) LEFT JOIN uc USING (category))"""
+
+
+@query(f"{_BRANDS} SELECT category, brand, round(hm_pu_ppum, 5) AS hm_pu_ppum, CASE WHEN brand = 'Brand#7' THEN 'MPES' ELSE coalesce(['ECONOMY', 'MAINSTREAM', 'PREMIUM'][s], 'UNCLASSIFIED') END AS segment FROM pick")
 def brand_segments(spark, d):
     return sophistication.brand_segments(_score(spark, d, ["category", "brand"]), own="Brand#7").select("category", "brand", *rounded("hm_pu_ppum", digits=5), "segment")
 
@@ -72,15 +86,15 @@ _SENSITIVITY = f"""
 , per AS (SELECT ean, sub_category AS cat, sub_category || '/' || brand AS family, sum(value) AS value FROM sales JOIN products USING (ean) GROUP BY 1, 2, 3),
 shares AS (SELECT *, sum(value) OVER (PARTITION BY cat) AS cat_value, sum(value) OVER () AS all_value FROM per), raw AS (SELECT *, sqrt(value / cat_value * (cat_value / all_value)) AS raw FROM shares),
 fam AS (SELECT *, max((raw - lo) / (hi - lo)) OVER (PARTITION BY family) AS index FROM raw, (SELECT min(raw) AS lo, max(raw) AS hi FROM raw))
-{kmeans_sql('n', 'fam', None, 'index', 3, 5)}
+{kmeans_sql('n', 'fam', None, 'index', 3)}
 , place AS (SELECT cat, row_number() OVER (ORDER BY max(cat_value) DESC, cat) AS cat_rank FROM fam GROUP BY 1 QUALIFY cat_rank <= 8),
 forced AS (SELECT DISTINCT family FROM (SELECT n.*, cat_rank, row_number() OVER (PARTITION BY cat ORDER BY index DESC, value DESC, ean) AS i FROM nout n JOIN place USING (cat)) WHERE i <= CASE WHEN cat_rank <= 4 THEN 3 ELSE 2 END),
 sens AS (SELECT ean, cat, family, index, CASE WHEN f.family IS NOT NULL THEN 2 ELSE cluster END AS cluster FROM nout LEFT JOIN forced f USING (family)),
 roles AS (SELECT *, CASE cluster WHEN 0 THEN 'BKG' WHEN 1 THEN 'KCI' ELSE 'KVI' END AS role FROM sens)"""
 
 
-def _sensitivity(spark: SparkSession, d: str) -> DataFrame:
-    return pricing.product_sensitivity(_by_product(spark, d), high_categories=4, all_categories=8)
+def _sensitivity(spark: SparkSession, d: str, forced_roles: DataFrame | None = None) -> DataFrame:
+    return pricing.product_sensitivity(_by_product(spark, d), high_categories=4, all_categories=8, forced_roles=forced_roles)
 
 
 @query(f"{_SENSITIVITY} SELECT ean, cat AS category, family, round(index, 6) AS index, cluster, role FROM roles")
@@ -88,6 +102,17 @@ def sensitivity_class(spark, d):
     return _sensitivity(spark, d).select("ean", "category", "family", *rounded("index"), "cluster", "role")
 
 
+#: The list of forced roles: the largest packs and the smallest.
+_FORCED = ", by_hand AS (SELECT p_partkey AS ean, CASE p_size WHEN 50 THEN 'KVI' ELSE 'BKG' END AS by_hand FROM part WHERE p_size IN (1, 50))"
+
+
+@query(f"{_SENSITIVITY}{_FORCED} SELECT ean, cat AS category, family, round(index, 6) AS index, cluster, coalesce(by_hand, role) AS role FROM roles LEFT JOIN by_hand USING (ean)")
+def sensitivity_forced(spark, d):
+    part = b.table(spark, d, "part").where("p_size IN (1, 50)")
+    forced = part.select(F.col("p_partkey").alias("ean"), F.when(F.col("p_size") == 50, "KVI").otherwise("BKG").alias("role"))
+    return _sensitivity(spark, d, forced).select("ean", "category", "family", *rounded("index"), "cluster", "role")
+
+
 # Elasticity
 
 _OWN = """
@@ -132,7 +157,7 @@ def elasticity_contagion(spark, d):
     return _contagion(spark, d).select("ean", *rounded("elasticity", digits=4), "source")
 
 
-_CLASSES = f"{_CONTAGION}{kmeans_sql('e', 'contagion', None, 'elasticity', 2, 5, 0.01, 0.99)}, classes AS (SELECT ean, elasticity, CASE cluster WHEN 0 THEN 'high' ELSE 'low' END AS cls FROM eout)"
+_CLASSES = f"{_CONTAGION}{kmeans_sql('e', 'contagion', None, 'elasticity', 2, 0.01, 0.99)}, classes AS (SELECT ean, elasticity, CASE cluster WHEN 0 THEN 'high' ELSE 'low' END AS cls FROM eout)"
 
 
 @query(f"{_CLASSES} SELECT ean, round(elasticity, 4) AS elasticity, cls AS elasticity_class FROM classes")

@@ -55,7 +55,8 @@ def test_own_brand_injection(spark):
     for r in rows:
         by.setdefault(r.customer_key, []).append(r)
     for own in by.values():
-        assert sorted(r.relevance for r in own) == list(range(1, len(own) + 1))
+        assert {r.relevance for r in own} == set(range(1, len({r.relevance for r in own}) + 1))  # dense: equal places stay equal
+        assert len({r.ean for r in own}) == len(own)
         assert sum(r.injected for r in own) <= 5
 
 
