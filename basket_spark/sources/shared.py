@@ -22,19 +22,19 @@ def work_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+def stored_at(df: DataFrame, label: str, by: list[str] | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet to the shared folder and read it back, which cuts its lineage and survives lost executors;
-    and the folder it is in."""
+    and the folder it is in. ``by``: columns that make folders of their own, so that a read for one value reads no other."""
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
     """The frame of ``stored_at``."""
-    return stored_at(df, label)[0]
+    return stored_at(df, label, by)[0]
 
 
 def remove(spark: SparkSession, *paths: str) -> None:

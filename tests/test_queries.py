@@ -124,14 +124,12 @@ def test_own_brand_recommended_and_not_bought_goes(spark):
 
 
 def test_neighbours_have_the_products_own_ids(spark, monkeypatch):
-    """On the next size, which has more products than 200."""
-    from basket_spark.plans import embeddings
+    """On the next size, which has more products than 200; in several blocks, with the production parameters."""
+    from basket_spark.operators import skipgram
 
     seen = []
-    train = embeddings.Word2Vec
-    monkeypatch.setattr(embeddings, "Word2Vec", lambda **k: seen.append(k) or train(**k))
-    monkeypatch.setattr(embeddings, "BASKETS_PER_TASK", 4000)
+    train = skipgram.train
+    monkeypatch.setattr(skipgram, "train", lambda *a, **k: seen.append(a) or train(*a, **k, blocks=2))
     rows = queries_allocation.w2v_neighbours(spark, "/root/testdata/sf0.01").select("sku").distinct().collect()
     assert max(int(r.sku) for r in rows) >= 200
-    assert (seen[0]["vectorSize"], seen[0]["maxIter"]) == (100, 10)
-    assert seen[0]["numPartitions"] > 1
+    assert seen[0][2:8] == (100, 10, 100, 5, 20, -0.5)
