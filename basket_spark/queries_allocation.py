@@ -216,5 +216,7 @@ def _sku_vectors(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def w2v_neighbours(spark, d):
+    """The nearest twenty of each product, nearer than 0.5; one more is asked for, since a product is its own nearest."""
     v = stored(_sku_vectors(spark, d), "sku_vectors")
-    return similarity.cosine_pairs(v, v.withColumnRenamed("sku", "other"), "sku", "other", below=0.5).where("sku <> other")
+    pairs = similarity.cosine_pairs(v, v.withColumnRenamed("sku", "other"), "sku", "other", below=0.5, top=21).where("sku <> other")
+    return ranking.top_k(pairs, ["sku"], [F.asc("distance"), F.asc("other")], 20, "n").drop("n")
