@@ -22,15 +22,6 @@ def natural_join(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
     return a.join(b, common[0], how)
 
 
-def interval_join_latest(facts: DataFrame, spans: DataFrame, key: str, date: str, start: str, end: str, fact_id: list[str], order: list[Column]) -> DataFrame:
-    """Each fact with one span of its key that holds its date (start included, end not), the first in the order.
-
-    The join is on the key; the interval is a condition on top, so rows only meet within a key.
-    """
-    within = (F.col(date) >= F.col(start)) & (F.col(date) < F.col(end))
-    return first_row(facts.join(spans, key).where(within), fact_id, order)
-
-
 def as_of(states: DataFrame, by: list[str], period: str, until: Column | int) -> DataFrame:
     """Last state of each key up to a period; ties go to the first by all columns."""
     order = [F.desc(period), *(F.asc(c) for c in states.columns if c not in (*by, period))]
@@ -43,11 +34,5 @@ def covered_days(spans: DataFrame, key: str, start: str, end: str, name: str = "
     return days.distinct()
 
 
-def covered_flag(facts: DataFrame, spans: DataFrame, key: str, date: str, start: str, end: str, name: str) -> DataFrame:
-    """``facts`` with whether a span of its key holds its date."""
-    days = covered_days(spans, key, start, end, date).withColumn(name, F.lit(True))
-    return facts.join(days, [key, date], "left").withColumn(name, F.coalesce(name, F.lit(False)))
-
-
 def union_of_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return a.select(key).union(b.select(key)).distinct()

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import year_month
 from ..functions.numbers import band, first_match
-from ..operators.joins import as_of, interval_join_latest
+from ..operators.intervals import interval_join_latest
+from ..operators.joins import as_of
 
 # Fixed value: the end of what doesn't end.
 OPEN_ENDED = "2100-01-01"
@@ -44,7 +45,7 @@ def last_known_status(statuses: DataFrame, until: int, least_limit: float = LEAS
 def card_of_purchase(purchases: DataFrame, cards: DataFrame) -> DataFrame:
     """Each purchase with the customer's card that was valid, the last subscribed one."""
     spans = cards.select("customer_key", "card_id", "subscription_date", F.coalesce("closed_date", F.lit(OPEN_ENDED).cast("date")).alias("closed_date"))
-    return interval_join_latest(purchases, spans, "customer_key", "transaction_date", "subscription_date", "closed_date", ["basket_key"], [F.desc("subscription_date"), F.desc("card_id")])
+    return interval_join_latest(purchases, spans, "customer_key", "transaction_date", "subscription_date", "closed_date", ["subscription_date", "card_id"])
 
 
 def share_of_wallet(purchases: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar_flags, holiday_names, period_index, weekday_flags, with_holidays
 from ..functions.numbers import first_match, geometric_mean
 from ..operators.aggregates import exclude_self_ratio, min_max, with_group
-from ..operators.joins import covered_flag
+from ..operators.intervals import covered_flag
 from ..operators.kmeans import kmeans_1d
 from ..operators.ranking import first_row, top_k, with_rank
 from ..operators.regression import weighted_least_squares

@@ -9,7 +9,7 @@ from . import binding as b
 from .binding import ON_DATE
 from .functions import dates, text
 from .functions import vectors as vx
-from .operators import aggregates, joins, kmeans, metrics, ranking, regression, similarity
+from .operators import aggregates, intervals, joins, kmeans, metrics, ranking, regression, similarity
 from .plans import cards, customers, embeddings, ingests, pricing, sophistication, substitutes, usuals
 from .registry import query
 from .registry import rounded as _r
@@ -236,11 +236,25 @@ def union_of_keys(spark, d):
 def promo_day_flag(spark, d):
     start = F.date_add(F.lit("1997-01-01").cast("date"), (F.col("ean") % 700).cast("int"))
     promo = b.products(spark, d).select("ean", start.alias("s"), F.date_add(start, 200).alias("e"))
-    return joins.covered_flag(b.daily(spark, d).select("ean", "date"), promo, "ean", "date", "s", "e", "promo")
+    return intervals.covered_flag(b.daily(spark, d).select("ean", "date"), promo, "ean", "date", "s", "e", "promo")
 
 
 # Ranks and aggregates
 
+@query(" SELECT customer_key, CAST(dense_rank() OVER (ORDER BY customer_key) AS BIGINT) AS customer_index, txn_key, CAST(dense_rank() OVER (ORDER BY transaction_date DESC, store_id) AS BIGINT) AS visit_index FROM sales")
+def customer_index(spark, d):
+    """Customers and the days of stores numbered over the whole table, as batches of customers are cut from it."""
+    rows = b.sales(spark, d).select("customer_key", "txn_key", "transaction_date", "store_id")
+    rows = ranking.global_rank(rows, {"customer_key": "asc"}, "customer_index", "dense_rank")
+    return ranking.global_rank(rows, {"transaction_date": "desc", "store_id": "asc"}, "visit_index", "dense_rank").select("customer_key", "customer_index", "txn_key", "visit_index")
+
+
+@query(" SELECT basket_key, CAST(row_number() OVER (ORDER BY basket_value DESC, basket_key) AS BIGINT) AS place FROM orders_")
+def basket_places(spark, d):
+    rows = b.orders(spark, d).select("basket_key", "basket_value")
+    return ranking.global_rank(rows, {"basket_value": "desc", "basket_key": "asc"}, "place").select("basket_key", "place")
+
+
 @query(" SELECT sub_category, unit, ean FROM (SELECT *, row_number() OVER (PARTITION BY sub_category, unit ORDER BY CASE WHEN brand = 'Brand#7' THEN 0 ELSE 1 END, ean) AS i FROM products) WHERE i = 1")
 def canonical_ean(spark, d):
     p = b.products(spark, d).withColumn("main", F.when(F.col("brand") == "Brand#7", "X"))
