@@ -55,21 +55,36 @@ def _nodes(a: Column, b: Column) -> Column:
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
+def _contested(spans: DataFrame) -> DataFrame:
+    """Steps of spans (__key, a, b, row) that overlap: a span is put down at the runs of 2^k days that it is made of, some
+    dozens at most; each run keeps its best, and a day asks the runs that hold it."""
+    best = spans.select("__key", "row", F.explode(_nodes(F.col("a"), F.col("b"))).alias("node")).groupBy("__key", "node").agg(F.max("row").alias("row"))
+    days = spans.select("__key", F.explode(F.array("a", "b")).alias("__day")).distinct()
+    runs = F.array(*[F.struct(F.lit(level).alias("level"), F.shiftright("__day", level).alias("i")) for level in range(LEVELS + 1)])
+    asked = days.select("__key", "__day", F.explode(runs).alias("node"))
+    return asked.join(stored(best, "runs"), ["__key", "node"], "left").select("__key", "__day", "row")
+
+
 def steps_of_best(spans: DataFrame, key: str, start: str, end: str, order: list[str]) -> DataFrame:
     """(__key, __day, __best): from each day on which spans of a key start or end, the span that is first from there on, by
     the largest values of ``order``; null where none holds. Starts are included, ends not.
 
-    A span is put down at the runs of 2^k days that it is made of, some dozens at most; each run keeps its best, and a day
-    asks the runs that hold it. So spans are aggregated, never collected by key.
+    A span that overlaps no other of its key is a step where it starts and another where it ends; only the others compete.
+    Spans are windowed and aggregated, never collected by key.
     """
     others = [c for c in spans.columns if c not in (key, *order)]
     row = F.struct(*[F.col(f"`{c}`") for c in (*order, *others)])
     s = spans.where(F.col(key).isNotNull() & (F.col(start) < F.col(end))).select(F.col(key).alias("__key"), _number(F.col(start)).alias("a"), _number(F.col(end)).alias("b"), row.alias("row"))
-    best = s.select("__key", "row", F.explode(_nodes(F.col("a"), F.col("b"))).alias("node")).groupBy("__key", "node").agg(F.max("row").alias("row"))
-    days = s.select("__key", F.explode(F.array("a", "b")).alias("__day")).distinct()
-    runs = F.array(*[F.struct(F.lit(level).alias("level"), F.shiftright("__day", level).alias("i")) for level in range(LEVELS + 1)])
-    asked = days.select("__key", "__day", F.explode(runs).alias("node"))
-    return asked.join(stored(best, "runs"), ["__key", "node"], "left").groupBy("__key", "__day").agg(F.max("row").alias("__best"))
+    by_start = Window.partitionBy("__key").orderBy("a", "b")
+    before = F.max("b").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.lead("a").over(by_start)
+    s = stored(s.withColumn("alone", F.coalesce(before <= F.col("a"), F.lit(True)) & F.coalesce(after >= F.col("b"), F.lit(True))), "spans")
+    two = F.array(F.struct(F.col("a").alias("day"), F.col("row")), F.struct(F.col("b").alias("day"), F.lit(None).cast(s.schema["row"].dataType).alias("row")))
+    steps = s.where("alone").select("__key", F.explode(two).alias("step")).select("__key", F.col("step.day").alias("__day"), "step.row")
+    overlapping = s.where("NOT alone")
+    if not overlapping.isEmpty():
+        steps = steps.union(_contested(overlapping))
+    return steps.groupBy("__key", "__day").agg(F.max("row").alias("__best"))
 
 
 def interval_join_latest(facts: DataFrame, spans: DataFrame, key: str, date: str, start: str, end: str, order: list[str]) -> DataFrame:
@@ -79,7 +94,7 @@ def interval_join_latest(facts: DataFrame, spans: DataFrame, key: str, date: str
     The spans become steps (see ``steps_of_best``); a sweep carries the last step to the days of the facts. The columns
     are those of the facts, then those of the spans without the key.
     """
-    steps = stored(steps_of_best(spans, key, start, end, order), "steps")
+    steps = steps_of_best(spans, key, start, end, order)
     some = F.struct(F.col("__best").alias("row"))  # a step without a span is a step too
     days = steps.select("__key", "__day", some.alias("step"), F.lit(False).alias("asked"))
     days = days.unionByName(_asked(facts, key, date).withColumns({"step": F.lit(None).cast(days.schema["step"].dataType), "asked": F.lit(True)}))
