@@ -4,7 +4,9 @@ Every training text is read as overlapping passages, twice as long as the longes
 length lies whole in one of them. A passage is a query against the inverted index of the items; all items whose score
 reaches ``threshold`` of the score they give themselves are retrieved. A hit counts when the passage holds most
 five-word runs of the item's question part and of its answer part (its last sentence). An item of fewer than five words
-says little about where a text comes from: it is hit by texts that consist of its words and nothing else.
+has no such parts: it is retrieved in the same way and hit where all its words stand in a row. If its words are
+together less rare than ``RARE`` words that a single item has ("yes", "all of them"), it says nothing about where a text
+comes from, and only a text of just these words is hit.
 
 Document frequencies and lengths are those of all items, whatever parts the index is cut into for the executors: scores
 don't depend on the parts.
@@ -12,6 +14,7 @@ don't depend on the parts.
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
 from collections import Counter
@@ -28,6 +31,7 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 OVERLAP = 0.8
 SHINGLE = 5
+RARE = 2.0
 #: The index goes to the executors in parts of about so many characters of item text, one after the other.
 INDEX_CHARS = 8_000_000
 FINE_CELLS = 20_000_000
@@ -62,16 +66,16 @@ class Index:
     ``items``: (id, text, weights), weights as (word, contribution). Terms are the words in order; the postings of term t
     are ``places`` and ``values`` from ``first[t]`` to ``first[t + 1]``, items ascending. Items lie in blocks of ``block``;
     ``maxima[term, block]`` bounds a term's contribution there, its last row is for unknown words. ``longest`` is the
-    length of the longest of all items, in this part or not.
+    length of the longest of all items, in this part or not. ``quiet`` are the places of short items whose words say too
+    little: they aren't in the index but in ``short``, by their words.
     """
 
-    def __init__(self, items: list[tuple[object, bytes, list[tuple[bytes, float]]]], longest: int, block: int | None = None) -> None:
+    def __init__(self, items: list[tuple[object, bytes, list[tuple[bytes, float]]]], longest: int, block: int | None = None, quiet: frozenset[int] = frozenset()) -> None:
         self.longest = max(1, longest)
         self.short: dict[tuple[bytes, ...], list[object]] = {}
-        for k, text, _ in items:
-            if len(words(text)) < SHINGLE:
-                self.short.setdefault(tuple(words(text)), []).append(k)
-        items = [x for x in items if len(words(x[1])) >= SHINGLE]
+        for i in sorted(quiet):
+            self.short.setdefault(tuple(words(items[i][1])), []).append(items[i][0])
+        items = [x for i, x in enumerate(items) if i not in quiet]
         self.ids = [k for k, _, _ in items]
         self.vocabulary = {w: i for i, w in enumerate(sorted({w for _, _, weights in items for w, _ in weights}))}
         n_terms, n = len(self.vocabulary), len(items)
@@ -96,8 +100,10 @@ class Index:
         return out
 
     def sides(self, item: int) -> tuple[list[int], list[int]]:
-        """Terms of the item's question and of its answer."""
+        """Terms of the item's question and of its answer; of a short item both are the whole."""
         found = self.sequences[item].tolist()
+        if len(found) < SHINGLE:
+            return found, found
         return found[: self.answers[item]] or found, found[self.answers[item] :]
 
     def wand(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
@@ -179,8 +185,7 @@ class Index:
         if not text:
             return []
         terms, unknown = self.terms(text), len(self.vocabulary)
-        if self.short and len(terms) < SHINGLE and (ids := self.short.get(tuple(words(text)))):
-            return [(k, 1.0, 1.0, 1.0) for k in ids]
+        just = self.short.get(tuple(words(text)), ()) if self.short and len(terms) < SHINGLE else ()
         best: dict[int, tuple[float, float, float]] = {}
         low = threshold - 1e-4
         for a, b in self.likely(terms, low) if self.ids and len(terms) else ():
@@ -197,14 +202,14 @@ class Index:
                     share.append(sum(g in there for g in wanted) / len(wanted))
                 if min(share) >= overlap:
                     best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (score, *share))
-        return [(self.ids[i], *v) for i, v in sorted(best.items())]
+        return [(k, 1.0, 1.0, 1.0) for k in just] + [(self.ids[i], *v) for i, v in sorted(best.items())]
 
 
 def weighted(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, int]:
-    """(item, id, text, weights) of the items that have words, and the length of the longest in words.
+    """(item, id, text, weights, quiet) of the items that have words, and the length of the longest in words.
 
     ``weights`` are a word's share of the item's BM25 score of itself, by the document frequencies and the mean length of
-    all items. Three numbers come to the driver; the rest is written to the shared folder.
+    all items; ``quiet`` are short items whose words are together less rare than ``RARE`` words of a single item. Three numbers come to the driver; the rest is written to the shared folder.
     """
     rows = stored(narrow(items, id=id_col, text=text_col).where(F.length("text") > 0).select(F.monotonically_increasing_id().alias("item"), "id", "text"), "items")
 
@@ -219,9 +224,10 @@ def weighted(items: DataFrame, id_col: str = "item_id", text_col: str = "text")
     frequency = stored(counts.groupBy("word").agg(F.count("*").alias("df")), "frequencies")
     rare = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     often = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / (mean or 1.0)))
-    each = counts.join(frequency, "word").groupBy("item").agg(F.array_sort(F.collect_list(F.struct("word", (rare * often).alias("w")))).alias("weights"))
+    rarest = math.log(1 + (n - 0.5) / 1.5) or 1.0
+    each = counts.join(frequency, "word").groupBy("item").agg(F.array_sort(F.collect_list(F.struct("word", (rare * often).alias("w")))).alias("weights"), ((F.sum(rare) / rarest < RARE - 1e-9) & (F.first("length") < SHINGLE)).alias("quiet"))
     total = F.aggregate("weights", F.lit(0.0), lambda s, x: s + x["w"])
-    each = each.withColumn("total", total).select("item", F.transform("weights", lambda x: F.struct(x["word"].alias("word"), (x["w"] / F.col("total")).alias("w"))).alias("weights"))
+    each = each.withColumn("total", total).select("item", F.transform("weights", lambda x: F.struct(x["word"].alias("word"), (x["w"] / F.col("total")).alias("w"))).alias("weights"), "quiet")
     return stored(rows.join(each, "item"), "weighted"), longest or 0
 
 
@@ -238,7 +244,8 @@ def indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", c
         for k in range(n):
             got = (rows if n == 1 else rows.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k)).orderBy("item").toArrow()
             lists = [[(x["word"], x["w"]) for x in each] for each in got["weights"].to_pylist()]
-            yield Index(list(zip(got["id"].to_pylist(), utf8(got["text"]), lists, strict=True)), longest)
+            quiet = frozenset(i for i, q in enumerate(got["quiet"].to_pylist()) if q)
+            yield Index(list(zip(got["id"].to_pylist(), utf8(got["text"]), lists, strict=True)), longest, quiet=quiet)
 
     return n, build()
 

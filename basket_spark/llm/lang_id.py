@@ -146,6 +146,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if not languages:
         return Model([])
     draw = F.pmod(F.xxhash64(F.col("id"), F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
+    place = {k: i for i, k in enumerate(languages)}
     quota = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, sample / counts[k]))])
     rows = rows.where(draw < quota[F.col("lang")]).select("lang", "text", (F.pmod(F.xxhash64(F.col("id"), F.lit(8)), F.lit(4)) == 0).alias("back"))
 
@@ -157,13 +158,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     sums[lang] = sums.get(lang, 0) + own / own.sum()  # each text counts alike
         for lang, total in sums.items():
             at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(total[at])], ["lang", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), place[lang], np.int32)), pa.array(at.astype(np.int32)), pa.array(total[at])], ["lang", "bucket", "n"])
 
-    got = rows.where("NOT back").mapInArrow(count, "lang string, bucket long, n double").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    got = rows.where("NOT back").mapInArrow(count, "lang int, bucket int, n double").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # 16 bytes a row
     table = np.zeros((len(languages), _BUCKETS))
-    place = {k: i for i, k in enumerate(languages)}
     if got.num_rows:
-        table[[place[k] for k in got["lang"].to_pylist()], got["bucket"].to_numpy()] = got["n"].to_numpy()
+        table[got["lang"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
     table /= np.maximum(table.sum(1, keepdims=True), 1e-12)
     codes = codewords(len(languages))
     bits, least = codes.shape[1], 1e-6

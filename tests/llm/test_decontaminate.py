@@ -33,7 +33,9 @@ def brute(docs, items, threshold=0.6, overlap=0.8):
         for doc, body in docs:
             there = plain_words(body)
             if len(own) < 5:
-                if there == own:
+                rarity = sum(math.log(1 + (n - df[x] + 0.5) / (df[x] + 0.5)) for x in tf) / (math.log(1 + (n - 0.5) / 1.5) or 1.0)
+                inside = any(there[i : i + len(own)] == own for i in range(len(there) - len(own) + 1))
+                if there == own or inside and rarity >= 2 - 1e-9:
                     out[doc, item] = 1.0
                 continue
             for start in range(0, max(1, len(there) - longest), longest):
@@ -121,6 +123,19 @@ def test_partial_items_and_case(spark):
     assert sorted((r.doc_id, r.item_id) for r in d.contaminated(docs, items).collect()) == [(1, 1), (6, 4)]
 
 
+def test_short_items_stand_anywhere(spark):
+    """'who wrote war peace' is found inside a text, its words in another order or apart aren't; 'yes' and what consists of
+    common words only as the whole text."""
+    rows = ["who wrote war peace", "Yes.", "all of them", *(f"who of them said yes to all item{i} of the long ones" for i in range(30))]
+    items = spark.createDataFrame(list(enumerate(rows)), ITEMS)
+    texts = ["quiz: Who wrote WAR, peace? and more text follows here", "war peace wrote who", "who wrote about war and peace", "yes", "Yes, all of them said so", "All of them!", "filler " * 5000 + "who wrote war peace " + "filler " * 5000, "who wrote war peace"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [(0, 0), (3, 1), (5, 2), (6, 0), (7, 0)]
+    assert sorted((r.doc_id, r.item_id) for r in d.contaminated(docs, items).collect()) == want
+    assert sorted((r.doc_id, r.item_id) for r in d.contaminated(docs, items, chars=60).collect()) == want
+    assert {r.doc_id for r in d.keep_clean(docs, items).collect()} == {1, 2, 4}
+
+
 def test_a_text_of_five_million_words():
     """An item at the end of it is found, in memory that is a small multiple of the text's size."""
     item = b"which of these rivers runs through the most countries of all the continent. It is the long one with many names."

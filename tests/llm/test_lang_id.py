@@ -147,3 +147,11 @@ def test_mixed_text_is_ambiguous(real):
     assert scores[0] > 0.9
     assert scores[100] > 0.9
     assert min(scores) < 0.7
+
+
+def test_nothing_learned_keeps_all(spark, real):
+    unlabelled = real.limit(20).drop("lang").selectExpr("*", "CAST(NULL AS STRING) AS lang").select(real.columns)
+    model = lang_id.fit(unlabelled)
+    assert model.languages == []
+    assert lang_id.keep_identified(unlabelled, model).count() == 20
+    assert {r.lang_pred for r in lang_id.identify(unlabelled, model).collect()} == {"und"}
