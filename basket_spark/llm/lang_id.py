@@ -220,7 +220,10 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose language can be told: text with letters, and not so mixed that the two
-    best languages come out alike (equal to within ``REJECT_GAP`` of their shares)."""
+    best languages come out alike (equal to within ``REJECT_GAP`` of their shares). A model that learned no language tells
+    nothing: all rows stay."""
+    if not model.languages:
+        return docs
     shared, schema = docs.sparkSession.sparkContext.broadcast(model), docs.schema
     at = docs.columns.index(text_col)
 

@@ -4,7 +4,8 @@ A surrogate comes from a keyed permutation of all values of the entity's format
 conjugated with a step of one: it has a single cycle, so no value keeps itself, equal entities get equal surrogates in
 every document, and different ones different surrogates, without any table of entities. Known first names move along
 the list of their gender and script; other names keep their last letter, as endings carry gender (-a, -ova, -ska). Words
-of a name that was found get their surrogates wherever else in the document they stand as capitalised words.
+of a name that was found get their surrogates wherever else in the document they stand as capitalised words or in
+capitals.
 
 There is no default key: whoever has it can undo the permutations. ``session_key`` gives the session's.
 """
@@ -12,6 +13,7 @@ There is no default key: whoever has it can undo the permutations. ``session_key
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 import secrets
 import unicodedata
@@ -36,6 +38,18 @@ _FIRST = {
     ("f", "greek"): "Μαρία Ελένη Αικατερίνη Σοφία Άννα Δήμητρα Βασιλική Ιωάννα".split(),
     ("m", "greek"): "Γεώργιος Ιωάννης Νικόλαος Δημήτριος Κωνσταντίνος Παναγιώτης Αθανάσιος Βασίλειος".split(),
 }
+#: Names with other accents than these lists', or none, stand at their end: María, Nicolás, Jurgen, Francois.
+_ACCENTED = {("f", "latin"): "María Ángela Mónica Verónica Inés Raquel Rocío Noemí Débora Júlia Mária Helène Hélène Irène Zoë Zoé Anaïs Thérèse Mélanie Amélie Céline Stéphanie Valérie Bärbel Käthe".split(), ("m", "latin"): "Nicolás Sebastián Martín Tomás Jesús Ángel Óscar Víctor Raúl Adrián Félix Hernán Germán Joaquín Julián Iván Rubén César Álvaro René André Jérôme Frédéric Stéphane Rémi Gérard Björn Jörg Götz".split()}
+
+
+def _plain(name: str) -> str:
+    """The name without accents."""
+    return "".join(c for c in unicodedata.normalize("NFD", name.replace("ł", "l")) if not unicodedata.combining(c))
+
+
+for _group, _names in _ACCENTED.items():
+    _FIRST[_group] += _names
+    _FIRST[_group] += sorted({p for n in _FIRST[_group] if (p := _plain(n)) not in _FIRST[_group]})
 _PLACE = {name: (group, i) for group, names in _FIRST.items() for i, name in enumerate(names)}
 _TITLE = r"\b(?:Mrs?|Ms|Miss|Dr|Prof|Herrn?|Frau|Mme|Mlle|Monsieur|Madame|Señora?|Sra|Sr)\b\.?"
 _CAPITAL, _SMALL = "[A-ZÀ-ÖØ-ÞА-ЯЁΑ-ΩΆ-Ώ]", "[a-zß-öø-ÿа-яёά-ώ]"
@@ -47,21 +61,33 @@ _KNOWN = "|".join(sorted(_PLACE))
 _NATIONAL = r"(?:1[ .-])?[2-9][0-9]{2}(?:-[0-9]{3}-|\.[0-9]{3}\.| [0-9]{3}[ -])[0-9]{4}|0[1-9](?:[ .-][0-9]{2}){4}|0[1-9][0-9]{1,4}[ /-][0-9]{5,8}|0[1-9][0-9]{1,3}[ -][0-9]{3,4}[ -][0-9]{3,4}"
 _is_national = re.compile(_NATIONAL).fullmatch
 _is_hex = re.compile("[0-9a-f]+").fullmatch
+
+
+def _is_ip6(value: str) -> bool:
+    """An address of three groups at least, one with a digit, and no time of day or MAC address."""
+    try:
+        ipaddress.IPv6Address(value)
+    except ValueError:
+        return False
+    return sum(map(bool, value.split(":"))) > 2 and any(map(str.isdigit, value))
+
+
 #: A long secret is replaced in blocks of so many characters.
 _BLOCK = 512
 
 #: Type, pattern, in order of precedence. A group named v, if any, is what gets replaced.
 KINDS: list[tuple[str, str]] = [
-    ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
-    ("secret", r"\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|(?i:(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}(?:[\"'](?P<v1>[^\"'\s]{8,})[\"']|(?=[^\s\"'<>(){}\[\],;]*[0-9])(?P<v3>[^\s\"'<>(){}\[\],;]{7,}[^\s\"'<>(){}\[\],;.:!?])))"),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,63}"),
+    ("secret", r"\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|(?i:(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}(?:[\"'](?P<v1>[^\"'\s]{8,})[\"']|(?P<quote>[\"'])(?P<v4>[^\"'\r\n]{8,200})(?P=quote)|(?=[^\s\"'<>(){}\[\],;]{0,256}[0-9])(?P<v3>[^\s\"'<>(){}\[\],;]{7,}[^\s\"'<>(){}\[\],;.:!?])))"),
     ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
     ("ip", r"(?<![0-9.])(?<![Vv]ersion )(?<![Rr]elease )(?<![A-Za-z])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"),
+    ("ip6", r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}|(?:[0-9A-Fa-f]{1,4}:){2,7}:)(?![0-9A-Za-z:])"),
     ("card", r"(?<![0-9A-Za-z])(?:[3-6](?:[ -]?[0-9]){12,18}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)(?:[ -]?[0-9]){12})(?![0-9A-Za-z])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     ("phone", rf"(?<![0-9A-Za-z.,/+-])(?<![0-9] )(?:{_NATIONAL})(?![0-9A-Za-z]|[.,/-][0-9])|" r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"),
     ("name", rf"(?:{_TITLE}\s(?P<v2>(?:(?:{_KNOWN}|[A-Z]\.)\s)*{_NAME}(?:\s{_NAME})?))|\b(?=[A-ZΑ-ΩΆА-Я])(?:{_KNOWN})(?:-{_WORD})?(?:\s(?:{_KNOWN}|[A-Z]\.))*\s{_NAME}"),
 ]
-_MENTION = re.compile(rf"(?<![\w@'’-]){_NAME}(?![\w@])")
+_MENTION = re.compile(rf"(?<![\w@'’-])(?:{_NAME}|{_CAPITAL}{{3,31}}(?:-{_CAPITAL}{{2,31}})?)(?![\w@])")
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS))
 #: What texts must hold for the patterns to find anything; run by Arrow over a whole batch.
 _GATE = rf"[0-9]|@|\b(?:Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Herrn|Frau|Mme|Mlle|Monsieur|Madame|Señora?|Sra?)\b|(?i:token|secret|passw|key)|(?:{_KNOWN})[\s-]"
@@ -88,6 +114,7 @@ class Surrogates:
     def __init__(self, key: bytes) -> None:
         self.key = hashlib.blake2b(key, digest_size=32).digest()
         self.of: Callable[[str, str], str] = lru_cache(1 << 16)(self._of)
+        self.word: Callable[[str], str] = lru_cache(1 << 16)(self._name)
 
     def _round(self, tweak: bytes, i: int, half: int, x: int) -> int:
         data = b"%d|%d|" % (i, x) + tweak
@@ -144,6 +171,8 @@ class Surrogates:
             parts = [int(x) for x in value.split(".")]
             n = self.number(b"ip", 1 << 32, sum(x << 8 * (3 - i) for i, x in enumerate(parts)))
             return ".".join(str(n >> 8 * (3 - i) & 255) for i in range(4))
+        if kind == "ip6":
+            return self._ip6(value)
         if kind == "card":
             return self._card(value, plain)
         if kind == "phone":
@@ -158,7 +187,7 @@ class Surrogates:
             start, plain = 4 if re.match("AKIA|gh._", value) else 0, [_alphabet(c) for c in value]
             return value[:start] + "".join(self._secret(value[i : i + _BLOCK], plain[i : i + _BLOCK], bool(start)) for i in range(start, len(value), _BLOCK))
         if kind == "name":
-            return re.sub(r"\S+", lambda m: self._name(m[0]), value)
+            return re.sub(r"\S+", lambda m: self.word(m[0]), value)
         return self.text(kind, value, plain)
 
     def _secret(self, block: str, plain: list[str], any_form: bool) -> str:
@@ -167,6 +196,15 @@ class Surrogates:
             return self.text("secret", block, [_HEX] * len(block))
         return self.text("secret", block, plain, lambda new: any_form or not _is_hex(new))
 
+    def _ip6(self, value: str) -> str:
+        """In small letters, in capitals, or letters as they stand where both occur: none becomes one of another kind."""
+        small, capital = value.lower() == value, value.upper() == value
+        if small or capital:
+            digits = _HEX if small else _HEX.upper()
+            return self.text("ip6", value, ["" if c == ":" else digits for c in value], lambda new: _is_ip6(new) and (small or new.lower() != new))
+        letters = {c: a for a in (_DIGIT, "abcdef", "ABCDEF") for c in a}
+        return self.text("ip6", value, [letters.get(c, "") for c in value], _is_ip6)
+
     def _name(self, word: str) -> str:
         if word in _PLACE:
             group, i = _PLACE[word]
@@ -232,9 +270,11 @@ class Surrogates:
         places: list[tuple[int, int, str]] = []
         for m in _ANY.finditer(text):
             kind = next(k for k, _ in KINDS if m[k] is not None)
-            part = next((g for g in ("v1", "v2", "v3") if m[g]), 0)
+            part = next((g for g in ("v1", "v2", "v3", "v4") if m[g]), 0)
             value, new = m[part], None
-            if kind != "card" or value[0] != "2" or not self._luhn([int(c) for c in value if c.isdigit()]):
+            if kind == "ip6" and not _is_ip6(value):
+                pass
+            elif kind != "card" or value[0] != "2" or not self._luhn([int(c) for c in value if c.isdigit()]):
                 new = self.of(kind, value)
             if new is None or new == value:  # a number like any other; a secret of dots
                 places.append((m.start(), m.end(), m[0]))
@@ -243,6 +283,7 @@ class Surrogates:
             given[kind, value] = new
             places.append((m.start(), m.end(), text[m.start() : m.start(part)] + new + text[m.end(part) : m.end()]))
         again = {w: self.of("name", w) for kind, value in given if kind == "name" for w in value.split() if len(w) > 2}
+        again |= {w.upper(): new.upper() for w, new in again.items()}
         if again:
             places = self._with_mentions(text, places, again, kinds)
         out, at = [], 0
