@@ -6,13 +6,14 @@ priorities win between detections of the same words. Families are written by han
 
 from __future__ import annotations
 
-_LATER, _ONLY = r" (?:or|and) (?:any )?later(?: versions?)?", r" only"
+#: A plus sign behind a number, as in "GPLv2+", is the word "plus" here.
+_LATER, _ONLY = r"(?: (?:or|and)(?: at your option)? (?:any )?(?:later|newer)(?: versions?)?| plus)", r" only"
 
 
 def _version(version: str) -> str:
-    """How a version is written: 'version 2 0', 'v2', 'v 2 0', '2 0'."""
+    """How a version is written: 'version 2 0', 'v2', 'v 2 0', '2 0', and 'v2' or '2' right behind the name."""
     major, _, minor = version.partition(".")
-    return rf"(?: (?:the )?(?:version|v|ver))? (?:v)?{major}(?: {minor})?" if minor in ("", "0") else rf"(?: (?:version|v|ver))? (?:v)?{major} {minor}"
+    return rf"(?: (?:the )?(?:version|ver|v))? ?v?{major}" + (rf"(?: {minor})?" if minor in ("", "0") else rf" {minor}")
 
 
 def _family(label: str, keyword: str, names: str, versions: str = "", later: bool = False) -> list[tuple[int, str, str, str, float]]:
@@ -39,6 +40,9 @@ def _rules() -> list[tuple[int, str, str, str, float]]:
     rules += _family("gfdl", "free documentation", rf"{gnu}free documentation licen[cs]e", "1.1 1.2 1.3", later=True)
     rules += _family("apache", "apache", r"apache(?: software)? licen[cs]e|licensed under apache", "1.0 1.1 2.0")
     rules += _family("mpl", "mozilla", r"mozilla public licen[cs]e", "1.0 1.1 2.0")
+    for short, versions in (("mpl", "1.0 1.1 2.0"), ("epl", "1.0 2.0"), ("cddl", "1.0 1.1"), ("eupl", "1.0 1.1 1.2"), ("ofl", "1.0 1.1"), ("osl", "2.1 3.0"), ("afl", "2.1 3.0"), ("sspl", "1.0"), ("upl", "1.0")):
+        rules += _family(short, f" {short}", rf"{short}(?: licen[cs]ed?)?", versions)[1:]  # too short to mean it without a version
+    rules += _family("apache", "apache", r"apache(?: software foundation)?(?: licen[cs]ed?)?", "1.1 2.0")[1:]
     rules += _family("epl", "eclipse", r"eclipse public licen[cs]e", "1.0 2.0")
     rules += _family("edl", "eclipse", r"eclipse distribution licen[cs]e", "1.0")
     rules += _family("cddl", "common development", r"common development and distribution licen[cs]e", "1.0 1.1")
@@ -75,7 +79,7 @@ def _rules() -> list[tuple[int, str, str, str, float]]:
     rules += _family("openrail", "openrail", r"(?:bigscience |creativeml )?openrail(?: m)?(?: licen[cs]e)?")
     rules += _family("llama", "llama", r"llama(?: [0-9])? community licen[cs]e")
     rules += _family("zlib", "zlib", r"zlib(?: libpng)? licen[cs]e")
-    rules += _family("isc", "isc", r"isc licen[cs]e")
+    rules += _family("isc", "isc", r"isc licen[cs]ed?")
     rules += _family("ncsa", "ncsa", r"(?:university of illinois )?ncsa open source licen[cs]e")
     rules += _family("openssl", "openssl", r"openssl licen[cs]e")
     rules += _family("postgresql", "postgresql", r"postgresql licen[cs]e")
@@ -88,10 +92,10 @@ def _rules() -> list[tuple[int, str, str, str, float]]:
     rules += _family("beerware", "beer", r"beer ?ware licen[cs]e")
     rules += _family("commons-clause", "commons clause", r"commons clause")
     for clauses, words_ in (("0", "0|zero"), ("1", "1|one"), ("2", "2|two|simplified|freebsd"), ("3", "3|three|new|modified|revised"), ("4", "4|four|original|old")):
-        rules.append((20, f"bsd-{clauses}-clause", "bsd", rf"(?:{words_})(?: clause)? bsd(?: style)?(?: licen[cs]e)?|bsd (?:{words_})(?: clause)?(?: licen[cs]e)?", 0.95))
-    rules.append((30, "bsd", "bsd", r"bsd(?: style)? licen[cs]e", 0.8))
+        rules.append((20, f"bsd-{clauses}-clause", "bsd", rf"(?:{words_})(?: clause)? bsd(?: style)?(?: licen[cs]ed?)?|bsd (?:{words_})(?: clause)?(?: licen[cs]e)?", 0.95))
+    rules.append((30, "bsd", "bsd", r"bsd(?: style)? licen[cs]ed?", 0.8))
     for label, name in (("mit", "mit"), ("mit", "mit x11"), ("x11", "x11"), ("expat", "expat")):
-        rules.append((30, label, f"{name} licen", rf"(?:the )?{name} licen[cs]e", 0.8))
+        rules.append((30, label, f"{name} licen", rf"(?:the )?{name} licen[cs]e[sd]?", 0.8))
         for article in ("", "the "):
             rules.append((20, label, f"under {article}{name}", rf"(?:released|licensed|distributed|available) under {article}{name}(?: licen[cs]e)?", 0.95))
     for short in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd"):

@@ -23,7 +23,15 @@ _SEPARATORS = "[" + "".join(rf"\x{i:02X}" for i in range(128) if not chr(i).isal
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PHRASE = f" ({'|'.join(PHRASES)})(?= )"
 #: Starts of words one of which stands wherever a rule or phrase does; few texts without a notice hold any.
-GATES = ("licen", "unlicense", "gpl", "lgpl", "agpl", "cc by", "cc0", "creative commons", "public domain", "bsd", "wtfpl", "under apache", "under mit", "under the mit", "under x11", "under the x11", "under expat", "under the expat", "released under", "distributed under", "permission", "redistribution and", "all rights reserved", "proprietary and", "confidential and", "copyright", "spdx", "cecill", "openrail", "bigscience", "creativeml", "mulan", "commons clause", "this software is provided as is", "www apache org", "www gnu org")
+GATES = ("licen", "unlicense", "gpl", "lgpl", "agpl", "cc by", "cc0", "creative commons", "public domain", "bsd", "wtfpl", "under apache", "under mit", "under the mit", "under x11", "under the x11", "under expat", "under the expat", "released under", "distributed under", "permission", "redistribution and", "all rights reserved", "proprietary and", "confidential and", "copyright", "spdx", "cecill", "openrail", "bigscience", "creativeml", "mulan", "commons clause", "this software is provided as is", "www apache org", "www gnu org", "apache software", "eupl", "cddl", *(f"{x}{y}" for x in ("apache", "mpl", "epl", "ofl", "osl", "afl", "sspl", "upl") for y in ("1", "2", "3", "v1", "v2", "v3", " 1", " 2", " 3", " v", " ver", " the v")))
+
+
+_PLUS = r"(?<=[0-9])\+"
+
+
+def _spaced(text: Column) -> Column:
+    """The words with one blank before each and one behind the last."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(text, _SEPARATORS, " ")), F.lit(" "))
 
 
 def blanks(text: Column) -> Column:
@@ -77,12 +85,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     without any. Null texts are empty; repeated rows and null ids each give a row.
     """
     rows = narrow(docs, doc_id=id_col, text=text_col)
-    spaced = rows.select("doc_id", F.concat(F.lit(" "), F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), _SEPARATORS, " ")), F.lit(" ")).alias("words"))
+    spaced = rows.select("doc_id", "text", _spaced(F.coalesce("text", F.lit(""))).alias("words"))
     empty = F.col("words") == "  "
     gate = F.lower("words").rlike(f" (?:{'|'.join(GATES)})")
-    gated = spaced.select("doc_id", F.when(empty, 0).otherwise(blanks(F.col("words")) - 1).cast("long").alias("n_words"), F.when(gate, F.translate("words", _UPPER, _LOWER)).alias("words"))
+    lower = F.translate("words", _UPPER, _LOWER)
+    # What the rules read has a word for the plus of "GPLv2+"; positions and counts are those of the words proper.
+    ruled = F.translate(_spaced(F.regexp_replace("text", _PLUS, " plus ")), _UPPER, _LOWER)
+    gated = spaced.select("doc_id", F.when(empty, 0).otherwise(blanks(F.col("words")) - 1).cast("long").alias("n_words"), F.when(gate, lower).alias("words"), F.when(gate, F.when(F.col("text").rlike(_PLUS), ruled).otherwise(lower)).alias("ruled"))
     words = F.col("words")
-    base = gated.select("doc_id", "n_words", "words", F.regexp_extract_all("words", F.lit(_PHRASE), F.lit(1)).alias("base"), F.when(words.isNotNull(), F.array_sort(_detections(words, rules))).alias("found"))
+    base = gated.select("doc_id", "n_words", "words", F.regexp_extract_all("words", F.lit(_PHRASE), F.lit(1)).alias("base"), F.when(words.isNotNull(), F.array_sort(_detections(F.col("ruled"), rules))).alias("found"))
     kept = base.select("doc_id", "n_words", "words", F.coalesce("base", F.array().cast("array<string>")).alias("base"), _surviving(F.col("found")).alias("found"))
     label_of = F.create_map([F.lit(x) for pair in PHRASES.items() for x in pair])
     any_base = F.size("base") > 0
