@@ -10,23 +10,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import remove, stored_at
-from .common import stored
 
 
 EDGES_PER_FILE = 100_000
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every neighbour above a node moves to the least of the node and its neighbours."""
+def _large_star(edges: DataFrame, written: list[str]) -> DataFrame:
+    """Every neighbour above a node moves to the least of the node and its neighbours. ``written`` gets the folder of the
+    least ones."""
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
-    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    least, path = stored_at(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    written.append(path)
     return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """A node and its neighbours below it move to the least of them."""
+def _small_star(edges: DataFrame, written: list[str]) -> DataFrame:
+    """A node and its neighbours below it move to the least of them. ``written`` as above."""
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = stored(down.groupBy("u").agg(F.min("v").alias("m")), "least")
+    least, path = stored_at(down.groupBy("u").agg(F.min("v").alias("m")), "least")
+    written.append(path)
     moved = down.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("u", "m")).where("a != b").distinct()
 
@@ -45,6 +47,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if n == nodes and now.join(now.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
         parts = max(1, n // EDGES_PER_FILE)
-        now, written = stored_at(_small_star(_large_star(now)).coalesce(parts), "stars")
-        remove(spark, path)  # what the step started from
-        path = written
+        old = [path]
+        now, path = stored_at(_small_star(_large_star(now, old), old).coalesce(parts), "stars")
+        remove(spark, *old)  # what the step started from and went through

@@ -166,6 +166,8 @@ def _links(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     sizes = stars.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.col("both").alias("inside"), F.size("outside").cast("long").alias("extra"))
     open_ = placed.join(largest, "bucket").join(sizes, ["centre", "id"], "left")
     open_ = stored(open_.select("bucket", "centre", "id", "n", "component", (F.col("component") != F.col("largest")).alias("apart"), F.coalesce("inside", "n").alias("inside"), F.coalesce("extra", F.lit(0)).alias("extra")), "open")
+    if open_.where("apart").isEmpty():  # every bucket is one component
+        return joined.toDF("a", "b")
     rest = _sharing_the_centre(open_).union(_sharing_more(open_, stars)).distinct()
     known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     found = _compared(rest.join(known, ["a", "b"], "left_anti"), texts, words).where("link").select("a", "b")
@@ -197,6 +199,7 @@ def _sharing_more(open_: DataFrame, stars: DataFrame) -> DataFrame:
     spread = rows.join(stars.select(F.col("a").alias("centre"), F.col("b").alias("id"), "outside"), ["centre", "id"])
     spread = spread.select("centre", "id", "n", "component", "apart", "inside", F.explode("outside").alias("shingle"))
     often = spread.groupBy("centre", "shingle").agg(F.count("*").alias("often"), F.max("apart").alias("any")).where("often > 1 AND any")
+    often = stored(often, "often")
     # Shingles that no other has come first in the order and pair with nothing: it is enough to count them.
     common = spread.join(often, ["centre", "shingle"])
     each = common.groupBy("centre", "id", "n", "component", "apart", "inside").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("common"))
