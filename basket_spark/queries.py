@@ -9,7 +9,7 @@ from . import binding as b
 from .binding import ON_DATE
 from .functions import dates, text
 from .functions import vectors as vx
-from .operators import aggregates, intervals, joins, kmeans, metrics, ranking, regression, similarity
+from .operators import aggregates, intervals, joins, kmeans, metrics, nearest, ranking, regression, similarity
 from .plans import cards, customers, embeddings, ingests, pricing, sophistication, substitutes, usuals
 from .registry import query
 from .registry import rounded as _r
@@ -373,6 +373,13 @@ def cosine_pairs(spark, d):
     return similarity.cosine_pairs(e, e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), "vec_id", "query_id", below=1 - 1e-9, digits=12).select("vec_id", "query_id", (F.round("distance", 4) + 0.0).alias("distance"))
 
 
+@query(f", p AS (SELECT b.vec_id AS query_id, a.vec_id, round({_COS}, 6) + 0.0 AS distance FROM embeddings a, embeddings b WHERE b.vec_id % 20 = 0) SELECT query_id, vec_id, distance FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) <= 10")
+def nearest_vectors(spark, d):
+    """The ten nearest vectors of those with an id divisible by 20, by clusters that are ruled out."""
+    e = b.table(spark, d, "embeddings")
+    return nearest.nearest_rows(e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), e, "query_id", "vec_id", 10)
+
+
 @query(", r AS (SELECT customer_key, ean, CAST(max(quantity) AS DOUBLE) AS ranking FROM sales GROUP BY 1, 2), j AS (SELECT r.*, row_number() OVER (PARTITION BY customer_key ORDER BY ranking DESC, ean) AS i FROM r JOIN (SELECT DISTINCT ean FROM products WHERE category = 'ECONOMY') USING (ean)) SELECT customer_key, ean, ranking FROM j WHERE i <= 3")
 def filtered_recommendations(spark, d):
     r = b.sales(spark, d).groupBy("customer_key", "ean").agg(F.max("quantity").alias("ranking"))
