@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
 from .quantiles import join_group, percentiles
 
 
@@ -80,3 +81,21 @@ def described(df: DataFrame, by: list[str], value: str) -> DataFrame:
     plain = df.where(x.isNotNull()).groupBy(*by).agg(F.count("*").alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"), F.min(x).alias("least"), F.max(x).alias("most"))
     cuts = percentiles(df, by, x, [0.25, 0.5, 0.75], "__q")
     return join_group(plain, cuts, by).select(*by, "n", "mean", "stddev", "least", *[F.get("__q", F.lit(i)).alias(c) for i, c in enumerate(("q25", "median", "q75"))], "most")
+
+
+def rolling_distinct(df: DataFrame, by: list[str], period: Column, value: Column, windows: list[int]) -> DataFrame:
+    """(by, period, distinct_w for each w of ``windows``): exact numbers of distinct values of the last w periods, that one
+    included, for each period from a group's first on, as far as any row goes.
+
+    ``period`` and ``value`` are whole numbers; nulls don't count. The facts are read once: bitmaps of each period (4 KB for
+    each 32,768 numbers in use) are united for every window, so windows cost no further pass and no lists of values.
+    """
+    rows = df.select(*by, period.cast("int").alias("__p"), value.cast("long").alias("__v")).where("__p IS NOT NULL AND __v IS NOT NULL")
+    bits = rows.groupBy(*by, "__p", F.bitmap_bucket_number("__v").alias("__b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__v")).alias("__bits"))
+    bits = stored(bits, "bitmaps")
+    last = F.broadcast(bits.agg(F.max("__p").alias("__last")))  # one row
+    reach = F.explode(F.array(*[F.struct(F.lit(w).alias("w"), F.lit(i).alias("i")) for w in windows for i in range(w)])).alias("__e")
+    sent = bits.crossJoin(last).select(*by, "__p", "__b", "__bits", "__last", reach).withColumn("__at", F.col("__p") + F.col("__e.i")).where("__at <= __last")
+    united = sent.groupBy(*by, "__at", F.col("__e.w").alias("__w"), "__b").agg(F.bitmap_count(F.bitmap_or_agg("__bits")).alias("__n"))
+    counts = [F.coalesce(F.sum(F.when(F.col("__w") == w, F.col("__n"))), F.lit(0)).cast("long").alias(f"distinct_{w}") for w in windows]
+    return united.groupBy(*by, F.col("__at").alias("period")).agg(*counts)

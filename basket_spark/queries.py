@@ -249,6 +249,19 @@ def customer_index(spark, d):
     return ranking.global_rank(rows, {"transaction_date": "desc", "store_id": "asc"}, "visit_index", "dense_rank").select("customer_key", "customer_index", "txn_key", "visit_index")
 
 
+_MONTHS = """
+, m AS (SELECT DISTINCT category, 12 * year(transaction_date) + month(transaction_date) AS p, customer_key FROM sales JOIN products USING (ean)),
+per_ AS (SELECT category, unnest(range(min(p), (SELECT max(p) + 1 FROM m))) AS period FROM m GROUP BY 1)"""
+
+
+@query(f"{_MONTHS} SELECT category, CAST(period AS INTEGER) AS period, " + ", ".join(f"(SELECT count(DISTINCT customer_key) FROM m WHERE m.category = per_.category AND p BETWEEN period - {w - 1} AND period) AS distinct_{w}" for w in (1, 6, 12)) + " FROM per_")
+def rolling_customers(spark, d):
+    """Different customers of a category in the last 1, 6 and 12 months."""
+    rows = b.sales(spark, d).join(b.products(spark, d), "ean")
+    month = 12 * F.year("transaction_date") + F.month("transaction_date")
+    return aggregates.rolling_distinct(rows, ["category"], month, F.col("customer_key"), [1, 6, 12])
+
+
 @query(" SELECT basket_key, CAST(row_number() OVER (ORDER BY basket_value DESC, basket_key) AS BIGINT) AS place FROM orders_")
 def basket_places(spark, d):
     rows = b.orders(spark, d).select("basket_key", "basket_value")

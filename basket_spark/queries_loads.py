@@ -55,7 +55,28 @@ def slice_replaced_twice(spark, d):
     spec = tables.TableSpec(f"default.{_new('slice')}", o.schema)
     tables.write_table(o, spec, "append")
     for _ in range(2):
-        tables.overwrite_slice(o.where("channel = '5-LOW'").withColumn("channel", F.lit("new")), spec, "channel IN ('5-LOW', 'new')", work_dir(spark))
+        tables.overwrite_slice(o.where("channel = '5-LOW'").withColumn("channel", F.lit("new")), spec, "channel IN ('5-LOW', 'new')")
+    return spark.table(spec.name)
+
+
+@query(" SELECT basket_key, year(transaction_date) AS year, CASE WHEN year(transaction_date) = 1997 THEN 'new' ELSE channel END AS channel FROM orders_ WHERE year(transaction_date) <> 1998")
+def partitions_replaced_twice(spark, d):
+    """Two years of a partitioned table deleted, one of them loaded again; only these partitions are written."""
+    o = b.orders(spark, d).select("basket_key", "channel", F.year("transaction_date").alias("year"))
+    spec = tables.TableSpec(f"default.{_new('years')}", o.schema, ["year"])
+    tables.write_table(o, spec, "append")
+    for _ in range(2):
+        tables.overwrite_slice(o.where("year = 1997").withColumn("channel", F.lit("new")), spec, "year BETWEEN 1997 AND 1998")
+    return spark.table(spec.name).select("basket_key", "year", "channel")
+
+
+@query(" SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer")
+def gated_reload(spark, d):
+    """Customers loaded through a gate, checked in the pass that stages them."""
+    c = b.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    spec = tables.TableSpec(f"default.{_new('gated')}", c.schema)
+    for _ in range(2):
+        quality.gated_load(c, spec, ["id"], ["name", "balance"])
     return spark.table(spec.name)
 
 
@@ -210,6 +231,14 @@ def events_by_hour(spark, d):
     return push_events.last_counts(spark, path).select(F.date_format("window_start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n")
 
 
+@query(" SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, event_type, CAST(count(*) AS BIGINT) AS n FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1, 2")
+def final_events_by_hour(spark, d):
+    """The hours that the watermark has passed, each written once."""
+    path = _folder(spark, "final")
+    push_events.write_final_counts(push_events.windowed_counts(_events(spark, d), "ts", "event_type"), path, _folder(spark, "stream")).awaitTermination()
+    return spark.read.parquet(path).select(F.date_format("window_start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n")
+
+
 # Single operators
 
 @query(" SELECT basket_key, channel FROM orders_ WHERE channel <> '4-NOT SPECIFIED' AND channel LIKE '%-%' AND NOT channel LIKE '5%' AND regexp_matches(upper(channel), 'URGENT|HIGH|LOW')")

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import stored
+
 #: Fixed names of column types in table definitions.
 TYPES = {
     "STRING": T.StringType(), "FLOAT": T.DoubleType(), "FLOAT64": T.DoubleType(), "INTEGER": T.LongType(), "INT64": T.LongType(), "DATE": T.DateType(), "DATETIME": T.TimestampNTZType(),
@@ -98,19 +101,40 @@ def without_slice(old: DataFrame, where: str | Column) -> DataFrame:
     return old.where(~F.coalesce(condition, F.lit(False)))
 
 
-def overwrite_slice(new: DataFrame, spec: TableSpec, where: str, work_dir: str) -> None:
+def _partitions(df: DataFrame, spec: TableSpec) -> set[tuple]:
+    """The values of the partition columns that ``df`` has, as strings: no more than the table has partitions."""
+    return {tuple(r) for r in df.select([F.col(f"`{c}`").cast("string") for c in spec.partition_by]).distinct().collect()}
+
+
+def overwrite_slice(new: DataFrame, spec: TableSpec, where: str) -> None:
     """Replace the slice of the table that meets ``where`` with ``new``; running it again changes nothing.
 
-    If ``where`` only names the partition columns, give ``overwrite_partitions`` instead: it leaves other files alone.
-    Here the kept rows are written to ``work_dir`` first, since a table can't be read while it is overwritten.
+    Of a partitioned table only the partitions are written that hold rows of the slice or of ``new``; those that are left
+    without rows are dropped. Other tables are written anew beside the old one, once, and then take its name: whatever
+    breaks off before leaves the old one as it is.
     """
     spark = new.sparkSession
     if not spark.catalog.tableExists(spec.name):
         write_table(new, spec, "append")
         return
-    path = f"{work_dir}/slice-{uuid.uuid4().hex}"
-    without_slice(spark.table(spec.name), where).unionByName(spec.shaped(new)).write.parquet(path)
-    _save(spark.read.schema(spec.schema).parquet(path), spec, "overwrite")
+    old, new = spark.table(spec.name).select(spec.schema.names), spec.shaped(new)
+    if spec.partition_by:
+        gone = _partitions(old.where(where), spec)
+        named = spark.createDataFrame(sorted(gone | _partitions(new, spec), key=repr), ", ".join(f"`{c}` string" for c in spec.partition_by))
+        same = [F.col(f"old.`{c}`").cast("string").eqNullSafe(F.col(f"named.`{c}`")) for c in spec.partition_by]
+        kept = without_slice(old, where).alias("old").join(F.broadcast(named.alias("named")), reduce(Column.__and__, same), "left_semi")
+        rows = stored(kept.unionByName(new), "slice")  # a partition can't be read while it is overwritten
+        overwrite_partitions(rows, spec)
+        for values in gone - _partitions(rows, spec):
+            place = ", ".join(f"`{c}`='{v}'" for c, v in zip(spec.partition_by, values, strict=True))
+            spark.sql(f"ALTER TABLE {spec.name} DROP IF EXISTS PARTITION ({place})")
+        return
+    mark = uuid.uuid4().hex
+    beside = replace(spec, name=f"{spec.name}_new_{mark}")
+    _save(without_slice(old, where).unionByName(new), beside, "errorifexists")
+    spark.sql(f"ALTER TABLE {spec.name} RENAME TO {spec.name}_old_{mark}")
+    spark.sql(f"ALTER TABLE {beside.name} RENAME TO {spec.name}")
+    spark.sql(f"DROP TABLE {spec.name}_old_{mark}")
 
 
 def overwrite_partitions(new: DataFrame, spec: TableSpec) -> None:

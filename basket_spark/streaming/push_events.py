@@ -33,12 +33,14 @@ def write_new_events(events: DataFrame, table: str, keys: list[str], checkpoint:
 
 
 def windowed_counts(events: DataFrame, time: str, by: str, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """(window_start, by, n) of tumbling windows, final once the watermark has passed."""
+    """(window_start, by, n) of tumbling windows. Written by ``write_counts`` they are the counts so far, by
+    ``write_final_counts`` those that the watermark has passed."""
     return events.withWatermark(time, delay).groupBy(F.window(time, window), by).agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), by, "n")
 
 
 def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """The counts so far, written anew with each batch to a folder of its own under ``path``; works off what is there."""
+    """The counts so far, written anew with each batch to a folder of its own under ``path``; works off what is there.
+    All windows are kept as state, so this is for windows of bounded number."""
 
     def replace(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number:09d}")
@@ -46,6 +48,12 @@ def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return counts.writeStream.outputMode("complete").foreachBatch(replace).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def write_final_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Each window once, appended to the files under ``path`` when the watermark has passed its end, and then forgotten:
+    state is bounded by the watermark. Works off what is there; later events than the watermark allows don't count."""
+    return counts.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def last_counts(spark: SparkSession, path: str) -> DataFrame:
     """The counts of the last batch."""
     found = spark.read.parquet(path)
