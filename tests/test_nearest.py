@@ -38,3 +38,35 @@ def test_few_rows(spark):
     assert rows(nearest.nearest_rows(left, few, "k", "other", 50)) == rows(similarity.cosine_pairs(left, few, "k", "other", top=50))
     assert nearest.nearest_rows(left, right.limit(0), "k", "other", 5).count() == 0
     assert nearest.nearest_rows(left.limit(0), right, "k", "other", 5).count() == 0
+
+
+def test_cosines_of_sparse_terms(spark, monkeypatch):
+    """By an inverted index, in parts of any size, against a dense product; a substitute's score by its terms alone."""
+    import pyarrow as pa
+    from basket_spark.plans import substitutes
+
+    rng = np.random.default_rng(6)
+
+    def vectors(n):
+        out = []
+        for _ in range(n):
+            w = {f"t{i}": float(x) for i, x in zip(rng.choice(30, rng.integers(1, 9), replace=False), rng.random(9), strict=False)}
+            norm = sum(x * x for x in w.values()) ** 0.5
+            out.append([{"token": t, "weight": x / norm} for t, x in sorted(w.items())])
+        return out
+
+    kind = pa.list_(pa.struct([("token", pa.string()), ("weight", pa.float64())]))
+    one, two = vectors(40), vectors(25)
+    dense = np.array([[1 - sum(x["weight"] * y["weight"] for x in a for y in b if x["token"] == y["token"]) for b in two] for a in one])
+    column = lambda rows: pa.chunked_array([pa.array(rows[:7], kind), pa.array(rows[7:], kind)])
+    for size in (1 << 20, 5):
+        monkeypatch.setattr(substitutes, "MEETINGS", size)
+        assert np.allclose(substitutes._cosine_of_terms(column(one), column(two)), dense)
+    assert np.allclose(substitutes._cosine_of_terms(column([]), column(two)), np.zeros((0, 25)))
+    assert np.allclose(substitutes._cosine_of_terms(column(one), column([[] for _ in range(3)])), 1)
+    names = ["red apple box", "red apple bag", "green pear", "pear green box", "apple"]
+    p = spark.createDataFrame([(i, "c", [1.0, 0.0], [0], "u", None, 1.0, n) for i, n in enumerate(names)], "ean int, category string, embedding array<double>, flags array<int>, unit string, container string, price_index double, nm string")
+    terms = substitutes.name_terms(p)
+    got = {(r.ean, r.substitute): r.score for r in substitutes.substitutes(p.join(terms, "ean"), None, {"tfidf": 1.0}).collect()}
+    by = {r.ean: {t.token: t.weight for t in r.terms} for r in terms.collect()}
+    assert got == {(a, b): pytest.approx(1 - sum(w * by[b].get(t, 0) for t, w in by[a].items()), abs=1e-6) for a in by for b in by if a != b}
