@@ -11,11 +11,11 @@ from . import binding as b
 from .functions import numbers, text
 from .operators import aggregates, ranking
 from .plans import ingests, substitutes
-from .queries import _substitutes, _SUBSTITUTES
+from .queries import _ASSIGNED, _by_card, _CYCLE, _substitutes, _SUBSTITUTES
 from .registry import query, rounded
 from .sources import incremental, quality, readers, sheets, tables
 from .sources.shared import work_dir
-from .streaming import push_events
+from .streaming import cycles, push_events
 
 
 def _new(kind: str) -> str:
@@ -239,6 +239,22 @@ def final_events_by_hour(spark, d):
     return spark.read.parquet(path).select(F.date_format("window_start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n")
 
 
+@query(f"{_ASSIGNED} {_CYCLE}")
+def streamed_purchase_cycle(spark, d):
+    """Purchase cycles from a stream of the landed purchases by card, with the last two of each customer as state."""
+    path, store = _folder(spark, "purchases"), "spark.sql.streaming.stateStore.providerClass"
+    bought = _by_card(spark, d).where("by_card").where(F.col("transaction_date") < F.lit(b.ON_DATE).cast("date"))
+    bought.select("customer_key", F.col("transaction_date").cast("timestamp").alias("ts"), "basket_key").write.parquet(path)
+    before, out = spark.conf.get(store), _folder(spark, "cycles")
+    spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = spark.readStream.schema("customer_key long, ts timestamp, basket_key long").parquet(path)
+        cycles.write_last_two(stream, "customer_key", "ts", "basket_key", out, _folder(spark, "stream")).awaitTermination()
+    finally:
+        spark.conf.set(store, before)
+    return cycles.cycles(spark, out, "2001-01-01")
+
+
 # Single operators
 
 @query(" SELECT basket_key, channel FROM orders_ WHERE channel <> '4-NOT SPECIFIED' AND channel LIKE '%-%' AND NOT channel LIKE '5%' AND regexp_matches(upper(channel), 'URGENT|HIGH|LOW')")
