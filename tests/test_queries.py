@@ -129,7 +129,7 @@ def test_neighbours_have_the_products_own_ids(spark, monkeypatch):
 
     seen = []
     train = skipgram.train
-    monkeypatch.setattr(skipgram, "train", lambda *a, **k: seen.append(a) or train(*a, **k, blocks=2))
+    monkeypatch.setattr(skipgram, "train", lambda *a, **k: seen.append(a) or train(*a[:3], 1, *a[4:], **k, blocks=2))  # an epoch will do for the ids
     rows = queries_allocation.w2v_neighbours(spark, "/root/testdata/sf0.01").select("sku").distinct().collect()
     assert max(int(r.sku) for r in rows) >= 200
     assert seen[0][2:8] == (100, 10, 100, 5, 20, -0.5)
