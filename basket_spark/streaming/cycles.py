@@ -12,36 +12,63 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..plans.cards import NO_CYCLE
 
 _DAY = 86_400_000
-#: Times are milliseconds since 1970 here.
-_STATE = "last long, last_id long, before long, before_id long"
+#: So many neighbouring keys share a state: it is fetched, written and timed once for all of them in a batch.
+RANGE_BITS = 6
+#: Times are milliseconds since 1970 here; one place of the arrays for each key of the range.
+_STATE = "key array<long>, last array<long>, last_id array<long>, before array<long>, before_id array<long>"
 
 
 class LastTwo(StatefulProcessor):
-    """Keeps a key's last two purchases by time and id; says them whenever they change, and forgets the key when the
-    watermark is ``days`` past the last one."""
+    """Keeps the last two purchases by time and id of each key of a range; says them whenever they change, and forgets a key
+    when the watermark is ``days`` past its last one."""
 
     def __init__(self, days: int) -> None:
-        self.days = days
+        self.span = days * _DAY
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.two = handle.getValueState("two", _STATE)
 
+    def _known(self) -> dict[int, tuple]:
+        return {k: ((last, last_id), None if before is None else (before, before_id)) for k, last, last_id, before, before_id in zip(*(self.two.get() or [()] * 5), strict=True)}
+
+    def _first(self, known: dict[int, tuple]) -> int | None:
+        """When the first of the keys is to be forgotten."""
+        return min((last[0] for last, _ in known.values()), default=None)
+
+    def _keep(self, known: dict[int, tuple]) -> None:
+        rows = [(k, *last, *(before or (None, None))) for k, (last, before) in known.items()]
+        self.two.update(tuple(list(c) for c in zip(*rows, strict=True)))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: ANN001, N802, N803
-        old = self.two.get() if self.two.exists() else (None, None, None, None)
-        known = [(t, i) for t, i in ((old[0], old[1]), (old[2], old[3])) if t is not None]
-        # Repeated ids are one purchase; the two last of all are those of the two known and what came.
-        latest = sorted({*known, *((r["at"], r["id"]) for r in rows)})[-2:]
-        if latest != known[::-1]:
-            (before, before_id), (last, last_id) = latest if len(latest) == 2 else ((None, None), latest[0])
-            self.two.update((last, last_id, before, before_id))
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(last + self.days * _DAY)
-            yield Row(key=key[0], last=last, before=before)
+        known, changed = self._known(), set()
+        old = self._first(known)
+        for r in rows:
+            k, new = r["key"], (r["at"], r["id"])
+            last, before = known.get(k, (None, None))
+            # Repeated ids are one purchase; the two last of all are those of the two known and what came.
+            if new in (last, before) or (before is not None and new < before):
+                continue
+            known[k] = (new, last) if last is None or new > last else (last, new)
+            changed.add(k)
+        if changed:
+            self._keep(known)
+            if (first := self._first(known)) != old:
+                if old is not None:
+                    self.handle.deleteTimer(old + self.span)
+                self.handle.registerTimer(first + self.span)
+        for k in changed:
+            last, before = known[k]
+            yield Row(key=k, last=last[0], before=before and before[0])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: ANN001, N802, N803
-        self.two.clear()
+        now = timerValues.getCurrentWatermarkInMs()
+        left = {k: two for k, two in self._known().items() if two[0][0] + self.span >= now}
+        if left:
+            self._keep(left)
+            self.handle.registerTimer(self._first(left) + self.span)
+        else:
+            self.two.clear()
         return iter(())
 
     def close(self) -> None:
@@ -54,9 +81,10 @@ def write_last_two(purchases: DataFrame, key: str, time: str, order: str, path:
     ``purchases`` is a stream with the columns ``key`` (long), ``time`` (timestamp) and ``order`` (long, decides between
     purchases of one time). Purchases that are later than ``delay`` don't count; keys without one for ``days`` after their
     last are forgotten, so state is bounded by the keys that are seen within that time. Needs the RocksDB state store.
+    Neighbouring keys share a state, so keys should be numbers given in order; any others only make the states smaller.
     """
-    rows = purchases.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(F.col(key).alias("key"), F.col(time).alias("ts"), F.unix_millis(F.col(time)).alias("at"), F.col(order).alias("id")).withWatermark("ts", delay)
-    changed = rows.groupBy("key").transformWithState(LastTwo(days), "key long, last long, before long", "Update", "EventTime")
+    rows = purchases.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(F.shiftright(F.col(key), RANGE_BITS).alias("range"), F.col(key).alias("key"), F.col(time).alias("ts"), F.unix_millis(F.col(time)).alias("at"), F.col(order).alias("id")).withWatermark("ts", delay)
+    changed = rows.groupBy("range").transformWithState(LastTwo(days), "key long, last long, before long", "Update", "EventTime")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number:09d}")
