@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import first_row
+from .shared import spread
 from .tables import without_slice
 
 
 def new_by_id(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Rows whose id the target hasn't, one for each id (the least by all columns), without null ids."""
-    new = source.where(F.col(key).isNotNull()).join(target.select(key).distinct(), key, "left_anti")
-    return first_row(new, [key], [F.asc_nulls_last(c) for c in source.columns if c != key] or [F.lit(1)]).select(source.columns)
+    """Rows whose id the target hasn't, one for each id (the least by all columns), without null ids.
+
+    The source is dealt out and sorted by id once, for the least rows and for the join.
+    """
+    least = first_row(spread(source.where(F.col(key).isNotNull()), key), [key], [F.asc_nulls_last(c) for c in source.columns if c != key] or [F.lit(1)])
+    return least.join(target.select(key), key, "left_anti").select(source.columns)
 
 
 def from_last_date(source: DataFrame, target: DataFrame, date: str, key: str) -> DataFrame:
