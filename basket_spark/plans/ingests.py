@@ -9,6 +9,7 @@ from ..functions.dates import us_timestamp
 from ..functions.text import sku_key
 from ..operators.ranking import first_row
 from ..sources.quality import assert_columns
+from ..sources.shared import spread
 from ..sources.tables import TableSpec, require_table, write_table
 
 
@@ -24,8 +25,9 @@ def catalog_availability(banners: dict[str, DataFrame]) -> DataFrame:
     18 characters and without what follows a hyphen."""
     out = None
     for banner, df in banners.items():
-        ref = F.regexp_replace("ref_id", "-.*", "")
-        part = df.where(F.length("ref_id") < 19).groupBy("date", ref.alias("ref_id"), "store_id").agg(F.avg(F.col("available").cast("double")).alias("inweb")).withColumn("store_banner", F.lit(banner))
+        rows = df.where(F.length("ref_id") < 19).withColumn("ref_id", F.regexp_replace("ref_id", "-.*", ""))
+        # Most groups are a row or two, so a task that combines what it reads would hold it all.
+        part = spread(rows.select("date", "ref_id", "store_id", "available"), "date", "ref_id", "store_id").groupBy("date", "ref_id", "store_id").agg(F.avg(F.col("available").cast("double")).alias("inweb")).withColumn("store_banner", F.lit(banner))
         out = part if out is None else out.unionByName(part)
     return out
 
